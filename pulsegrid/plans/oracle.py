@@ -243,3 +243,25 @@ SELECT CAST(deviceid AS VARCHAR) || ',' || {_jt('activeStartTime')} || ',' || {_
 FROM sessions"""
         ),
     }
+
+
+def stream_oracle() -> dict[str, str]:
+    """SQL for the streaming queries (their batch equivalents, with the
+    watermark's hold-back where append mode applies)."""
+    b = batch_oracle()
+    return {
+        "ingest_stream_good": b["good_readings"],
+        "window_avg_stream": _q(
+            """
+SELECT window_start, window_start + INTERVAL '3 minutes' AS window_end, deviceid, variableid, avg_value
+FROM (
+  SELECT time_bucket(INTERVAL '3 minutes', eventtime, TIMESTAMP '1970-01-01') AS window_start,
+         deviceid, variableid, round(avg(value), 6) AS avg_value
+  FROM good GROUP BY 1, 2, 3
+)
+WHERE window_start + INTERVAL '3 minutes' <= (SELECT max(eventtime) FROM readings) - INTERVAL '10 minutes'"""
+        ),
+        "device_sessions_stream": b["device_sessions"],
+        "window_count_device_stream": b["window_count_device"],
+        "word_count_stream": b["word_count"],
+    }

@@ -1,0 +1,28 @@
+"""Kafka-shaped line output (thin; the connector is not on the test machine)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql.streaming import StreamingQuery
+
+
+def write_lines_to_kafka(
+    lines: DataFrame,
+    bootstrap_servers: str,
+    topic: str,
+    checkpoint: str,
+    output_mode: str = "update",
+    query_name: str | None = None,
+) -> StreamingQuery:
+    """Start a query writing the ``value`` column of ``lines`` to ``topic``."""
+    writer = (
+        lines.select("value")
+        .writeStream.format("kafka")
+        .outputMode(output_mode)
+        .option("kafka.bootstrap.servers", bootstrap_servers)
+        .option("topic", topic)
+        .option("checkpointLocation", checkpoint)
+    )
+    if query_name:
+        writer = writer.queryName(query_name)
+    return writer.start()

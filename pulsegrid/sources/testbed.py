@@ -94,10 +94,10 @@ def _msg(key: Column, value: Column) -> Column:
     return F.struct(key.cast("string").alias("key"), value.alias("value"), F.col("seq").alias("seq"))
 
 
-def message_log(spark: SparkSession, sf_dir: str, with_duplicates: bool = True, with_bad: bool = True) -> DataFrame:
-    """Keyed message log ``(key, value, seq)`` derived from ``events`` in one
-    scan (each row fans out to its messages with ``inline``; no shuffle)."""
-    ev = device_events(spark, sf_dir)
+def messages_from_events(ev: DataFrame, with_duplicates: bool = True, with_bad: bool = True) -> DataFrame:
+    """Keyed message log ``(key, value, seq)`` from :func:`device_events` rows,
+    in one pass (each row fans out to its messages with ``inline``; no
+    shuffle)."""
     uid = F.col("user_id").cast("string")
     reading_key = F.concat(uid, F.lit(",1"))
     event_key = F.concat(uid, F.lit(",0"))
@@ -121,6 +121,11 @@ def message_log(spark: SparkSession, sf_dir: str, with_duplicates: bool = True,
     return ev.select(F.inline(F.filter(F.array(*msgs), lambda m: m.isNotNull())))
 
 
+def message_log(spark: SparkSession, sf_dir: str, with_duplicates: bool = True, with_bad: bool = True) -> DataFrame:
+    """The keyed message log of the whole ``events`` table."""
+    return messages_from_events(device_events(spark, sf_dir), with_duplicates, with_bad)
+
+
 def multi_value_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reading messages carrying two values each: the event's own value and the
     ``k`` number of its ``props`` (variable id ``k``)."""
