@@ -36,6 +36,20 @@ def route(messages: DataFrame, flag: int) -> DataFrame:
     return messages.filter(message_flag("key") == F.lit(flag))
 
 
+def parse_once(df: DataFrame, parsed: Column, name: str, keep: list[str] | None = None) -> DataFrame:
+    """Add ``parsed`` (e.g. a ``from_json``) as column ``name``, evaluated once
+    per row.
+
+    Catalyst substitutes a projected expression into every filter pushed below
+    the projection, so ``select(from_json(..) as j).filter(j.a is not null and
+    j.b is not null)`` parses each message once per condition. Producing the
+    column from a one-element ``inline`` makes it generator output, which
+    filters cannot be pushed beneath.
+    """
+    cols = keep if keep is not None else df.columns
+    return df.select(*cols, F.inline(F.array(F.struct(parsed.alias(name)))))
+
+
 def _reading_json() -> Column:
     return F.from_json(F.col("value"), READING_MESSAGE)
 
@@ -57,7 +71,7 @@ def decode_readings(messages: DataFrame) -> DataFrame:
     left out here and reported by :func:`malformed_messages`. An absent or
     empty value list yields no row.
     """
-    j = route(messages, READING_FLAG).select(_reading_json().alias("j"))
+    j = parse_once(route(messages, READING_FLAG), _reading_json(), "j", keep=[])
     j = j.filter(_header_ok(F.col("j")))
     exploded = j.select(
         F.col("j.name").alias("name"),
@@ -86,7 +100,8 @@ def decode_events(messages: DataFrame, seq_col: str | None = "seq") -> DataFrame
     without it the column is null.
     """
     seq = F.col(seq_col).cast("bigint") if seq_col and seq_col in messages.columns else F.lit(None).cast("bigint")
-    j = route(messages, EVENT_FLAG).select(_event_json().alias("j"), seq.alias("seq"))
+    routed = route(messages, EVENT_FLAG).select("value", seq.alias("seq"))
+    j = parse_once(routed, _event_json(), "j", keep=["seq"])
     j = j.filter(_header_ok(F.col("j")) & F.col("j.values.status").isNotNull())
     return j.select(
         F.col("j.header.connectorid").alias("connectorid"),
@@ -107,10 +122,15 @@ def malformed_messages(messages: DataFrame) -> DataFrame:
     flag are ignored, as are readings with no values.
     """
     flag = message_flag("key")
-    rj = F.when(flag == READING_FLAG, _reading_json())
-    ej = F.when(flag == EVENT_FLAG, _event_json())
+    rj = F.when(F.col("_flag") == READING_FLAG, _reading_json())
+    ej = F.when(F.col("_flag") == EVENT_FLAG, _event_json())
     passthrough = [c for c in messages.columns if c not in ("key", "value")]
-    parsed = messages.select("key", "value", *passthrough, flag.alias("_flag"), rj.alias("_rj"), ej.alias("_ej"))
+    flagged = messages.select("key", "value", *passthrough, flag.alias("_flag"))
+    parsed = parse_once(
+        flagged,
+        F.struct(rj.alias("r"), ej.alias("e")),
+        "_p",
+    ).select("key", "value", *passthrough, "_flag", F.col("_p.r").alias("_rj"), F.col("_p.e").alias("_ej"))
     bad_values = F.filter(
         F.coalesce(F.col("_rj.iotdata.values"), F.array().cast("array<struct<variableid:string,value:string>>")),
         lambda v: v.getField("value").try_cast("double").isNull(),

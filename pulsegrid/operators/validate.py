@@ -57,10 +57,12 @@ def validation_result(connectorid: Column, m_connectorid: Column, found: Column)
     )
 
 
-def choose_join_strategy(lookup: DataFrame, max_broadcast_rows: int) -> str:
-    """``broadcast`` when the lookup has at most ``max_broadcast_rows`` rows
-    (one count over the dimension table), else ``salted``."""
-    return "broadcast" if lookup.count() <= max_broadcast_rows else "salted"
+def choose_join_strategy(metadata: DataFrame, max_broadcast_rows: int) -> str:
+    """``broadcast`` when the metadata table has at most ``max_broadcast_rows``
+    rows, else ``salted``. The raw row count bounds the one-row-per-device
+    lookup from above, and on a plain table scan Spark answers it from file
+    footers."""
+    return "broadcast" if metadata.count() <= max_broadcast_rows else "salted"
 
 
 def validate_readings(
@@ -80,7 +82,7 @@ def validate_readings(
     """
     lookup = _lookup(metadata, order_col)
     if strategy == "auto":
-        strategy = choose_join_strategy(lookup, max_broadcast_rows)
+        strategy = choose_join_strategy(metadata, max_broadcast_rows)
     if strategy == "broadcast":
         joined = readings.join(F.broadcast(lookup), F.col("deviceid") == F.col("_m_deviceid"), "left")
     elif strategy == "salted":

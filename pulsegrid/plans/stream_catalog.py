@@ -28,16 +28,17 @@ N_FILES = 4
 AVAILABLE_NOW = {"availableNow": True}
 
 
-def _stage_messages(spark: SparkSession, sf_dir: str, root: str, n_files: int = N_FILES) -> str:
+def _stage_messages(spark: SparkSession, sf_dir: str, root: str, n_slices: int = N_FILES) -> tuple[str, int]:
     path = f"{root}/input"
-    write_time_slices(
-        testbed.device_events(spark, sf_dir), "eventtime", path, n_files, to_messages=testbed.messages_from_events
+    per_slice = write_time_slices(
+        testbed.device_events(spark, sf_dir), "eventtime", path, n_slices, to_messages=testbed.messages_from_events
     )
-    return path
+    return path, per_slice
 
 
-def _stream(spark: SparkSession, path: str) -> DataFrame:
-    return message_file_stream(spark, f"{path}/slice=*", schema=MESSAGE)
+def _stream(spark: SparkSession, staged: tuple[str, int]) -> DataFrame:
+    path, per_slice = staged
+    return message_file_stream(spark, f"{path}/slice=*", schema=MESSAGE, max_files_per_trigger=per_slice)
 
 
 def _run(query) -> None:
@@ -129,7 +130,7 @@ def q_word_count_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs.filter(F.pmod(F.col("doc_id"), F.lit(n)) == i).select("value").write.mode("overwrite").parquet(
             f"{src}/slice={i:04d}"
         )
-    lines = message_file_stream(spark, f"{src}/slice=*", schema=LINE)
+    lines = message_file_stream(spark, f"{src}/slice=*", schema=LINE, max_files_per_trigger=None)
     q = (
         word_count(lines)
         .writeStream.outputMode("complete")

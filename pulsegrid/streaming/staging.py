@@ -16,13 +16,15 @@ def write_time_slices(
     n_slices: int,
     to_messages: Callable[[DataFrame], DataFrame] | None = None,
     fmt: str = "parquet",
-) -> list[str]:
+) -> int:
     """Write ``rows`` as ``n_slices`` equal event-time ranges, oldest first,
     one write per slice into ``{path}/slice=NNNN`` (so file modification times
     follow event time, which is the order a file stream reads them in).
 
     ``to_messages`` turns each slice into what is written (e.g. the keyed
     message log). Only ``min``/``max`` of the time column reach the driver.
+    Returns the largest number of files written for one slice: read with
+    ``maxFilesPerTrigger`` set to it, each micro-batch takes one slice.
     """
     bounds = rows.agg(
         F.min(F.unix_micros(F.col(time_col).cast("timestamp"))).alias("lo"),
@@ -31,12 +33,19 @@ def write_time_slices(
     lo, hi = int(bounds["lo"]), int(bounds["hi"])
     width = max(1, (hi - lo) // n_slices + 1)
     slice_no = F.floor((F.unix_micros(F.col(time_col).cast("timestamp")) - F.lit(lo)) / F.lit(width)).cast("int")
-    out = []
+    files = 1
     for i in range(n_slices):
         part = rows.filter(slice_no == i)
         if to_messages is not None:
             part = to_messages(part)
         target = f"{path.rstrip('/')}/slice={i:04d}"
         part.write.mode("overwrite").format(fmt).save(target)
-        out.append(target)
-    return out
+        files = max(files, _count_data_files(rows.sparkSession, target))
+    return files
+
+
+def _count_data_files(spark, target: str) -> int:
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(target)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sum(1 for st in fs.listStatus(jpath) if not st.getPath().getName().startswith(("_", ".")))
