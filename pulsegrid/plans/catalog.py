@@ -247,6 +247,11 @@ def q_window_avg_6h(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _averages_out(window_averages(_ingested(spark, sf_dir), window="6 hours"))
 
 
+def q_window_avg_10m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The older variant's average: 10-minute windows."""
+    return _averages_out(window_averages(_ingested(spark, sf_dir), window="10 minutes"))
+
+
 def q_window_avg_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kafka-shaped average lines, parsed back into fields for comparison."""
     lines = average_lines(window_averages(_ingested(spark, sf_dir), window=AVERAGE_WINDOW))
@@ -318,6 +323,7 @@ def batch_queries() -> dict[str, Query]:
         "latest_by_key": q_latest_by_key,
         "window_avg": q_window_avg,
         "window_avg_6h": q_window_avg_6h,
+        "window_avg_10m": q_window_avg_10m,
         "window_avg_line": q_window_avg_line,
         "window_count_device": q_window_count_device,
         "window_count_variable": q_window_count_variable,

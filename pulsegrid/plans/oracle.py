@@ -203,6 +203,7 @@ QUALIFY row_number() OVER (PARTITION BY row_key ORDER BY VARIABLEID DESC, VALUE
         ),
         "window_avg": _window_avg("3 minutes"),
         "window_avg_6h": _window_avg("6 hours"),
+        "window_avg_10m": _window_avg("10 minutes"),
         "window_avg_line": _q(
             f"""
 SELECT '[' || {_jt('window_start')} || ',' || {_jt("window_start + INTERVAL '3 minutes'")} || ']' AS window_text,

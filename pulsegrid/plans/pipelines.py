@@ -40,11 +40,19 @@ def ingest_readings(
     messages: DataFrame,
     metadata: DataFrame,
     watermark: str | None = None,
-    include_result: bool = False,
+    include_result: bool | None = None,
     **join_opts,
 ) -> DataFrame:
-    """Decoded, validated, de-duplicated readings (Entry 1 up to the sink)."""
+    """Decoded, validated, de-duplicated readings (Entry 1 up to the sink).
+
+    ``include_result`` (default: on for batch input) adds ``result`` to the
+    de-duplication key. It is a function of the key's device and connector,
+    so the result is the same, and a later good/error filter then runs before
+    the de-duplication's shuffle instead of after it.
+    """
     validated = validated_readings(messages, metadata, **join_opts)
+    if include_result is None:
+        include_result = not messages.isStreaming
     return drop_duplicate_readings(validated, watermark=watermark, include_result=include_result)
 
 
