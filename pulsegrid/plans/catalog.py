@@ -300,6 +300,15 @@ def q_device_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sessions_out(device_sessions(_events(spark, sf_dir)))
 
 
+def q_event_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pulsegrid.operators.ordering import event_order
+
+    ordered = event_order(_events(spark, sf_dir))
+    return ordered.select(
+        "connectorid", "deviceid", _ntz("eventtime").alias("eventtime"), "status", "seq", "event_order"
+    )
+
+
 def q_session_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     return session_lines(device_sessions(_events(spark, sf_dir)))
 
@@ -333,6 +342,7 @@ def batch_queries() -> dict[str, Query]:
         "csv_window_count": q_csv_window_count,
         "device_sessions": q_device_sessions,
         "session_line": q_session_line,
+        "event_order": q_event_order,
     }
 
 

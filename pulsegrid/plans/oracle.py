@@ -237,6 +237,12 @@ FROM (
         "device_sessions": _q(
             "SELECT connectorid, deviceid, activeStartTime, activeEndTime, deviceactive FROM sessions"
         ),
+        "event_order": _q(
+            """
+SELECT connectorid, deviceid, eventtime, status, seq,
+       row_number() OVER (PARTITION BY connectorid, deviceid ORDER BY eventtime, seq) AS event_order
+FROM dev"""
+        ),
         "session_line": _q(
             f"""
 SELECT CAST(deviceid AS VARCHAR) || ',' || {_jt('activeStartTime')} || ',' || {_jt('activeEndTime')}
@@ -261,6 +267,16 @@ FROM (
   FROM good GROUP BY 1, 2, 3
 )
 WHERE window_start + INTERVAL '3 minutes' <= (SELECT max(eventtime) FROM readings) - INTERVAL '10 minutes'"""
+        ),
+        "window_avg_two_hop": _q(
+            """
+SELECT window_start, window_start + INTERVAL '3 minutes' AS window_end, deviceid, variableid, avg_value
+FROM (
+  SELECT time_bucket(INTERVAL '3 minutes', eventtime, TIMESTAMP '1970-01-01') AS window_start,
+         deviceid, variableid, round(avg(value), 6) AS avg_value
+  FROM good GROUP BY 1, 2, 3
+)
+WHERE window_start + INTERVAL '3 minutes' <= (SELECT max(eventtime) FROM good) - INTERVAL '3 minutes'"""
         ),
         "device_sessions_stream": b["device_sessions"],
         "window_count_device_stream": b["window_count_device"],

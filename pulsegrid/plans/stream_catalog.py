@@ -21,7 +21,14 @@ from pulsegrid.schemas import LINE, MESSAGE
 from pulsegrid.sinks.tables import batch_directory_writer, latest_by_key, read_batch_table
 from pulsegrid.sources import testbed
 from pulsegrid.sources.files import message_file_stream
-from pulsegrid.streaming.queries import start_ingest, start_sessions, start_window_average
+from pulsegrid.streaming.queries import (
+    readings_table_stream,
+    start_dedup_table,
+    start_ingest,
+    start_sessions,
+    start_window_average,
+    start_window_average_from_table,
+)
 from pulsegrid.streaming.staging import write_time_slices
 
 N_FILES = 4
@@ -82,6 +89,23 @@ def q_window_avg_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _averages_out(read_batch_table(spark, f"{root}/out").drop("batch_id"))
 
 
+def q_window_avg_two_hop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entry 2 as two hops, each with its own watermark: de-duplicate (10
+    minutes) into a table, then average the good records from that table
+    (3 minutes). Append mode: windows with
+    ``window_end <= max(good eventtime) - 3 minutes``."""
+    use_utc(spark)
+    root = new_scratch_dir(spark, "twohop")
+    src = _stage_messages(spark, sf_dir, root)
+    meta = testbed.device_metadata(spark, sf_dir)
+    _run(start_dedup_table(_stream(spark, src), meta, f"{root}/readings", f"{root}/chk1", trigger=AVAILABLE_NOW))
+    hop2 = start_window_average_from_table(
+        readings_table_stream(spark, f"{root}/readings"), f"{root}/out", f"{root}/chk2", trigger=AVAILABLE_NOW
+    )
+    _run(hop2)
+    return _averages_out(read_batch_table(spark, f"{root}/out").drop("batch_id"))
+
+
 def q_device_sessions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entry 3 on a stream: equals the batch sessions."""
     use_utc(spark)
@@ -149,6 +173,7 @@ def stream_queries() -> dict:
     return {
         "ingest_stream_good": q_ingest_stream_good,
         "window_avg_stream": q_window_avg_stream,
+        "window_avg_two_hop": q_window_avg_two_hop,
         "device_sessions_stream": q_device_sessions_stream,
         "window_count_device_stream": q_window_count_device_stream,
         "word_count_stream": q_word_count_stream,

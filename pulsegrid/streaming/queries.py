@@ -70,6 +70,34 @@ def start_window_average(
     return _start(writer, checkpoint, trigger, name)
 
 
+def start_dedup_table(
+    messages: DataFrame,
+    metadata: DataFrame,
+    path: str,
+    checkpoint: str,
+    watermark: str = DEDUP_WATERMARK,
+    trigger: dict | None = None,
+    name: str | None = None,
+    **join_opts,
+) -> StreamingQuery:
+    """First hop of the two-hop average: validated, de-duplicated readings
+    appended to a Parquet table through the file sink (exactly once through
+    its log; a stream reading the table sees each row once)."""
+    ingested = ingest_readings(messages, metadata, watermark=watermark, **join_opts)
+    writer = ingested.writeStream.format("parquet").outputMode("append").option("path", path)
+    return _start(writer, checkpoint, trigger, name)
+
+
+def readings_table_stream(spark, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Stream over a table written by :func:`start_dedup_table`."""
+    from pulsegrid.schemas import VALIDATED_READING
+
+    reader = spark.readStream.schema(VALIDATED_READING)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.parquet(path)
+
+
 def start_window_average_from_table(
     table_stream: DataFrame,
     out_path: str,

@@ -159,3 +159,20 @@ def test_null_connector_is_its_own_device(spark):
     df = spark.createDataFrame(rows, EVENT)
     got = [(r.connectorid, r.deviceid) for r in device_sessions(df).collect()]
     assert got == [(None, 1)]
+
+
+def test_sessions_small_arrow_batches(spark):
+    """Runs continue across Arrow batches of one partition (the carry)."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        rng = np.random.default_rng(11)
+        rows = [
+            (1, int(rng.integers(1, 4)), BASE + dt.timedelta(seconds=i), ["ALIVE", "DEAD", "X"][int(rng.integers(0, 3))], i)
+            for i in range(400)
+        ]
+        df = spark.createDataFrame(rows, EVENT)
+        got = sorted(tuple(r) for r in device_sessions(df, num_partitions=3).collect())
+        want = sorted(tuple(r) for r in device_sessions_by_window(df).collect())
+        assert got == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
