@@ -7,3 +7,19 @@ alive-to-dead device sessions.
 """
 
 __version__ = "0.1.0"
+
+
+def _ship_by_value() -> None:
+    """Python tasks (``mapInPandas``, ``applyInPandasWithState``) must find
+    this package's functions on every worker. Pickling the package by value
+    sends them with the task, so workers need no install or path setup."""
+    import sys
+
+    try:
+        from pyspark import cloudpickle
+    except ImportError:  # pragma: no cover
+        return
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+_ship_by_value()

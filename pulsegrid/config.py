@@ -80,3 +80,16 @@ def new_scratch_dir(spark: SparkSession, label: str) -> str:
         return f"{root}/{label}-{uuid.uuid4().hex}"
     os.makedirs(root, exist_ok=True)
     return tempfile.mkdtemp(prefix=f"{label}-", dir=root)
+
+
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_rocksdb_state(spark: SparkSession) -> SparkSession:
+    """State of de-duplication and sessions in RocksDB (off-heap, on local
+    disk, changelog checkpoints) instead of JVM heap maps: what large state
+    needs. Call before a query's first run; the provider is fixed by its
+    checkpoint afterwards."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    return spark

@@ -101,7 +101,8 @@ def messages_from_events(ev: DataFrame, with_duplicates: bool = True, with_bad:
     uid = F.col("user_id").cast("string")
     reading_key = F.concat(uid, F.lit(",1"))
     event_key = F.concat(uid, F.lit(",0"))
-    reading = _msg(reading_key, _reading_json(F.col("value")))
+    body = _reading_json(F.col("value"))  # one Column object, reused below
+    reading = _msg(reading_key, body)
     kind = F.col("seq") % BAD_EVERY
     msgs = [reading, _msg(event_key, _event_json())]
     if with_duplicates:
@@ -109,13 +110,13 @@ def messages_from_events(ev: DataFrame, with_duplicates: bool = True, with_bad:
     if with_bad:
         empty_values = F.array().cast("array<struct<variableid:string,value:double>>")
         msgs += [
-            F.when(kind == BAD_NO_FLAG, _msg(uid, _reading_json(F.col("value")))),
-            F.when(kind == BAD_FLAG_TEXT, _msg(F.concat(uid, F.lit(",x")), _reading_json(F.col("value")))),
-            F.when(kind == BAD_NULL_KEY, _msg(F.lit(None).cast("string"), _reading_json(F.col("value")))),
+            F.when(kind == BAD_NO_FLAG, _msg(uid, body)),
+            F.when(kind == BAD_FLAG_TEXT, _msg(F.concat(uid, F.lit(",x")), body)),
+            F.when(kind == BAD_NULL_KEY, _msg(F.lit(None).cast("string"), body)),
             F.when(kind == BAD_READING_JSON, _msg(reading_key, F.lit("{bad"))),
             F.when(kind == BAD_READING_VALUE, _msg(reading_key, _reading_json(F.lit("abc")))),
             F.when(kind == BAD_EVENT_JSON, _msg(event_key, F.lit("{bad"))),
-            F.when(kind == OTHER_FLAG, _msg(F.concat(uid, F.lit(",2")), _reading_json(F.col("value")))),
+            F.when(kind == OTHER_FLAG, _msg(F.concat(uid, F.lit(",2")), body)),
             F.when(kind == EMPTY_VALUES, _msg(reading_key, _reading_json(F.col("value"), empty_values))),
         ]
     return ev.select(F.inline(F.filter(F.array(*msgs), lambda m: m.isNotNull())))

@@ -164,3 +164,16 @@ def test_event_dedup_within_watermark_stream(spark, workdir):
     # first one's expiry (a batch later), stays
     out = spark.read.parquet(f"{workdir}/out").filter("deviceid = 7")
     assert sorted(r.eventtime.minute for r in out.collect()) == [1, 32]
+
+
+def test_sessions_with_rocksdb_state(spark, workdir):
+    from pulsegrid.config import use_rocksdb_state
+
+    key = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(key)
+    use_rocksdb_state(spark)
+    try:
+        batches = [[_ev("ALIVE", 1, 1)], [_ev("DEAD", 2, 2), _ev("ALIVE", 3, 3)], [_ev("DEAD", 4, 4)]]
+        assert _sessions(spark, workdir, batches) == [(1, 2), (3, 4)]
+    finally:
+        spark.conf.set(key, old)
