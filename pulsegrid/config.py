@@ -93,3 +93,16 @@ def use_rocksdb_state(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     return spark
+
+
+def materialize(df):
+    """Eagerly checkpoint ``df`` into the shared checkpoint folder.
+
+    Used before a range exchange: Spark samples the range bounds by running
+    the whole upstream plan once, then runs it again for the shuffle. Writing
+    the (narrow) input once avoids the second run of an expensive upstream
+    (e.g. JSON decoding) and cuts the lineage, so a lost executor does not
+    replay it either.
+    """
+    scratch_root(df.sparkSession)
+    return df.checkpoint(eager=True)

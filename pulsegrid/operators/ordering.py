@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pulsegrid.config import materialize
 from pulsegrid.operators.sessions import LONG_MIN
 
 _KEY = ["_cnull", "_conn", "deviceid"]
@@ -54,10 +55,16 @@ def _number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pdf.assign(_run_t=run_t, _run_s=run_s, _idx=idx)
 
 
-def event_order(events: DataFrame, num_partitions: int | None = None, seq_col: str = "seq") -> DataFrame:
+def event_order(
+    events: DataFrame,
+    num_partitions: int | None = None,
+    seq_col: str = "seq",
+    materialize_input: bool = True,
+) -> DataFrame:
     """``events`` plus ``event_order`` (1-based) per ``(connectorid,
     deviceid)`` by ``(eventtime, seq)``; rows without a device or time get
-    none and are left out."""
+    none and are left out. ``materialize_input``: checkpoint the input before
+    the range exchange (see :func:`pulsegrid.config.materialize`)."""
     seq = F.col(seq_col) if seq_col in events.columns else F.lit(None)
     keyed = events.filter(F.col("deviceid").isNotNull() & F.col("eventtime").isNotNull()).select(
         *events.columns,
@@ -66,6 +73,8 @@ def event_order(events: DataFrame, num_partitions: int | None = None, seq_col: s
         F.unix_micros(F.col("eventtime").cast("timestamp")).alias("_t"),
         F.coalesce(seq.cast("bigint"), F.lit(LONG_MIN)).alias("_s"),
     )
+    if materialize_input:
+        keyed = materialize(keyed)
     order = _KEY + _ORDER
     ranged = keyed.repartitionByRange(num_partitions, *order) if num_partitions else keyed.repartitionByRange(*order)
     out_schema = T.StructType(

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pulsegrid.config import STATUS_ALIVE, STATUS_DEAD
+from pulsegrid.config import STATUS_ALIVE, STATUS_DEAD, materialize
 from pulsegrid.functions.routing import normalized_status
 from pulsegrid.operators.session_core import ALIVE, DEAD, NULL, Piece, combine, summarize
 
@@ -177,12 +177,20 @@ def _as_sessions(df: DataFrame) -> DataFrame:
     )
 
 
-def device_sessions(events: DataFrame, num_partitions: int | None = None, seq_col: str = "seq") -> DataFrame:
+def device_sessions(
+    events: DataFrame,
+    num_partitions: int | None = None,
+    seq_col: str = "seq",
+    materialize_input: bool = True,
+) -> DataFrame:
     """Closed alive-to-dead sessions of a finished event table.
 
     ``events``: ``connectorid, deviceid, eventtime, status[, seq]``.
     ``num_partitions``: range partitions for the scan (default: Spark's
     shuffle partition count, which adaptive execution may coalesce).
+    ``materialize_input``: checkpoint the coded ALIVE/DEAD events (six narrow
+    columns) before the range exchange, so that the upstream plan runs once
+    rather than once for the range sample and once for the shuffle.
     """
     coded = coded_events(events, seq_col).select(
         F.col("connectorid").isNull().alias("cnull"),
@@ -192,6 +200,8 @@ def device_sessions(events: DataFrame, num_partitions: int | None = None, seq_co
         "_s",
         "_code",
     )
+    if materialize_input:
+        coded = materialize(coded)
     order = ["cnull", "conn", "deviceid", "_t", "_s"]
     ranged = coded.repartitionByRange(num_partitions, *order) if num_partitions else coded.repartitionByRange(*order)
     scanned = ranged.sortWithinPartitions(*order).mapInPandas(_scan, SCAN_SCHEMA)

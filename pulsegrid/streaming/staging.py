@@ -3,7 +3,7 @@ streaming queries of the catalogue (the stand-in for a broker topic)."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +16,7 @@ def write_time_slices(
     n_slices: int,
     to_messages: Callable[[DataFrame], DataFrame] | None = None,
     fmt: str = "parquet",
+    only: Sequence[int] | None = None,
 ) -> int:
     """Write ``rows`` as ``n_slices`` equal event-time ranges, oldest first,
     one write per slice into ``{path}/slice=NNNN`` (so file modification times
@@ -25,6 +26,8 @@ def write_time_slices(
     message log). Only ``min``/``max`` of the time column reach the driver.
     Returns the largest number of files written for one slice: read with
     ``maxFilesPerTrigger`` set to it, each micro-batch takes one slice.
+    ``only``: write just these slice numbers (e.g. to add input to a running
+    or restarted stream later).
     """
     bounds = rows.agg(
         F.min(F.unix_micros(F.col(time_col).cast("timestamp"))).alias("lo"),
@@ -34,7 +37,7 @@ def write_time_slices(
     width = max(1, (hi - lo) // n_slices + 1)
     slice_no = F.floor((F.unix_micros(F.col(time_col).cast("timestamp")) - F.lit(lo)) / F.lit(width)).cast("int")
     files = 1
-    for i in range(n_slices):
+    for i in range(n_slices) if only is None else only:
         part = rows.filter(slice_no == i)
         if to_messages is not None:
             part = to_messages(part)

@@ -177,3 +177,36 @@ def test_sessions_with_rocksdb_state(spark, workdir):
         assert _sessions(spark, workdir, batches) == [(1, 2), (3, 4)]
     finally:
         spark.conf.set(key, old)
+
+
+def _staged_sessions(spark, workdir, n_slices, phases):
+    from pulsegrid.operators.decode import decode_events as dec
+    from pulsegrid.sources import testbed
+    from pulsegrid.streaming.staging import write_time_slices
+
+    from tests.conftest import SF_SMALL
+
+    ev = testbed.device_events(spark, SF_SMALL)
+    per = 1
+    for only in phases:
+        per = write_time_slices(ev, "eventtime", f"{workdir}/in", n_slices, testbed.messages_from_events, only=only)
+        src = message_file_stream(spark, f"{workdir}/in/slice=*", max_files_per_trigger=per)
+        start_sessions(src, f"{workdir}/out", f"{workdir}/chk", trigger=AVAILABLE_NOW).awaitTermination()
+    got = sorted(tuple(r) for r in read_batch_table(spark, f"{workdir}/out").drop("batch_id").collect())
+    from pulsegrid.operators.sessions import device_sessions
+
+    want = sorted(tuple(r) for r in device_sessions(dec(testbed.message_log(spark, SF_SMALL))).collect())
+    return got, want
+
+
+def test_sessions_equal_for_1_2_4_input_slices(spark):
+    import tempfile
+
+    for n in (1, 2, 4):
+        got, want = _staged_sessions(spark, tempfile.mkdtemp(prefix="pg-cut-"), n, [None])
+        assert got == want and len(want) > 50, n
+
+
+def test_sessions_restart_on_same_checkpoint(spark, workdir):
+    got, want = _staged_sessions(spark, workdir, 4, [[0, 1], [2, 3]])
+    assert got == want
