@@ -9,6 +9,7 @@ share of all readings is spread over ``salt_buckets`` tasks instead of one.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -90,6 +91,12 @@ def validate_readings(
         salt = F.pmod(F.xxhash64("eventtime", "variableid", "value"), F.lit(n)).cast("int")
         left = readings.withColumn("_salt", salt)
         right = lookup.withColumn("_m_salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+        if readings.isStreaming:
+            # Every micro-batch joins against the same static side: partition
+            # it once on the join keys and keep it, so that a trigger only
+            # shuffles its own readings.
+            parts = int(readings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            right = right.repartition(parts, "_m_deviceid", "_m_salt").persist(StorageLevel.MEMORY_AND_DISK)
         joined = left.join(
             right,
             (F.col("deviceid") == F.col("_m_deviceid")) & (F.col("_salt") == F.col("_m_salt")),

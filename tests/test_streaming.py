@@ -210,3 +210,25 @@ def test_sessions_equal_for_1_2_4_input_slices(spark):
 def test_sessions_restart_on_same_checkpoint(spark, workdir):
     got, want = _staged_sessions(spark, workdir, 4, [[0, 1], [2, 3]])
     assert got == want
+
+
+def test_stream_salted_join_equals_broadcast(spark, workdir):
+    from pulsegrid.operators.validate import validate_readings
+
+    meta = spark.createDataFrame([("g", d, "c", d % 3, "v", 1, "DOUBLE", 1) for d in range(1, 6)], METADATA)
+    rows = [(f"{d},1", reading(d, c, _ts(m), [("v", float(m))]), m) for d in range(1, 8) for c in (d % 3, 2) for m in range(3)]
+    write_files(spark, f"{workdir}/in", [rows])
+    out = {}
+    for strategy in ("broadcast", "salted"):
+        src = message_file_stream(spark, f"{workdir}/in/slice=*")
+        v = validate_readings(decode_readings(src), meta, strategy=strategy, salt_buckets=4)
+        q = (
+            v.writeStream.format("parquet")
+            .option("path", f"{workdir}/out_{strategy}")
+            .option("checkpointLocation", f"{workdir}/chk_{strategy}")
+            .trigger(availableNow=True)
+            .start()
+        )
+        q.awaitTermination()
+        out[strategy] = sorted(tuple(r) for r in spark.read.parquet(f"{workdir}/out_{strategy}").collect())
+    assert out["salted"] == out["broadcast"] and len(out["salted"]) == 42
