@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.config import EVENT_FLAG, READING_FLAG
 from pulsegrid.functions.routing import message_flag
-from pulsegrid.schemas import EVENT_MESSAGE, READING_MESSAGE
+from pulsegrid.schemas import EVENT, EVENT_MESSAGE, READING, READING_MESSAGE
 
 # Fixed texts of the malformed output (our own).
 REASON_BAD_KEY = "key has no integer flag"
@@ -90,7 +90,8 @@ def decode_readings(messages: DataFrame) -> DataFrame:
         F.col("v.variableid").alias("variableid"),
         F.col("v.value").try_cast("double").alias("value"),
     )
-    return out.filter(F.col("value").isNotNull())
+    # typed view: the declared reading schema, column order and types checked
+    return out.filter(F.col("value").isNotNull()).to(READING)
 
 
 def decode_events(messages: DataFrame, seq_col: str | None = "seq") -> DataFrame:
@@ -109,7 +110,7 @@ def decode_events(messages: DataFrame, seq_col: str | None = "seq") -> DataFrame
         F.col("j.header.eventtime").alias("eventtime"),
         F.col("j.values.status").alias("status"),
         F.col("seq"),
-    )
+    ).to(EVENT)
 
 
 def malformed_messages(messages: DataFrame) -> DataFrame:

@@ -36,6 +36,7 @@ from pulsegrid.plans.pipelines import (
     window_averages,
 )
 from pulsegrid.schemas import READING_MESSAGE
+from pulsegrid.sinks.tables import latest_by_key
 from pulsegrid.sources import testbed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -229,11 +230,8 @@ def q_latest_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     msgs = testbed.multi_value_log(spark, sf_dir)
     ingested = ingest_readings(msgs, _metadata(spark, sf_dir))
     rows = good_table_rows(good_records(ingested), compat_key=True)
-    cols = ["CONNECTORID", "DEVICEID", "EVENTTIME", "VARIABLEID", "VALUE"]
-    latest = rows.groupBy("row_key").agg(
-        F.max_by(F.struct(*cols), F.struct("VARIABLEID", "VALUE")).alias("r")
-    )
-    return latest.select(F.hex("row_key").alias("row_key"), *[F.col(f"r.{c}").alias(c) for c in cols])
+    latest = latest_by_key(rows, "row_key", ["VARIABLEID", "VALUE"])
+    return latest.withColumn("row_key", F.hex("row_key"))
 
 
 # --- aggregations -----------------------------------------------------------
