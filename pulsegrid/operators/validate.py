@@ -84,6 +84,9 @@ def validate_readings(
     lookup = _lookup(metadata, order_col)
     if strategy == "auto":
         strategy = choose_join_strategy(metadata, max_broadcast_rows)
+    if readings.isStreaming and strategy == "broadcast":
+        # a snapshot, computed once for the query instead of once per trigger
+        lookup = lookup.persist(StorageLevel.MEMORY_AND_DISK)
     if strategy == "broadcast":
         joined = readings.join(F.broadcast(lookup), F.col("deviceid") == F.col("_m_deviceid"), "left")
     elif strategy == "salted":

@@ -31,11 +31,14 @@ from pulsegrid.streaming.queries import (
 )
 from pulsegrid.streaming.staging import write_time_slices
 
-N_FILES = 4
+N_FILES = 4  # time slices staged per streaming query (one micro-batch each)
 AVAILABLE_NOW = {"availableNow": True}
+# progress of the last run of each streaming query (for the benchmark)
+LAST_PROGRESS: dict[str, list[dict]] = {}
 
 
-def _stage_messages(spark: SparkSession, sf_dir: str, root: str, n_slices: int = N_FILES) -> tuple[str, int]:
+def _stage_messages(spark: SparkSession, sf_dir: str, root: str, n_slices: int | None = None) -> tuple[str, int]:
+    n_slices = n_slices or N_FILES
     path = f"{root}/input"
     per_slice = write_time_slices(
         testbed.device_events(spark, sf_dir), "eventtime", path, n_slices, to_messages=testbed.messages_from_events
@@ -48,10 +51,12 @@ def _stream(spark: SparkSession, staged: tuple[str, int]) -> DataFrame:
     return message_file_stream(spark, f"{path}/slice=*", schema=MESSAGE, max_files_per_trigger=per_slice)
 
 
-def _run(query) -> None:
+def _run(query, label: str | None = None) -> None:
     query.awaitTermination()
     if query.exception() is not None:  # pragma: no cover
         raise RuntimeError(str(query.exception()))
+    if label:
+        LAST_PROGRESS[label] = list(query.recentProgress)
 
 
 def q_ingest_stream_good(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,7 +72,7 @@ def q_ingest_stream_good(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{root}/chk",
         trigger=AVAILABLE_NOW,
     )
-    _run(q)
+    _run(q, "ingest_stream_good")
     good = read_batch_table(spark, f"{root}/good")
     return good.drop("batch_id").withColumn("row_key", F.hex("row_key"))
 
@@ -85,7 +90,7 @@ def q_window_avg_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{root}/chk",
         trigger=AVAILABLE_NOW,
     )
-    _run(q)
+    _run(q, "window_avg_stream")
     return _averages_out(read_batch_table(spark, f"{root}/out").drop("batch_id"))
 
 
@@ -112,7 +117,7 @@ def q_device_sessions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_scratch_dir(spark, "sessions")
     src = _stage_messages(spark, sf_dir, root)
     q = start_sessions(_stream(spark, src), f"{root}/out", f"{root}/chk", trigger=AVAILABLE_NOW)
-    _run(q)
+    _run(q, "device_sessions_stream")
     return _sessions_out(read_batch_table(spark, f"{root}/out").drop("batch_id"))
 
 

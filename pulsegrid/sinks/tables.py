@@ -14,20 +14,39 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.operators.validate import error_records, good_records
+from pulsegrid.operators.validate import error_records, good_records, is_good
 from pulsegrid.plans.pipelines import error_table_rows, good_table_rows
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:
-    """Overwrite ``{path}/batch_id={batch_id}`` with ``df``."""
+ROWS_PER_FILE = 2_000_000
+
+
+def write_batch(
+    df: DataFrame, path: str, batch_id: int, fmt: str = "parquet", n_rows: int | None = None
+) -> None:
+    """Overwrite ``{path}/batch_id={batch_id}`` with ``df``.
+
+    With ``n_rows`` known (counted on a persisted batch), the output is
+    coalesced to about ``ROWS_PER_FILE`` rows per file: a micro-batch would
+    otherwise write one small file per shuffle partition on every trigger.
+    """
+    if n_rows is not None:
+        files = max(1, -(-n_rows // ROWS_PER_FILE))
+        if files < df.rdd.getNumPartitions():
+            df = df.coalesce(files)
     df.write.mode("overwrite").format(fmt).save(f"{path.rstrip('/')}/batch_id={int(batch_id)}")
 
 
 def batch_directory_writer(path: str, fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function writing each micro-batch to its own directory."""
+    """``foreachBatch`` function writing each micro-batch to its own directory
+    (persisted once: counted for file sizing, then written)."""
 
     def _write(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, path, batch_id, fmt)
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            write_batch(batch, path, batch_id, fmt, n_rows=batch.count())
+        finally:
+            batch.unpersist()
 
     return _write
 
@@ -45,8 +64,11 @@ def routed_table_writer(
     def _write(batch: DataFrame, batch_id: int) -> None:
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            write_batch(good_table_rows(good_records(batch), compat_key), good_path, batch_id)
-            write_batch(error_table_rows(error_records(batch), compat_key), error_path, batch_id)
+            counts = {r["g"]: r["n"] for r in batch.groupBy(is_good().alias("g")).agg(F.count(F.lit(1)).alias("n")).collect()}
+            good = good_table_rows(good_records(batch), compat_key)
+            error = error_table_rows(error_records(batch), compat_key)
+            write_batch(good, good_path, batch_id, n_rows=counts.get(True, 0))
+            write_batch(error, error_path, batch_id, n_rows=counts.get(False, 0))
         finally:
             batch.unpersist()
 
