@@ -106,3 +106,26 @@ def materialize(df):
     """
     scratch_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+# Settings for large clusters (our own recommendation, applied by the caller
+# when building the session; nothing here changes results).
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+def apply_cluster_conf(builder):
+    """``SparkSession.builder`` with :data:`CLUSTER_CONF`; the shared
+    ``spark.checkpoint.dir`` and shuffle partitions stay the cluster's."""
+    for k, v in CLUSTER_CONF.items():
+        builder = builder.config(k, v)
+    return builder

@@ -96,3 +96,8 @@ def average_lines(averages: DataFrame) -> DataFrame:
 def session_lines(sessions: DataFrame) -> DataFrame:
     """``value`` lines ``deviceid,start,end,state`` (Kafka-shaped)."""
     return sessions.select(session_line().alias("value"))
+
+
+def word_count_lines(counts: DataFrame) -> DataFrame:
+    """``value`` lines ``word,count`` (word counts to a topic, complete mode)."""
+    return counts.select(F.concat_ws(",", F.col("value"), F.col("count").cast("string")).alias("value"))

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pulsegrid.config import AVERAGE_WINDOW, DEDUP_WATERMARK
 from pulsegrid.operators.decode import decode_events
-from pulsegrid.plans.pipelines import ingest_readings, window_averages
+from pulsegrid.plans.pipelines import average_lines, ingest_readings, session_lines, window_averages
 from pulsegrid.sinks.tables import batch_directory_writer, routed_table_writer
 from pulsegrid.streaming.state import device_sessions_stream
 
@@ -127,6 +127,44 @@ def start_sessions(
     return _start(writer, checkpoint, trigger, name)
 
 
+def average_line_stream(
+    messages: DataFrame,
+    metadata: DataFrame,
+    window: str = AVERAGE_WINDOW,
+    watermark: str = DEDUP_WATERMARK,
+    **join_opts,
+) -> DataFrame:
+    """Entry 2 as Kafka-shaped ``value`` lines ``[start,end],deviceid,variableid,avg``."""
+    ingested = ingest_readings(messages, metadata, watermark=watermark, **join_opts)
+    return average_lines(window_averages(ingested, window=window))
+
+
+def session_line_stream(messages: DataFrame) -> DataFrame:
+    """Entry 3 as Kafka-shaped ``value`` lines ``deviceid,start,end,DEAD``."""
+    return session_lines(device_sessions_stream(decode_events(messages)))
+
+
+def start_lines_to_kafka(
+    lines: DataFrame,
+    bootstrap_servers: str,
+    topic: str,
+    checkpoint: str,
+    output_mode: str = "update",
+    trigger: dict | None = None,
+    name: str | None = None,
+) -> StreamingQuery:
+    """The reference's two topic writers (averages, sessions): update mode,
+    explicit checkpoint."""
+    writer = (
+        lines.select("value")
+        .writeStream.format("kafka")
+        .outputMode(output_mode)
+        .option("kafka.bootstrap.servers", bootstrap_servers)
+        .option("topic", topic)
+    )
+    return _start(writer, checkpoint, trigger, name)
+
+
 def await_any(spark, timeout: float | None = None) -> None:
     """Wait until any active query ends; a failing query is seen at once."""
     spark.streams.awaitAnyTermination(timeout) if timeout else spark.streams.awaitAnyTermination()

@@ -232,3 +232,31 @@ def test_stream_salted_join_equals_broadcast(spark, workdir):
         q.awaitTermination()
         out[strategy] = sorted(tuple(r) for r in spark.read.parquet(f"{workdir}/out_{strategy}").collect())
     assert out["salted"] == out["broadcast"] and len(out["salted"]) == 42
+
+
+def test_line_streams(spark, workdir):
+    from pulsegrid.streaming.queries import average_line_stream, session_line_stream
+
+    meta = spark.createDataFrame([("g", 1, "c", 1, "v", 1, "DOUBLE", 1)], METADATA)
+    batches = [
+        [("1,1", reading(1, 1, "2018-07-20 13:19:00.000", [("1", 20.0)]), 1), ("1,0", event(1, 1, "2018-07-20 13:20:00.000", "ALIVE"), 2)],
+        [("1,0", event(1, 1, "2018-07-20 13:25:01.120", "DEAD"), 3), ("1,1", reading(1, 1, "2018-07-20 13:45:00.000", [("1", 1.0)]), 4)],
+    ]
+    write_files(spark, f"{workdir}/in", batches)
+    src = message_file_stream(spark, f"{workdir}/in/slice=*")
+    for name, lines in (("avg", average_line_stream(src, meta)), ("sess", session_line_stream(src))):
+        mode = "append" if name == "avg" else "update"
+        q = (
+            lines.writeStream.outputMode(mode)
+            .foreachBatch(lambda df, i, n=name: df.write.mode("append").text(f"{workdir}/{n}"))
+            .option("checkpointLocation", f"{workdir}/chk_{name}")
+            .trigger(availableNow=True)
+            .start()
+        )
+        q.awaitTermination()
+    assert [r.value for r in spark.read.text(f"{workdir}/avg").collect()] == [
+        "[2018-07-20 13:18:00.0,2018-07-20 13:21:00.0],1,1,20.0"
+    ]
+    assert [r.value for r in spark.read.text(f"{workdir}/sess").collect()] == [
+        "1,2018-07-20 13:20:00.0,2018-07-20 13:25:01.12,DEAD"
+    ]
