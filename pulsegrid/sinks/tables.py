@@ -64,11 +64,15 @@ def routed_table_writer(
     def _write(batch: DataFrame, batch_id: int) -> None:
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            counts = {r["g"]: r["n"] for r in batch.groupBy(is_good().alias("g")).agg(F.count(F.lit(1)).alias("n")).collect()}
+            # one global aggregate (two numbers) sizes both outputs
+            n_good, n_all = batch.select(
+                F.sum(is_good().cast("long")).alias("g"), F.count(F.lit(1)).alias("n")
+            ).first()
+            n_good, n_all = int(n_good or 0), int(n_all or 0)
             good = good_table_rows(good_records(batch), compat_key)
             error = error_table_rows(error_records(batch), compat_key)
-            write_batch(good, good_path, batch_id, n_rows=counts.get(True, 0))
-            write_batch(error, error_path, batch_id, n_rows=counts.get(False, 0))
+            write_batch(good, good_path, batch_id, n_rows=n_good)
+            write_batch(error, error_path, batch_id, n_rows=n_all - n_good)
         finally:
             batch.unpersist()
 
