@@ -65,3 +65,28 @@ def test_broadcast_only_below_row_limit(spark):
     # it into a broadcast at run time when the measured side is small)
     assert "_m_salt" in big_plan
     assert big.collect()[0].result == small.collect()[0].result == RESULT_SUCCESS
+
+
+def test_salted_join_spreads_a_hot_device(spark):
+    """One device with most readings: after the salted shuffle join its rows
+    sit in many partitions, not one."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        meta = _meta(spark, [(d, 1, 1) for d in range(1, 50)])
+        t0 = dt.datetime(2018, 7, 20)
+        rows = [("n", 1, 1, 1 if i % 10 else 1 + i % 49, t0 + dt.timedelta(seconds=i), "v", float(i)) for i in range(4000)]
+        r = spark.createDataFrame(rows, READING)
+        v = validate_readings(r, meta, strategy="salted", salt_buckets=16)
+        spread = v.filter("deviceid = 1").select(F.spark_partition_id().alias("p")).distinct().count()
+        assert spread >= 6
+        assert v.filter(F.col("result") == RESULT_SUCCESS).count() == 4000
+    finally:
+        for k, val in old.items():
+            spark.conf.set(k, val)
