@@ -120,9 +120,10 @@ def start_sessions(
     checkpoint: str,
     trigger: dict | None = None,
     name: str | None = None,
+    state_timeout_ms: int | None = None,
 ) -> StreamingQuery:
     """Entry 3: status events to closed device sessions (update mode)."""
-    sessions = device_sessions_stream(decode_events(messages))
+    sessions = device_sessions_stream(decode_events(messages), state_timeout_ms=state_timeout_ms)
     writer = sessions.writeStream.outputMode("update").foreachBatch(batch_directory_writer(out_path))
     return _start(writer, checkpoint, trigger, name)
 

@@ -11,6 +11,7 @@ trigger is bounded by the trigger size (``maxOffsetsPerTrigger`` /
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,7 +54,11 @@ def fold_batch(open_since: int, t: np.ndarray, s: np.ndarray, code: np.ndarray)
     return sessions, new_open
 
 
-def _update(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+def _update(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState, timeout_ms: int | None = None) -> Iterator[pd.DataFrame]:
+    if state.hasTimedOut:
+        # no event for the timeout duration: the open session is dropped unseen
+        state.remove()
+        return
     frames = [p for p in pdfs if not p.empty]
     if not frames:
         return
@@ -70,6 +75,8 @@ def _update(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iter
             state.remove()
     else:
         state.update((new_open,))
+        if timeout_ms:
+            state.setTimeoutDuration(timeout_ms)
     if sessions:
         conn, dev = key
         yield pd.DataFrame(
@@ -82,12 +89,25 @@ def _update(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iter
         )
 
 
-def device_sessions_stream(events: DataFrame, seq_col: str = "seq") -> DataFrame:
+def device_sessions_stream(events: DataFrame, seq_col: str = "seq", state_timeout_ms: int | None = None) -> DataFrame:
     """Streaming sessions (update mode): ``connectorid, deviceid,
-    activeStartTime, activeEndTime, deviceactive``."""
+    activeStartTime, activeEndTime, deviceactive``.
+
+    By default a device that never sends DEAD keeps its open session in state
+    for good (as in the reference). ``state_timeout_ms`` drops an open
+    session after that much processing time without events for the device.
+    Timeouts are checked by a batch every trigger, so such a query keeps
+    running empty batches: use it with a processing-time trigger, not with
+    ``availableNow`` (which would never finish).
+    """
     coded = coded_events(events, seq_col)
+    if state_timeout_ms:
+        fn = functools.partial(_update, timeout_ms=int(state_timeout_ms))
+        timeout = GroupStateTimeout.ProcessingTimeTimeout
+    else:
+        fn, timeout = _update, GroupStateTimeout.NoTimeout
     out = coded.groupBy("connectorid", "deviceid").applyInPandasWithState(
-        _update, OUT_SCHEMA, STATE_SCHEMA, "Update", GroupStateTimeout.NoTimeout
+        fn, OUT_SCHEMA, STATE_SCHEMA, "Update", timeout
     )
     return out.select(
         "connectorid",

@@ -257,3 +257,38 @@ def test_line_streams(spark, workdir):
     assert [r.value for r in spark.read.text(f"{workdir}/sess").collect()] == [
         "1,2018-07-20 13:20:00.0,2018-07-20 13:25:01.12,DEAD"
     ]
+
+
+def test_session_state_timeout_drops_open_session(spark, workdir):
+    other = ("8,0", event(8, 1, _ts(2), "OTHER"), 9)
+    batches = [[_ev("ALIVE", 1, 1)], [other], [_ev("DEAD", 3, 2)]]
+    write_files(spark, f"{workdir}/in", batches)
+    # timeouts keep a query running empty batches (neither availableNow nor
+    # processAllAvailable ever finish): poll the progress, then stop
+    import time
+
+    q = start_sessions(
+        message_file_stream(spark, f"{workdir}/in/slice=*"),
+        f"{workdir}/out",
+        f"{workdir}/chk",
+        trigger={"processingTime": "200 milliseconds"},
+        state_timeout_ms=1,
+    )
+    try:
+        deadline = time.time() + 60
+        while time.time() < deadline:
+            prog = q.recentProgress
+            if sum(p["numInputRows"] for p in prog) >= 3 and len(prog) >= 5:
+                break
+            time.sleep(0.5)
+    finally:
+        q.stop()
+    out = read_batch_table(spark, f"{workdir}/out")
+    assert out.count() == 0
+
+
+def test_routing_uses_key_not_header_timeseries(spark):
+    body = reading(1, 1, _ts(0), [("v", 1.0)]).replace('"timeseries": 1', '"timeseries": 0')
+    msgs = messages(spark, [("1,1", body)])
+    rows = decode_readings(msgs).collect()
+    assert [(r.timeseries, r.value) for r in rows] == [(0, 1.0)]
