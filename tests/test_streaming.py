@@ -292,3 +292,25 @@ def test_routing_uses_key_not_header_timeseries(spark):
     msgs = messages(spark, [("1,1", body)])
     rows = decode_readings(msgs).collect()
     assert [(r.timeseries, r.value) for r in rows] == [(0, 1.0)]
+
+
+def test_app_runs_three_queries_on_files(spark, workdir):
+    from pulsegrid.streaming.app import parse_args, start_all
+
+    meta = spark.createDataFrame([("g", 1, "c", 1, "v", 1, "DOUBLE", 1)], METADATA)
+    meta.write.parquet(f"{workdir}/meta")
+    batches = [
+        [("1,1", reading(1, 1, _ts(0), [("v", 2.0)]), 1), ("1,0", event(1, 1, _ts(0), "ALIVE"), 2)],
+        [("1,1", reading(1, 1, _ts(40), [("v", 4.0)]), 3), ("1,0", event(1, 1, _ts(41), "DEAD"), 4)],
+    ]
+    write_files(spark, f"{workdir}/in", batches)
+    args = parse_args([
+        "--files", f"{workdir}/in/slice=*", "--metadata", f"{workdir}/meta",
+        "--tables", f"{workdir}/tables", "--checkpoints", f"{workdir}/chk", "--available-now",
+    ])
+    for q in start_all(spark, args):
+        q.awaitTermination()
+    assert read_batch_table(spark, f"{workdir}/tables/IOTTIMESERIES").count() == 2
+    assert read_batch_table(spark, f"{workdir}/tables/devicestate").count() == 1
+    avg = read_batch_table(spark, f"{workdir}/tables/timeserieswindow")
+    assert [r.avg_value for r in avg.collect()] == [2.0]
