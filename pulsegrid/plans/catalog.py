@@ -35,7 +35,8 @@ from pulsegrid.plans.pipelines import (
     session_lines,
     window_averages,
 )
-from pulsegrid.schemas import READING_MESSAGE
+from pulsegrid.schemas import READING_MESSAGE, REPORT
+from pulsegrid.sources.tables import read_table
 from pulsegrid.sinks.tables import latest_by_key
 from pulsegrid.sources import testbed
 
@@ -153,10 +154,8 @@ def q_json_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_nested_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested ``Report.tl[]`` documents built from ``events`` and exploded."""
-    from pulsegrid.schemas import REPORT
-
     use_utc(spark)
-    ev = testbed.read_table(spark, sf_dir, "events")
+    ev = read_table(spark, sf_dir, "events")
     doc = F.to_json(
         F.struct(
             F.lit(None).cast("string").alias("ErrorMessage"),

@@ -23,6 +23,7 @@ from pulsegrid.schemas import LINE, MESSAGE
 from pulsegrid.sinks.tables import batch_directory_writer, latest_by_key, read_batch_table
 from pulsegrid.sources import testbed
 from pulsegrid.sources.files import message_file_stream
+from pulsegrid.sources.tables import read_table
 from pulsegrid.streaming.queries import (
     readings_table_stream,
     start_dedup_table,
@@ -162,7 +163,7 @@ def q_word_count_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     holds the full counts."""
     root = new_scratch_dir(spark, "words")
     src = f"{root}/input"
-    docs = testbed.read_table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("value"))
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("value"))
     n = N_FILES
     for i in range(n):
         docs.filter(F.pmod(F.col("doc_id"), F.lit(n)) == i).select("value").write.mode("overwrite").parquet(
