@@ -76,3 +76,11 @@ def test_console_and_csv_sinks_and_await_any(spark, workdir, capsys):
     await_any(spark, timeout=120)
     q2.awaitTermination()
     assert sorted(r.value for r in spark.read.text(f"{workdir}/csv").collect()) == ["A B A", "C"]
+
+
+def test_word_count_lines(spark):
+    from pulsegrid.plans.pipelines import word_count_lines
+
+    lines = spark.createDataFrame([("a b a",)], "value string")
+    got = sorted(r.value for r in word_count_lines(word_count(lines)).collect())
+    assert got == ["a,2", "b,1"]
