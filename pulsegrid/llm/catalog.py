@@ -9,6 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pulsegrid.llm.common import read_documents
 from pulsegrid.llm.mixing import plan_mix
 from pulsegrid.llm.sharding import shard_by_bytes
+from pulsegrid.llm.token_files import token_digest
+
+TOKENIZER = "word_bpe_49k.json"
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents written as token files and read back."""
+    return token_digest(read_documents(spark, sf_dir), str(tokenizer_path()), end_id=1)
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,7 +74,7 @@ select doc_id, size, source_size, target, size * copies as taken, source, rate,
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op4_sharding": op4_sharding, "op6_mixing": op6_mixing}
+    return {"op2_token_files": op2_token_files, "op4_sharding": op4_sharding, "op6_mixing": op6_mixing}
 
 
 def oracle_sql() -> dict[str, str]:
