@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pulsegrid.llm.common import read_documents
+from pulsegrid.llm.inverted_index import decontamination_report
 from pulsegrid.llm.mixing import plan_mix
 from pulsegrid.llm.sharding import shard_by_bytes
 from pulsegrid.llm.token_files import token_digest
@@ -38,6 +39,11 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents hit by 10-word windows of the benchmark."""
+    return decontamination_report(read_documents(spark, sf_dir), read_documents(spark, sf_dir, "benchmark"))
+
+
 MIXING_SQL = r"""
 with d as (
   select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as size from documents
@@ -74,7 +80,12 @@ select doc_id, size, source_size, target, size * copies as taken, source, rate,
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_token_files": op2_token_files, "op4_sharding": op4_sharding, "op6_mixing": op6_mixing}
+    return {
+        "op2_token_files": op2_token_files,
+        "op4_sharding": op4_sharding,
+        "op6_mixing": op6_mixing,
+        "op10_decontamination": op10_decontamination,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
