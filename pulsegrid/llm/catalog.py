@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pulsegrid.llm.common import read_documents
+from pulsegrid.llm.cross_polytope import nearest_neighbours
 from pulsegrid.llm.inverted_index import decontamination_report
 from pulsegrid.llm.mixing import plan_mix
 from pulsegrid.llm.sharding import shard_by_bytes
@@ -39,6 +40,11 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest found of every hundredth embedding among all."""
+    return nearest_neighbours(read_documents(spark, sf_dir, "embeddings"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents hit by 10-word windows of the benchmark."""
     return decontamination_report(read_documents(spark, sf_dir), read_documents(spark, sf_dir, "benchmark"))
@@ -84,6 +90,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_token_files": op2_token_files,
         "op4_sharding": op4_sharding,
         "op6_mixing": op6_mixing,
+        "op8_neighbours": op8_neighbours,
         "op10_decontamination": op10_decontamination,
     }
 
