@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pulsegrid.llm.common import read_documents
 from pulsegrid.llm.cross_polytope import nearest_neighbours
+from pulsegrid.llm.interpolated_lm import score_documents
 from pulsegrid.llm.inverted_index import decontamination_report
 from pulsegrid.llm.mixing import plan_mix
 from pulsegrid.llm.sharding import shard_by_bytes
@@ -22,6 +23,11 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deleted-interpolation score of every document."""
+    return score_documents(read_documents(spark, sf_dir))
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents written as token files and read back."""
     return token_digest(read_documents(spark, sf_dir), str(tokenizer_path()), end_id=1)
@@ -87,6 +93,7 @@ select doc_id, size, source_size, target, size * copies as taken, source, rate,
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_lm_scores": op1_lm_scores,
         "op2_token_files": op2_token_files,
         "op4_sharding": op4_sharding,
         "op6_mixing": op6_mixing,
