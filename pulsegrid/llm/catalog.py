@@ -10,6 +10,7 @@ from pulsegrid.llm.common import read_documents
 from pulsegrid.llm.cross_polytope import nearest_neighbours
 from pulsegrid.llm.interpolated_lm import score_documents
 from pulsegrid.llm.inverted_index import decontamination_report
+from pulsegrid.llm.line_crf import score_documents as score_quality
 from pulsegrid.llm.mixing import plan_mix
 from pulsegrid.llm.sharding import shard_by_bytes
 from pulsegrid.llm.token_files import token_digest
@@ -51,6 +52,11 @@ def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(read_documents(spark, sf_dir, "embeddings"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document from the field over its lines."""
+    return score_quality(read_documents(spark, sf_dir), read_documents(spark, sf_dir, "labels"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents hit by 10-word windows of the benchmark."""
     return decontamination_report(read_documents(spark, sf_dir), read_documents(spark, sf_dir, "benchmark"))
@@ -98,6 +104,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_sharding": op4_sharding,
         "op6_mixing": op6_mixing,
         "op8_neighbours": op8_neighbours,
+        "op9_quality": op9_quality,
         "op10_decontamination": op10_decontamination,
     }
 
