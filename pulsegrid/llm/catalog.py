@@ -14,6 +14,7 @@ from pulsegrid.llm.line_crf import score_documents as score_quality
 from pulsegrid.llm.mixing import plan_mix
 from pulsegrid.llm.sharding import shard_by_bytes
 from pulsegrid.llm.token_files import token_digest
+from pulsegrid.llm.toxic_segments import score_documents as score_toxicity
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -34,6 +35,11 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digest(read_documents(spark, sf_dir), str(tokenizer_path()), end_id=1)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document from its maximum-scoring segments."""
+    return score_toxicity(read_documents(spark, sf_dir), read_documents(spark, sf_dir, "labels"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards of nearly equal bytes."""
     return shard_by_bytes(read_documents(spark, sf_dir), shards=24)
@@ -101,6 +107,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_lm_scores": op1_lm_scores,
         "op2_token_files": op2_token_files,
+        "op3_toxicity": op3_toxicity,
         "op4_sharding": op4_sharding,
         "op6_mixing": op6_mixing,
         "op8_neighbours": op8_neighbours,

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.llm.common import id_remainder, stored
+from pulsegrid.llm.learning import fit_logistic, label_weights, sample_ids
 
 FOLDS, HELD_FOLD = 3, 1
 SAMPLE_DOCS = 3_000
@@ -203,21 +204,6 @@ def quality(x: np.ndarray, length: np.ndarray, per_text: np.ndarray, w: np.ndarr
     return np.add.reduceat(good * weight, starts) / np.add.reduceat(weight, starts)
 
 
-def fit_curve(value: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
-    """Logistic curve on the log odds of ``value``: Newton with a light penalty."""
-    z = log_odds(value)
-    a, b = 0.0, 1.0
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-(a + b * z)))
-        slope = np.array([(weight * (labels - p)).sum() - 0.01 * a, (weight * (labels - p) * z).sum() - 0.01 * (b - 1)])
-        d = weight * p * (1 - p)
-        h = np.array([[d.sum() + 0.01, (d * z).sum()], [(d * z).sum(), (d * z * z).sum() + 0.01]])
-        step = np.linalg.solve(h, slope)
-        step *= min(1.0, 2.0 / max(1e-12, np.abs(step).max()))
-        a, b = a + step[0], b + step[1]
-    return float(a), float(b)
-
-
 def log_odds(value: np.ndarray) -> np.ndarray:
     v = np.clip(value, 1e-4, 1 - 1e-4)
     return np.log(v / (1 - v))
@@ -258,11 +244,8 @@ def _sample_rows(batches) -> Iterator[pa.RecordBatch]:
 
 def training_sample(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str, text_col: str) -> DataFrame:
     """``label, own, length`` of the bounded sample: line features per document."""
-    rows = labels.select(F.col("doc_id").cast("long").alias("_id"), F.col(label_col).cast("int").alias("label"))
-    rows = rows.filter((id_remainder("_id", FOLDS) != HELD_FOLD) & F.col("_id").isNotNull()).distinct()
     order = [F.xxhash64("_id", F.lit(9)), "_id"]
-    picked = [rows.filter(F.col("label") == y).orderBy(*order).limit(SAMPLE_DOCS) for y in (0, 1)]
-    ids = stored(picked[0].unionByName(picked[1]), "crf-sample")  # at most 2 x SAMPLE_DOCS rows
+    ids = sample_ids(labels, label_col, FOLDS, HELD_FOLD, SAMPLE_DOCS, "crf-sample")
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("text"))
     found = stored(texts.join(F.broadcast(ids), "_id").select("_id", "label", "text").dropDuplicates(["_id", "label"]), "crf-texts")
     lines = F.coalesce(F.length("text") - F.length(F.replace("text", F.lit("\n"))), F.lit(0)) + 1
@@ -299,10 +282,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
     x = with_neighbours(own, per_text)
     w, moves = fit_field(x, per_text, y)
     value = quality(x, np.concatenate(lengths), per_text, w, moves)
-    every = labels.filter((id_remainder("doc_id", FOLDS) != HELD_FOLD) & F.col(label_col).isin(0, 1))
-    share = {r[0]: r[1] for r in every.groupBy(F.col(label_col).cast("int")).count().collect()}
-    weight = np.array([share[k] for k in y.tolist()]) / np.bincount(y)[y]
-    return Model(w, moves, fit_curve(value, y, weight * len(y) / weight.sum()))
+    weight = label_weights(labels, label_col, FOLDS, HELD_FOLD, y)
+    return Model(w, moves, fit_logistic(log_odds(value), y, weight))
 
 
 def score_documents(

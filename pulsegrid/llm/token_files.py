@@ -21,9 +21,11 @@ from __future__ import annotations
 import os
 import re
 import struct
+import sys
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +39,7 @@ LEVEL = 1
 TABLE_MAGIC, SEEK_FRAME_MAGIC, SEEK_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 HAS_CHECKSUMS = 0x80
 BLOCK_WORDS = 200_000
-KEPT_WORDS = 1_000_000  # encodings kept by a task; beyond, it starts anew
+KEPT_WORDS = 1_000_000  # encodings kept by a Python worker; beyond, it starts anew
 DOC = np.dtype([("id", "<i8"), ("null", "u1"), ("n", "<u8")])
 FRAME = np.dtype([("packed", "<u4"), ("size", "<u4"), ("check", "<u4")])
 
@@ -72,6 +74,17 @@ class Encoder:
         self.width = 2 if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
         self.reset()
 
+    @classmethod
+    def of_worker(cls, path: str, end_id: int, piecewise: bool) -> "Encoder":
+        """The encoder of this Python process. Spark runs many tasks in one
+        worker, and functions arrive anew with each task, so what outlives a task stands in a module of its
+        own: later tasks find the words of earlier ones encoded."""
+        kept = sys.modules.setdefault("_pulsegrid_worker", ModuleType("_pulsegrid_worker")).__dict__
+        key = ("encoder", path, end_id, piecewise)
+        if key not in kept:
+            kept[key] = cls(path, end_id, piecewise)
+        return kept[key]
+
     def reset(self) -> None:
         self.words = Vocabulary()
         self.words[b""] = 0  # the end of a document
@@ -237,7 +250,7 @@ def _write_part(batches, folder: str, path: str, end_id: int, piecewise: bool):
 
     store, root = open_store(folder)
     part = TaskContext.get().partitionId()
-    encoder = Encoder(path, end_id, piecewise)
+    encoder = Encoder.of_worker(path, end_id, piecewise)
     final = f"{root}/part-{part:06d}.ztok"
     # an attempt writes under a name of its own and renames: a lost or repeated attempt leaves no half file
     attempt = f"{root}/_attempt-{part:06d}-{TaskContext.get().taskAttemptId()}"
