@@ -2,10 +2,11 @@
 
 Units are whole words and their runs of 3 to 6 characters (word ends
 marked), so that inflected forms share evidence. A unit's log-odds between
-toxic and clean documents have an informative Dirichlet prior (the units'
-shares in both, worth ``PRIOR`` counts); units whose z-score reaches ``MIN_Z`` form the
-lexicon, at most ``LEXICON`` of them. A word scores the best lower bound of the
-log-odds of its units, any other word a small negative drift.
+toxic and clean documents have a Dirichlet prior (``FLAT`` for each, and the units'
+shares in both together, worth ``PRIOR`` counts); units whose z-score reaches ``MIN_Z``
+and whose lower bound reaches ``MIN_ODDS`` form the lexicon, at most ``LEXICON`` of them. A word
+that stands in ``WORD_DOCS`` documents is judged by itself, a rarer one by its best
+unit: it scores that lower bound, any other word a small negative drift.
 
 A linear-time scan finds every maximal scoring segment of a document (all
 disjoint passages that cannot be extended or split to score higher). With lambda the root of
@@ -40,8 +41,11 @@ CURVE_SHARE = 5
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 GRAMS = range(3, 7)
 PRIOR = 1_000.0
+FLAT = 0.5
 MIN_Z = 3.0
+MIN_ODDS = 1.0
 MIN_DOCS = 3
+WORD_DOCS = 10
 LEXICON = 50_000
 DRIFT = 0.1
 MAX_CHANCE = 1e-2
@@ -95,9 +99,10 @@ class Model:
         self.known: dict[bytes, float] = {}
 
     def word_score(self, word: bytes) -> float:
-        best = 0.0
-        for u in units(word.decode("utf-8", "replace")):
-            best = max(best, self.lexicon.get(u, 0.0))
+        text = word.decode("utf-8", "replace")
+        best = self.lexicon.get(f"^{text}$")
+        if best is None:
+            best = max(self.lexicon.get(u, 0.0) for u in units(text))
         return best or -DRIFT
 
     def passages(self, text: str | None) -> tuple[int, list[tuple[int, int, float]]]:
@@ -161,9 +166,10 @@ def log_odds(sample: DataFrame) -> DataFrame:
     )
     counts = stored(counts, "toxic-units")
     nt, nc = (float(x or 0) for x in counts.agg(F.sum("toxic"), F.sum("clean")).first())
-    prior = (F.col("toxic") + F.col("clean")) * F.lit(PRIOR / max(1.0, nt + nc))
+    prior = (F.col("toxic") + F.col("clean")) * F.lit(PRIOR / max(1.0, nt + nc)) + FLAT
+    mass = PRIOR + FLAT * counts.count()
     t, c = F.col("toxic") + prior, F.col("clean") + prior
-    odds = F.log(t / (nt + PRIOR - t)) - F.log(c / (nc + PRIOR - c))
+    odds = F.log(t / (nt + mass - t)) - F.log(c / (nc + mass - c))
     return counts.withColumn("odds", odds).withColumn("z", odds / F.sqrt(1 / t + 1 / c))
 
 
@@ -201,8 +207,13 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
     curve_part = F.pmod(F.xxhash64("_id", F.lit(5)), F.lit(CURVE_SHARE)) == 0
     odds = log_odds(sample.filter(~curve_part).select("label", "text"))
     lower = F.col("odds") - 1.64 * F.col("odds") / F.col("z")
-    rows = odds.filter((F.col("z") >= MIN_Z) & (F.col("toxic") >= MIN_DOCS)).orderBy(F.desc("z"), "unit").limit(LEXICON)
-    lexicon = {r["unit"]: r["s"] for r in rows.select("unit", lower.alias("s")).filter("s > 0").collect()}
+    odds = odds.withColumn("s", lower)
+    strong = (F.col("z") >= MIN_Z) & (F.col("toxic") >= MIN_DOCS) & (F.col("s") >= MIN_ODDS)
+    common = F.col("unit").rlike(r"^\^.*\$$") & (F.col("toxic") + F.col("clean") >= WORD_DOCS)
+    words = odds.filter(common & ~strong).orderBy(F.desc(F.col("toxic") + F.col("clean")), "unit").limit(LEXICON)
+    lexicon = {r["unit"]: 0.0 for r in words.select("unit").collect()}
+    rows = odds.filter(strong).orderBy(F.desc("z"), "unit").limit(LEXICON)
+    lexicon |= {r["unit"]: r["s"] for r in rows.select("unit", "s").collect()}
     model = Model(lexicon, 0.0, (0.0, 1.0))
     held = sample.filter(curve_part).select("label", "text")
 
@@ -223,9 +234,9 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
     clean = [r for r in seen if r["label"] == 0]
     histogram = {-DRIFT: float(sum(r["n"] - len(r["scores"]) for r in clean)) + 1}
     # a lexicon score that clean words never had counts half a word in all
-    spread = 0.5 / max(1, len(lexicon))
-    for s in lexicon.values():
-        histogram[s] = histogram.get(s, 0.0) + spread
+    strong_scores = [s for s in lexicon.values() if s > 0]
+    for s in strong_scores:
+        histogram[s] = histogram.get(s, 0.0) + 0.5 / len(strong_scores)
     for r in clean:
         for s in r["scores"]:
             histogram[s] = histogram.get(s, 0.0) + 1
