@@ -11,6 +11,7 @@ from pulsegrid.llm.cross_polytope import nearest_neighbours
 from pulsegrid.llm.interpolated_lm import score_documents
 from pulsegrid.llm.inverted_index import decontamination_report
 from pulsegrid.llm.line_crf import score_documents as score_quality
+from pulsegrid.llm.line_dedup import dedup_lines
 from pulsegrid.llm.mixing import plan_mix
 from pulsegrid.llm.sharding import shard_by_bytes
 from pulsegrid.llm.token_files import token_digest
@@ -45,6 +46,11 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_bytes(read_documents(spark, sf_dir), shards=24)
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without lines that earlier three-line windows hold."""
+    return dedup_lines(read_documents(spark, sf_dir))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix of all documents: words taken of each."""
     mixed = plan_mix(read_documents(spark, sf_dir))
@@ -68,6 +74,28 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination_report(read_documents(spark, sf_dir), read_documents(spark, sf_dir, "benchmark"))
 
 
+LINE_DEDUP_SQL = r"""
+with d as (
+  select doc_id, string_split(text, chr(10)) as ls from documents
+), l as (
+  select doc_id, unnest(range(1, len(ls) + 1)) as i, unnest(ls) as line from d
+), w as (
+  select doc_id, i, line || chr(10) || lead(line) over o || chr(10) || lead(line, 2) over o as k
+  from l window o as (partition by doc_id order by i)
+), n as (
+  select doc_id, i, row_number() over (partition by k order by doc_id, i) as nth from w
+  where k is not null and trim(replace(k, chr(10), ''), concat(' ', chr(9), chr(13), chr(11), chr(12))) <> ''
+), gone as (
+  select distinct doc_id, i + unnest([0, 1, 2]) as i from n where nth > 1
+), kept as (
+  select l.doc_id, count(*) as n_lines, count(gone.i) as n_removed,
+    coalesce(string_agg(line, chr(10) order by l.i) filter (where gone.i is null), '') as text
+  from l left join gone on l.doc_id = gone.doc_id and l.i = gone.i group by l.doc_id
+)
+select d.doc_id, coalesce(n_lines, 0) as n_lines, coalesce(n_removed, 0) as n_removed, kept.text
+from d left join kept on d.doc_id = kept.doc_id
+"""
+
 MIXING_SQL = r"""
 with d as (
   select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as size from documents
@@ -109,6 +137,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_token_files": op2_token_files,
         "op3_toxicity": op3_toxicity,
         "op4_sharding": op4_sharding,
+        "op5_line_dedup": op5_line_dedup,
         "op6_mixing": op6_mixing,
         "op8_neighbours": op8_neighbours,
         "op9_quality": op9_quality,
@@ -117,4 +146,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_mixing": MIXING_SQL}
+    return {"op5_line_dedup": LINE_DEDUP_SQL, "op6_mixing": MIXING_SQL}

@@ -64,7 +64,7 @@ def test_passages_and_odd_rows(spark):
 
     docs = [(i, text(i % 3 == 0)) for i in range(400)]
     labels = [(i, int(i % 3 == 0)) for i in range(400)] + [(3, 1), (9999, 1), (5, None), (None, 1), (7, 1)]
-    docs += [(400, None), (401, ""), (402, "...!"), (None, "w1 w2"), (403, "grumbloxx, GRUMBLONS!"), (404, "w1 " * 60_000 + "grumblon grumblost"), (3, docs[3][1])]
+    docs += [(400, None), (401, ""), (402, "...!"), (None, "w1 w2"), (403, "grumbloxx, GRUMBLONS!"), (404, "w1 " * 60_000 + "grumblon grumblost grumblones grumblorix"), (3, docs[3][1])]
     d, lab = frames(spark, docs, labels)
     got = tox.score_documents(d, lab).collect()
     assert len(got) == len(docs) and all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in got)
