@@ -13,6 +13,7 @@ from pulsegrid.llm.inverted_index import decontamination_report
 from pulsegrid.llm.line_crf import score_documents as score_quality
 from pulsegrid.llm.line_dedup import dedup_lines
 from pulsegrid.llm.mixing import plan_mix
+from pulsegrid.llm.ngram_join import similar_documents
 from pulsegrid.llm.sharding import shard_by_bytes
 from pulsegrid.llm.token_files import token_digest
 from pulsegrid.llm.toxic_segments import score_documents as score_toxicity
@@ -59,6 +60,13 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents by Jaccard similarity of 4-word shingles."""
+    return similar_documents(read_documents(spark, sf_dir), width=4, percent=85).select(
+        "doc_id", "n_shingles", "component_id"
+    )
+
+
 def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 nearest found of every hundredth embedding among all."""
     return nearest_neighbours(read_documents(spark, sf_dir, "embeddings"))
@@ -139,6 +147,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_sharding": op4_sharding,
         "op5_line_dedup": op5_line_dedup,
         "op6_mixing": op6_mixing,
+        "op7_ngram_join": op7_ngram_join,
         "op8_neighbours": op8_neighbours,
         "op9_quality": op9_quality,
         "op10_decontamination": op10_decontamination,

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.llm.common import Vocabulary, id_remainder, mix64, stored, text_bytes
+from pulsegrid.llm.packed import pack, pack_sorted, range_of, unpack, unpack_sorted
 
 FOLDS, TEST_FOLD, FIT_SHARE = 7, 2, 8
 TRAIN, FIT, TEST = 0, 1, 2  # counted; counted, but held out of the fit; never counted
@@ -48,34 +49,6 @@ HISTOGRAM = "bucket int, two int, one int, n long"
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
-# --- packed columns --------------------------------------------------------
-
-
-def pack(values: np.ndarray) -> bytes:
-    """Numbers as byte planes, compressed."""
-    import zstandard
-
-    width = values.dtype.itemsize
-    planes = values.astype(values.dtype.newbyteorder("<")).view(np.uint8).reshape(-1, width).T
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
-
-
-def unpack(data: bytes, kind) -> np.ndarray:
-    import zstandard
-
-    width = np.dtype(kind).itemsize
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(width, -1)
-    return np.ascontiguousarray(planes.T).view(np.dtype(kind).newbyteorder("<")).reshape(-1).astype(kind)
-
-
-def pack_sorted(keys: np.ndarray) -> bytes:
-    return pack(np.diff(keys, prepend=np.uint64(0)))
-
-
-def unpack_sorted(data: bytes) -> np.ndarray:
-    return np.cumsum(unpack(data, np.uint64), dtype=np.uint64)
-
-
 # --- blocks ----------------------------------------------------------------
 
 
@@ -147,10 +120,6 @@ class Block:
         return np.unique(pairs, return_inverse=True)
 
 
-def range_of(keys: np.ndarray, parts: int) -> np.ndarray:
-    return ((keys >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-
-
 def _key_rows(batches, parts: dict[int, int]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 
 from pulsegrid.llm import interpolated_lm as lm
+from pulsegrid.llm import packed
 
 SCHEMA = "doc_id long, text string, block int, role string, tokens int"
 
@@ -105,8 +106,8 @@ def test_without_training_rows_and_empty(spark):
 def test_packing_round_trips():
     rng = np.random.default_rng(2)
     keys = np.unique(rng.integers(0, 2**63, 1000).astype(np.uint64) * np.uint64(2) + np.uint64(1))
-    assert (lm.unpack_sorted(lm.pack_sorted(keys)) == keys).all()
-    parts = lm.range_of(keys, 7)
+    assert (packed.unpack_sorted(packed.pack_sorted(keys)) == keys).all()
+    parts = packed.range_of(keys, 7)
     assert (np.diff(parts.astype(int)) >= 0).all() and parts.max() < 7
 
 
