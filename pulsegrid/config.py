@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # ---------------------------------------------------------------------------
 # These must equal the reference's for equal results.
@@ -34,15 +35,12 @@ CSV_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS"
 DEDUP_COLUMNS = ("name", "timeseries", "connectorid", "deviceid", "eventtime", "variableid", "value")
 EVENT_DEDUP_COLUMNS = ("connectorid", "deviceid", "status")
 MAX_LONG = 9223372036854775807
-GOOD_TABLE = "IOTTIMESERIES"
-ERROR_TABLE = "IOTTIMESERIES_ERROR"
-WINDOW_CHECKPOINT = "timeserieswindowchk"
-SESSION_CHECKPOINT = "devicestatechk"
 # ---------------------------------------------------------------------------
 
 # Our own defaults (not from the reference).
-DEFAULT_MAX_BROADCAST_ROWS = 4_000_000
 DEFAULT_SALT_BUCKETS = 16
+ROWS_PER_SALT = 2_000_000
+MAX_OFFSETS_PER_TRIGGER = 5_000_000
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
@@ -55,31 +53,54 @@ def scratch_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     Taken from ``spark.checkpoint.dir`` (or the context's checkpoint dir) as the
-    cluster names it; only where nothing is set, as in local tests, a fresh
-    folder is made and registered.
+    cluster names it. Only on a local master, where nothing is set, a fresh
+    folder is made and registered; on a cluster that would be one machine's
+    disk, so it is refused.
     """
     sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        current = sc.getCheckpointDir()
-        configured = current if current else None
+    configured = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not configured:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         configured = tempfile.mkdtemp(prefix="pulsegrid-")
         sc.setCheckpointDir(configured)
     return configured.rstrip("/")
 
 
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop file system and path object of ``path``."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
+
+
 def new_scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh sub-folder of the shared scratch root for one run."""
-    root = scratch_root(spark)
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    if "://" in root:
-        import uuid
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    make_folder(spark, path)
+    return path
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, jpath = _file_system(spark, path)
+    fs.mkdirs(jpath)
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    fs, jpath = _file_system(spark, path)
+    return fs.exists(jpath)
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder (markers and hidden files left out)."""
+    fs, jpath = _file_system(spark, path)
+    names = [st.getPath().getName() for st in fs.listStatus(jpath)] if fs.exists(jpath) else []
+    return sorted(n for n in names if not n.startswith(("_", ".")))
+
 
-        return f"{root}/{label}-{uuid.uuid4().hex}"
-    os.makedirs(root, exist_ok=True)
-    return tempfile.mkdtemp(prefix=f"{label}-", dir=root)
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that no plan reads any more."""
+    fs, jpath = _file_system(spark, path)
+    fs.delete(jpath, True)
 
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -95,17 +116,18 @@ def use_rocksdb_state(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def materialize(df):
-    """Eagerly checkpoint ``df`` into the shared checkpoint folder.
+def write_scratch(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``df`` written once as a table in the shared folder; the table, and its
+    folder to drop when nothing reads it any more.
 
-    Used before a range exchange: Spark samples the range bounds by running
-    the whole upstream plan once, then runs it again for the shuffle. Writing
-    the (narrow) input once avoids the second run of an expensive upstream
-    (e.g. JSON decoding) and cuts the lineage, so a lost executor does not
-    replay it either.
+    Every consumer then sees the same rows, whatever the plan above: a range
+    exchange evaluated twice may cut differently each time. The lineage is cut
+    too, so a lost executor rereads files instead of replaying work.
     """
-    scratch_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = new_scratch_dir(spark, label)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 # Settings for large clusters (our own recommendation, applied by the caller

@@ -13,8 +13,10 @@ def _col(c: str | Column) -> Column:
 
 def message_flag(key: str | Column = "key") -> Column:
     """Second comma-separated field of the key as INT; null when absent or not
-    an integer (``get`` and ``try_cast`` never raise under ANSI mode)."""
-    return F.get(F.split(_col(key), ","), 1).try_cast(T.IntegerType())
+    an integer in plain digits (``get`` and ``try_cast`` never raise under
+    ANSI mode; the cast alone would accept blanks)."""
+    field = F.get(F.split(_col(key), ","), 1)
+    return F.when(field.rlike(r"^[+-]?[0-9]+$"), field.try_cast(T.IntegerType()))
 
 
 def normalized_status(status: str | Column = "status") -> Column:

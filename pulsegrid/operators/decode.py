@@ -17,9 +17,15 @@ from pulsegrid.schemas import EVENT, EVENT_MESSAGE, READING, READING_MESSAGE
 REASON_BAD_KEY = "key has no integer flag"
 REASON_BAD_READING = "reading is not parsable"
 REASON_BAD_VALUE = "reading value is not a number"
+REASON_BAD_TIME = "reading time is before 1970"
 REASON_BAD_EVENT = "event is not parsable"
 
 
+def _time_ok(eventtime: Column) -> Column:
+    """A time before 1970 has no row key (its reverse time overflows)."""
+    return F.unix_millis(eventtime) >= 0
+
+
 def cast_messages(raw: DataFrame) -> DataFrame:
     """Binary ``key``/``value`` (as a broker delivers them) cast to text;
     other columns (e.g. ``seq``) pass through."""
@@ -67,19 +73,24 @@ def decode_readings(messages: DataFrame) -> DataFrame:
     """Reading messages (flag 1) to one row per value:
     ``name, timeseries, connectorid, deviceid, eventtime, variableid, value``.
 
-    Messages without a parsable header, and values that are not numbers, are
-    left out here and reported by :func:`malformed_messages`. An absent or
+    Messages without a parsable header or with a time before 1970, and values
+    that are not numbers, are left out here and reported by :func:`malformed_messages`. An absent or
     empty value list yields no row.
     """
     j = parse_once(route(messages, READING_FLAG), _reading_json(), "j", keep=[])
-    j = j.filter(_header_ok(F.col("j")))
+    return flatten_readings(j.select("j.*"))
+
+
+def flatten_readings(parsed: DataFrame) -> DataFrame:
+    """Parsed reading messages (``name, header, iotdata``) to one row per value."""
+    j = parsed.filter(_header_ok(F.struct("header")) & _time_ok(F.col("header.eventtime")))
     exploded = j.select(
-        F.col("j.name").alias("name"),
-        F.col("j.header.timeseries").cast("int").alias("timeseries"),
-        F.col("j.header.connectorid").alias("connectorid"),
-        F.col("j.header.deviceid").alias("deviceid"),
-        F.col("j.header.eventtime").alias("eventtime"),
-        F.explode("j.iotdata.values").alias("v"),
+        "name",
+        F.col("header.timeseries").cast("int").alias("timeseries"),
+        F.col("header.connectorid").alias("connectorid"),
+        F.col("header.deviceid").alias("deviceid"),
+        F.col("header.eventtime").alias("eventtime"),
+        F.explode("iotdata.values").alias("v"),
     )
     out = exploded.select(
         "name",
@@ -118,8 +129,8 @@ def malformed_messages(messages: DataFrame) -> DataFrame:
     ``key, value, [seq,] reason``.
 
     Reasons: key without an integer flag; reading or event without a parsable
-    header (device id, event time; events also need a status); reading value
-    that is not a number (one row per such value). Keys with another integer
+    header (device id, event time; events also need a status); reading time
+    before 1970; reading value that is not a number (one row per such value). Keys with another integer
     flag are ignored, as are readings with no values.
     """
     flag = message_flag("key")
@@ -139,6 +150,10 @@ def malformed_messages(messages: DataFrame) -> DataFrame:
     reasons = F.array(
         F.when(F.col("_flag").isNull(), F.lit(REASON_BAD_KEY)),
         F.when((F.col("_flag") == READING_FLAG) & ~_header_ok(F.col("_rj")), F.lit(REASON_BAD_READING)),
+        F.when(
+            (F.col("_flag") == READING_FLAG) & _header_ok(F.col("_rj")) & ~_time_ok(F.col("_rj.header.eventtime")),
+            F.lit(REASON_BAD_TIME),
+        ),
         F.when(
             (F.col("_flag") == EVENT_FLAG)
             & ~(_header_ok(F.col("_ej")) & F.col("_ej.values.status").isNotNull()),

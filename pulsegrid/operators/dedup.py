@@ -38,9 +38,8 @@ def drop_duplicate_events(
 ) -> DataFrame:
     """Status events de-duplicated on ``columns`` within the watermark delay
     (disabled in the reference as it merges later legitimate events that lack
-    the event time in the key; offered as an option only). Spark runs this
-    only on streams; on a batch table the duplicates are dropped over the
-    whole table."""
+    the event time in the key; offered as an option only). The watermark
+    delay has a meaning on streams only, so a batch table is refused."""
     if not events.isStreaming:
-        return events.dropDuplicates(list(columns))
+        raise ValueError("event de-duplication within a watermark needs a stream")
     return events.withWatermark("eventtime", watermark).dropDuplicatesWithinWatermark(list(columns))

@@ -6,13 +6,12 @@ a device into one task; one device may hold a large share of all events. So:
 1. keep ALIVE/DEAD events and range-partition them on
    ``(connectorid, deviceid, time, seq)``: Spark samples the key range, so a
    hot device is cut into several partitions;
-2. scan each sorted partition once (``mapInPandas``, vectorised numpy):
-   emit the sessions that close inside a run (a device's stretch of rows in
-   one partition) and one summary row per run
-   (:mod:`pulsegrid.operators.session_core`);
-3. stitch runs with window functions over the run summaries only; a device
-   has at most one run per partition, so these window groups stay small
-   whatever the skew.
+2. scan each sorted partition once (``mapInPandas``, vectorised numpy) and
+   store what the scan returns: all sessions of devices that lie within the
+   partition, and a summary (:mod:`pulsegrid.operators.session_core`) of its first and its last
+   run (a device's stretch of rows in one partition), the only ones
+   that a neighbouring partition can continue;
+3. stitch these runs with window functions: at most two rows per partition.
 
 Result rows: ``connectorid, deviceid, activeStartTime, activeEndTime,
 deviceactive`` (always ``DEAD``: only closed sessions are emitted).
@@ -28,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pulsegrid.config import STATUS_ALIVE, STATUS_DEAD, materialize
+from pulsegrid.config import STATUS_ALIVE, STATUS_DEAD, drop_folder, write_scratch
 from pulsegrid.functions.routing import normalized_status
 from pulsegrid.operators.session_core import ALIVE, DEAD, NULL, Piece, combine, summarize
 
@@ -93,13 +92,25 @@ def _session_frame(key: tuple, start: int, end: int) -> pd.DataFrame:
 
 
 def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One range-sorted partition in, closed sessions and run summaries out.
+    """One range-sorted partition in, sessions and two run summaries out.
 
     Columns in: ``cnull, conn, deviceid, _t, _s, _code``. ``carry`` is the run
     open at the end of the previous Arrow batch: the same device may continue
-    in the next batch of the same partition.
+    in the next batch of the same partition. The first and the last run of
+    the partition leave as summaries; every other run is complete, so its
+    seam (first start to first end) is final.
     """
     carry = None  # (key, run_t, run_s, Piece)
+    first_run = True
+
+    def close(run) -> list[pd.DataFrame]:
+        nonlocal first_run
+        if first_run:
+            first_run = False
+            return [_run_frame(*run)]
+        piece = run[3]
+        return [_session_frame(run[0], piece.head, piece.first_dead)] if piece.has_dead and piece.head != LONG_MIN else []
+
     for pdf in batches:
         if pdf.empty:
             continue
@@ -120,43 +131,35 @@ def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def key(row: int) -> tuple:
             return (bool(cnull[row]), int(conn[row]), int(dev[row]))
 
-        def piece(g: int) -> Piece:
-            return Piece(bool(summ.has_dead[g]), int(summ.head[g]), int(summ.first_dead[g]), int(summ.tail[g]))
+        def run(g: int) -> tuple:
+            r = starts[g]
+            piece = Piece(bool(summ.has_dead[g]), int(summ.head[g]), int(summ.first_dead[g]), int(summ.tail[g]))
+            return (key(r), int(t[r]), int(s[r]), piece)
+
+        def sessions(r: np.ndarray, start: np.ndarray, end: np.ndarray) -> pd.DataFrame:
+            n = r.size
+            none = np.full(n, LONG_MIN)
+            return _frame(np.full(n, "S"), cnull[r], conn[r], dev[r], start, end, np.zeros(n, dtype=bool), none, none, none)
 
         out = []
         if summ.session_group.size:  # sessions closed inside a group are final
-            r = starts[summ.session_group]
-            n = r.size
-            out.append(
-                _frame(
-                    np.full(n, "S"), cnull[r], conn[r], dev[r], summ.session_start, summ.session_end,
-                    np.zeros(n, dtype=bool), np.full(n, LONG_MIN), np.full(n, LONG_MIN), np.full(n, LONG_MIN),
-                )
-            )
-        if carry is not None and carry[0] == key(0):
-            merged, seam = combine(carry[3], piece(0))
+            out.append(sessions(starts[summ.session_group], summ.session_start, summ.session_end))
+        head = run(0)
+        if carry is not None and carry[0] == head[0]:
+            merged, seam = combine(carry[3], head[3])
             if seam is not None:
                 out.append(_session_frame(carry[0], seam[0], seam[1]))
-            first = (carry[0], carry[1], carry[2], merged)
-        else:
-            if carry is not None:
-                out.append(_run_frame(*carry))
-            first = (key(0), int(t[0]), int(s[0]), piece(0))
-        if last_g == 0:
-            carry = first
-        else:
-            out.append(_run_frame(*first))
+            head = (carry[0], carry[1], carry[2], merged)
+        elif carry is not None:
+            out += close(carry)
+        carry = head
+        if last_g:
+            out += close(head)
             mid = np.arange(1, last_g)
+            mid = mid[summ.has_dead[mid] & (summ.head[mid] != LONG_MIN)]
             if mid.size:
-                r = starts[mid]
-                out.append(
-                    _frame(
-                        np.full(mid.size, "R"), cnull[r], conn[r], dev[r], t[r], s[r],
-                        summ.has_dead[mid], summ.head[mid], summ.first_dead[mid], summ.tail[mid],
-                    )
-                )
-            r0 = starts[last_g]
-            carry = (key(r0), int(t[r0]), int(s[r0]), piece(last_g))
+                out.append(sessions(starts[mid], summ.head[mid], summ.first_dead[mid]))
+            carry = run(last_g)
         if out:
             yield pd.concat(out, ignore_index=True)
     if carry is not None:
@@ -188,9 +191,12 @@ def device_sessions(
     ``events``: ``connectorid, deviceid, eventtime, status[, seq]``.
     ``num_partitions``: range partitions for the scan (default: Spark's
     shuffle partition count, which adaptive execution may coalesce).
-    ``materialize_input``: checkpoint the coded ALIVE/DEAD events (six narrow
+    ``materialize_input``: store the coded ALIVE/DEAD events (six narrow
     columns) before the range exchange, so that the upstream plan runs once
     rather than once for the range sample and once for the shuffle.
+
+    Runs its scan when called: what the scan returns is stored in the shared
+    folder and read from there.
     """
     coded = coded_events(events, seq_col).select(
         F.col("connectorid").isNull().alias("cnull"),
@@ -200,11 +206,15 @@ def device_sessions(
         "_s",
         "_code",
     )
+    spark = events.sparkSession
+    folder = None
     if materialize_input:
-        coded = materialize(coded)
+        coded, folder = write_scratch(coded, "session-events")
     order = ["cnull", "conn", "deviceid", "_t", "_s"]
     ranged = coded.repartitionByRange(num_partitions, *order) if num_partitions else coded.repartitionByRange(*order)
-    scanned = ranged.sortWithinPartitions(*order).mapInPandas(_scan, SCAN_SCHEMA)
+    scanned, _ = write_scratch(ranged.sortWithinPartitions(*order).mapInPandas(_scan, SCAN_SCHEMA), "session-scan")
+    if folder:
+        drop_folder(spark, folder)
     scanned = scanned.withColumn("connectorid", F.when(~F.col("cnull"), F.col("conn")))
 
     inner = scanned.filter(F.col("kind") == "S").select(
@@ -239,23 +249,3 @@ def device_sessions(
     ).filter(F.col("start").isNotNull())
     return _as_sessions(inner.unionByName(seams))
 
-
-def device_sessions_by_window(events: DataFrame, seq_col: str = "seq") -> DataFrame:
-    """The same sessions with ``lag``/``lead`` over a per-device window: one
-    task per device, so only for small tables and cross-checks."""
-    coded = coded_events(events, seq_col)
-    w = Window.partitionBy("connectorid", "deviceid").orderBy("_t", "_s")
-    prev = F.lag("_code").over(w)
-    kept = coded.withColumn("_prev", prev).filter(
-        ((F.col("_code") == ALIVE) & (F.coalesce(F.col("_prev"), F.lit(DEAD)) == DEAD))
-        | ((F.col("_code") == DEAD) & (F.col("_prev") == ALIVE))
-    )
-    paired = kept.select(
-        "connectorid",
-        "deviceid",
-        "_code",
-        F.timestamp_micros("_t").alias("start"),
-        F.lead("_code").over(w).alias("_next"),
-        F.timestamp_micros(F.lead("_t").over(w)).alias("end"),
-    )
-    return _as_sessions(paired.filter((F.col("_code") == ALIVE) & (F.col("_next") == DEAD)))

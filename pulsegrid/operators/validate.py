@@ -1,24 +1,23 @@
 """Metadata validation: one metadata row per device, lookup by device id,
 compare connector id, write the result text.
 
-Join strategy: the metadata side is a dimension table. It is broadcast only
-behind a row-count check (``max_broadcast_rows``); beyond it the lookup is a
-shuffle join whose reading side is salted, so that one device holding a large
-share of all readings is spread over ``salt_buckets`` tasks instead of one.
+Join strategy: the metadata side is a dimension table, joined by a plain left
+join whose kind Spark chooses by measured size. Where one device holds a large share of
+all readings and adaptive execution may not split it, ``salted`` spreads
+that device, and no other, over as many tasks as its rows need.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.config import (
-    DEFAULT_MAX_BROADCAST_ROWS,
     DEFAULT_SALT_BUCKETS,
     RESULT_CONNECTOR_MISMATCH,
     RESULT_DEVICE_NOT_FOUND,
     RESULT_SUCCESS,
+    ROWS_PER_SALT,
 )
 
 
@@ -39,12 +38,13 @@ def latest_metadata(metadata: DataFrame, order_col: str = "row_order") -> DataFr
 
 
 def _lookup(metadata: DataFrame, order_col: str | None) -> DataFrame:
-    latest = latest_metadata(metadata, order_col) if order_col else metadata
-    return latest.select(
-        F.col("deviceid").alias("_m_deviceid"),
-        F.col("connectorid").alias("_m_connectorid"),
-        F.lit(True).alias("_m_found"),
-    )
+    """Device and connector of the last row per device: two integers, so the
+    aggregate stays a hash aggregate."""
+    columns = [F.col("deviceid").alias("_m_deviceid"), F.col("connectorid").alias("_m_connectorid"), F.lit(True).alias("_m_found")]
+    if not order_col:
+        return metadata.select(*columns)
+    known = metadata.filter(F.col("deviceid").isNotNull())
+    return known.groupBy("deviceid").agg(F.max_by("connectorid", order_col).alias("connectorid")).select(*columns)
 
 
 def validation_result(connectorid: Column, m_connectorid: Column, found: Column) -> Column:
@@ -58,53 +58,61 @@ def validation_result(connectorid: Column, m_connectorid: Column, found: Column)
     )
 
 
-def choose_join_strategy(metadata: DataFrame, max_broadcast_rows: int) -> str:
-    """``broadcast`` when the metadata table has at most ``max_broadcast_rows``
-    rows, else ``salted``. The raw row count bounds the one-row-per-device
-    lookup from above, and on a plain table scan Spark answers it from file
-    footers."""
-    return "broadcast" if metadata.count() <= max_broadcast_rows else "salted"
+def hot_devices(readings: DataFrame, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+    """``_hot, _salts`` of devices with more than ``rows_per_salt`` readings:
+    as many salts as their share of the rows needs. At most rows /
+    ``rows_per_salt`` devices."""
+    counts = readings.groupBy(F.col("deviceid").alias("_hot")).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.filter(F.col("_n") > rows_per_salt).select(
+        "_hot", F.ceil(F.col("_n") / rows_per_salt).cast("int").alias("_salts")
+    )
+
+
+def _salted(readings: DataFrame, lookup: DataFrame, rows_per_salt: int, salt_buckets: int) -> DataFrame:
+    """Left join on device and salt. Batch: only hot devices are salted, and
+    only their metadata rows are repeated. Stream: every device, over
+    ``salt_buckets``, as the shares of a trigger are not known beforehand."""
+    if readings.isStreaming:
+        salts, left = F.lit(int(salt_buckets)), readings
+        right = lookup.withColumn("_salts", F.lit(int(salt_buckets)))
+    else:
+        hot = hot_devices(readings, rows_per_salt)
+        left = readings.join(hot, F.col("deviceid") == F.col("_hot"), "left")
+        salts = F.coalesce("_salts", F.lit(1))
+        right = lookup.join(hot, F.col("_m_deviceid") == F.col("_hot"), "left").drop("_hot")
+        right = right.withColumn("_salts", F.coalesce("_salts", F.lit(1)))
+    left = left.withColumn("_salt", F.pmod(F.xxhash64("eventtime", "variableid", "value"), salts).cast("int"))
+    right = right.withColumn("_m_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))).drop("_salts")
+    match = (F.col("deviceid") == F.col("_m_deviceid")) & (F.col("_salt") == F.col("_m_salt"))
+    return left.drop("_hot", "_salts").join(right, match, "left")
 
 
 def validate_readings(
     readings: DataFrame,
     metadata: DataFrame,
-    strategy: str = "auto",
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    strategy: str = "plain",
+    rows_per_salt: int = ROWS_PER_SALT,
     salt_buckets: int = DEFAULT_SALT_BUCKETS,
     order_col: str | None = "row_order",
 ) -> DataFrame:
     """Readings plus ``result``. Works on a batch or a streaming ``readings``
-    (stream-static left join); ``metadata`` is a static snapshot.
+    (stream-static left join); ``metadata`` is a static snapshot. Only builds
+    a plan: no job runs here.
 
-    ``strategy``: ``auto`` (size check), ``broadcast`` or ``salted``.
+    ``strategy``: ``plain`` (a left join; Spark broadcasts the metadata if its
+    measured size allows, and splits skewed devices in batch plans),
+    ``broadcast`` (the caller vouches for the size) or ``salted``.
     ``order_col``: metadata column giving the scan order for the last-row-wins
     rule; ``None`` when the metadata already has one row per device.
     """
     lookup = _lookup(metadata, order_col)
-    if strategy == "auto":
-        strategy = choose_join_strategy(metadata, max_broadcast_rows)
-    if readings.isStreaming and strategy == "broadcast":
-        # a snapshot, computed once for the query instead of once per trigger
-        lookup = lookup.persist(StorageLevel.MEMORY_AND_DISK)
-    if strategy == "broadcast":
-        joined = readings.join(F.broadcast(lookup), F.col("deviceid") == F.col("_m_deviceid"), "left")
+    match = F.col("deviceid") == F.col("_m_deviceid")
+    if strategy == "plain":
+        joined = readings.join(lookup, match, "left")
+    elif strategy == "broadcast":
+        joined = readings.join(F.broadcast(lookup), match, "left")
     elif strategy == "salted":
-        n = int(salt_buckets)
-        salt = F.pmod(F.xxhash64("eventtime", "variableid", "value"), F.lit(n)).cast("int")
-        left = readings.withColumn("_salt", salt)
-        right = lookup.withColumn("_m_salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-        if readings.isStreaming:
-            # Every micro-batch joins against the same static side: partition
-            # it once on the join keys and keep it, so that a trigger only
-            # shuffles its own readings.
-            parts = int(readings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-            right = right.repartition(parts, "_m_deviceid", "_m_salt").persist(StorageLevel.MEMORY_AND_DISK)
-        joined = left.join(
-            right,
-            (F.col("deviceid") == F.col("_m_deviceid")) & (F.col("_salt") == F.col("_m_salt")),
-            "left",
-        ).drop("_salt", "_m_salt")
+        joined = _salted(readings, lookup, rows_per_salt, salt_buckets)
     else:
         raise ValueError(f"unknown join strategy: {strategy}")
     result = validation_result(F.col("connectorid"), F.col("_m_connectorid"), F.col("_m_found"))

@@ -24,7 +24,14 @@ from pulsegrid.config import (
 )
 from pulsegrid.functions.rowkey import row_key_hex
 from pulsegrid.operators.aggregate import csv_window_count, key_count, last_seen, window_count, word_count
-from pulsegrid.operators.decode import decode_events, decode_readings, malformed_messages
+from pulsegrid.operators.decode import (
+    cast_messages,
+    decode_events,
+    decode_readings,
+    flatten_readings,
+    malformed_messages,
+)
+from pulsegrid.operators.ordering import event_order
 from pulsegrid.operators.sessions import device_sessions
 from pulsegrid.operators.validate import error_records, good_records, latest_metadata, validate_readings
 from pulsegrid.plans.pipelines import (
@@ -36,9 +43,10 @@ from pulsegrid.plans.pipelines import (
     window_averages,
 )
 from pulsegrid.schemas import READING_MESSAGE, REPORT
-from pulsegrid.sources.tables import read_table
 from pulsegrid.sinks.tables import latest_by_key
 from pulsegrid.sources import testbed
+from pulsegrid.sources.files import read_json_lines
+from pulsegrid.sources.tables import read_metadata, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -131,25 +139,21 @@ def q_json_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_scratch_dir(spark, "json-batch")
     msgs = _messages(spark, sf_dir)
     msgs.filter(F.col("key").endswith(",1")).select("value").write.mode("overwrite").text(path)
-    j = spark.read.schema(READING_MESSAGE).json(path)
-    exploded = j.filter(F.col("header.deviceid").isNotNull() & F.col("header.eventtime").isNotNull()).select(
-        "name",
-        F.col("header.timeseries").alias("timeseries"),
-        F.col("header.connectorid").alias("connectorid"),
-        F.col("header.deviceid").alias("deviceid"),
-        F.col("header.eventtime").alias("eventtime"),
-        F.explode("iotdata.values").alias("v"),
-    )
-    out = exploded.select(
-        "name",
-        "timeseries",
-        "connectorid",
-        "deviceid",
-        "eventtime",
-        F.col("v.variableid").alias("variableid"),
-        F.col("v.value").try_cast("double").alias("value"),
-    ).filter(F.col("value").isNotNull())
-    return _reading_out(out)
+    return _reading_out(flatten_readings(read_json_lines(spark, path, READING_MESSAGE)))
+
+
+def q_binary_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys and values as bytes, as a broker delivers them."""
+    raw = _messages(spark, sf_dir).select(F.encode("key", "UTF-8").alias("key"), F.encode("value", "UTF-8").alias("value"), "seq")
+    return _reading_out(decode_readings(cast_messages(raw)))
+
+
+def q_metadata_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metadata table written (wider types, another column) and read through the reader."""
+    path = new_scratch_dir(spark, "metadata")
+    wide = _metadata(spark, sf_dir).withColumn("deviceid", F.col("deviceid").cast("bigint")).withColumn("note", F.lit("x"))
+    wide.write.mode("overwrite").parquet(path)
+    return read_metadata(spark, path)
 
 
 def q_nested_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -298,8 +302,6 @@ def q_device_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_event_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pulsegrid.operators.ordering import event_order
-
     ordered = event_order(_events(spark, sf_dir))
     return ordered.select(
         "connectorid", "deviceid", _ntz("eventtime").alias("eventtime"), "status", "seq", "event_order"
@@ -317,6 +319,8 @@ def batch_queries() -> dict[str, Query]:
         "malformed_messages": q_malformed_messages,
         "multi_value_readings": q_multi_value_readings,
         "json_batch": q_json_batch,
+        "binary_messages": q_binary_messages,
+        "metadata_read": q_metadata_read,
         "nested_report": q_nested_report,
         "metadata_latest": q_metadata_latest,
         "validate_readings": q_validate_readings,
@@ -345,10 +349,6 @@ def batch_queries() -> dict[str, Query]:
 
 def all_queries() -> dict[str, Query]:
     """Batch and streaming queries."""
-    out = dict(batch_queries())
-    try:
-        from pulsegrid.plans.stream_catalog import stream_queries
-    except ImportError:  # pragma: no cover
-        return out
-    out.update(stream_queries())
-    return out
+    from pulsegrid.plans.stream_catalog import stream_queries
+
+    return batch_queries() | stream_queries()

@@ -158,16 +158,23 @@ SELECT CASE k WHEN 1 THEN CAST(user_id AS VARCHAR)
               WHEN 3 THEN NULL
               WHEN 4 THEN CAST(user_id AS VARCHAR) || ',1'
               WHEN 5 THEN CAST(user_id AS VARCHAR) || ',1'
+              WHEN 9 THEN CAST(user_id AS VARCHAR) || ',1'
               WHEN 6 THEN CAST(user_id AS VARCHAR) || ',0' END AS key,
        event_id AS seq,
        CASE WHEN k IN (1, 2, 3) THEN 'key has no integer flag'
             WHEN k = 4 THEN 'reading is not parsable'
             WHEN k = 5 THEN 'reading value is not a number'
+            WHEN k = 9 THEN 'reading time is before 1970'
             WHEN k = 6 THEN 'event is not parsable' END AS reason
-FROM (SELECT *, event_id % 50 AS k FROM events) WHERE k BETWEEN 1 AND 6"""
+FROM (SELECT *, event_id % 50 AS k FROM events) WHERE k BETWEEN 1 AND 6 OR k = 9"""
         ),
         "multi_value_readings": _q(f"SELECT {_READING_COLS} FROM multi"),
         "json_batch": _q(f"SELECT {_READING_COLS} FROM readings"),
+        "binary_messages": _q(f"SELECT {_READING_COLS} FROM readings"),
+        "metadata_read": _q(
+            "SELECT deviceguid, deviceid, connectorguid, connectorid, variablename, variableid, "
+            "variableDataType, row_order FROM meta_all"
+        ),
         "nested_report": _q(
             """
 SELECT 'F' || CAST(event_id AS VARCHAR) AS TlID, event_type AS CID FROM events
@@ -258,6 +265,30 @@ def stream_oracle() -> dict[str, str]:
     b = batch_oracle()
     return {
         "ingest_stream_good": b["good_readings"],
+        "ingest_stream_error": b["error_readings"],
+        "malformed_stream": b["malformed_messages"],
+        "late_rows_stream": _q(
+            """
+SELECT window_start, window_start + INTERVAL '3 minutes' AS window_end, deviceid, variableid, avg_value
+FROM (
+  SELECT time_bucket(INTERVAL '3 minutes', eventtime, TIMESTAMP '1970-01-01') AS window_start,
+         deviceid, variableid, round(avg(value), 6) AS avg_value
+  FROM good GROUP BY 1, 2, 3
+)
+WHERE window_start + INTERVAL '3 minutes' <= (SELECT max(eventtime) FROM readings) - INTERVAL '10 minutes'"""
+        ),
+        "event_dedup_stream": _q("SELECT DISTINCT connectorid, deviceid, eventtime, status FROM dev"),
+        "window_count_variable_stream": b["window_count_variable"],
+        "csv_window_count_stream": b["csv_window_count"],
+        "latest_by_key_table": _q(
+            f"""
+SELECT row_key, CONNECTORID, DEVICEID, EVENTTIME, VARIABLEID, VALUE FROM (
+  SELECT DISTINCT {_row_key(compat=True)} AS row_key, connectorid AS CONNECTORID, deviceid AS DEVICEID,
+         strftime(eventtime, '%Y-%m-%d %H:%M:%S.%g') AS EVENTTIME, variableid AS VARIABLEID, value AS VALUE
+  FROM multi_good
+)
+QUALIFY row_number() OVER (PARTITION BY row_key ORDER BY VARIABLEID DESC, VALUE DESC) = 1"""
+        ),
         "window_avg_stream": _q(
             """
 SELECT window_start, window_start + INTERVAL '3 minutes' AS window_end, deviceid, variableid, avg_value

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.config import AVERAGE_WINDOW, DEFAULT_MAX_BROADCAST_ROWS, DEFAULT_SALT_BUCKETS
+from pulsegrid.config import AVERAGE_WINDOW
 from pulsegrid.functions.rowkey import row_key
 from pulsegrid.functions.text import session_line, table_time_text, window_line
 from pulsegrid.operators.aggregate import window_average
@@ -19,21 +19,9 @@ from pulsegrid.operators.dedup import drop_duplicate_readings
 from pulsegrid.operators.validate import good_records, validate_readings
 
 
-def validated_readings(
-    messages: DataFrame,
-    metadata: DataFrame,
-    strategy: str = "auto",
-    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-    salt_buckets: int = DEFAULT_SALT_BUCKETS,
-) -> DataFrame:
+def validated_readings(messages: DataFrame, metadata: DataFrame, **join_opts) -> DataFrame:
     """Messages to readings with ``result``."""
-    return validate_readings(
-        decode_readings(messages),
-        metadata,
-        strategy=strategy,
-        max_broadcast_rows=max_broadcast_rows,
-        salt_buckets=salt_buckets,
-    )
+    return validate_readings(decode_readings(messages), metadata, **join_opts)
 
 
 def ingest_readings(

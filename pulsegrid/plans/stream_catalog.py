@@ -1,26 +1,41 @@
 """Streaming queries of the catalogue.
 
 Each one stages the message log derived from the test tables as time-ordered
-files in the shared scratch folder, runs the streaming plan over them with
-``maxFilesPerTrigger=1`` and ``availableNow`` (one micro-batch per file, state
-carried across), and returns the table the query wrote. Their results must
-equal the batch queries' (same SQL oracle), except where a watermark holds a
-window back (stated per query).
+files in the shared scratch folder, runs the streaming plan over them, one
+time slice per trigger (``availableNow``, state carried across), and returns
+the table that the query wrote. Their results must equal the batch queries' (same SQL
+oracle), except where a watermark holds a window back (stated per query).
+
+The ``run_*`` functions return a :class:`Run` with the table, the seconds of
+the stream alone and its progress; the queries return its table.
 """
 
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.config import DEVICE_COUNT_WINDOW, DEVICE_COUNT_WATERMARK, new_scratch_dir, use_utc
-from pulsegrid.operators.aggregate import window_count, word_count
-from pulsegrid.operators.decode import decode_readings
+from pulsegrid.config import (
+    CSV_COUNT_WATERMARK,
+    CSV_COUNT_WINDOW,
+    DEVICE_COUNT_WATERMARK,
+    DEVICE_COUNT_WINDOW,
+    VARIABLE_COUNT_WATERMARK,
+    VARIABLE_COUNT_WINDOW,
+    new_scratch_dir,
+    use_utc,
+)
+from pulsegrid.operators.aggregate import csv_window_count, window_count, word_count
+from pulsegrid.operators.decode import decode_events, decode_readings
+from pulsegrid.operators.dedup import drop_duplicate_events
+from pulsegrid.operators.validate import good_records
 from pulsegrid.plans.catalog import _averages_out, _count_out, _sessions_out
 from pulsegrid.schemas import LINE, MESSAGE
-from pulsegrid.sinks.tables import batch_directory_writer, latest_by_key, read_batch_table
+from pulsegrid.sinks.tables import BATCH_COLUMNS, batch_directory_writer, latest_by_key, read_batch_table
 from pulsegrid.sources import testbed
 from pulsegrid.sources.files import message_file_stream
 from pulsegrid.sources.tables import read_table
@@ -28,7 +43,9 @@ from pulsegrid.streaming.queries import (
     readings_table_stream,
     start_dedup_table,
     start_ingest,
+    start_malformed,
     start_sessions,
+    start_tables_from_readings,
     start_window_average,
     start_window_average_from_table,
 )
@@ -36,160 +53,288 @@ from pulsegrid.streaming.staging import write_time_slices
 
 N_FILES = 4  # time slices staged per streaming query (one micro-batch each)
 AVAILABLE_NOW = {"availableNow": True}
-# progress and run time (start to end, staging excluded) of the last run of
-# each streaming query, for the benchmark
-LAST_PROGRESS: dict[str, list[dict]] = {}
-LAST_RUN_SECONDS: dict[str, float] = {}
 
 
-def _stage_messages(spark: SparkSession, sf_dir: str, root: str, n_slices: int | None = None) -> tuple[str, int]:
-    n_slices = n_slices or N_FILES
+@dataclass
+class Run:
+    """What a finished streaming query leaves."""
+
+    table: DataFrame
+    seconds: float
+    progress: list[dict] = field(default_factory=list)
+
+
+def _finish(*starts: Callable) -> tuple[float, list[dict]]:
+    """Start the queries one after another, each when the one before has
+    ended; seconds and the progress of the last."""
+    began, query = time.perf_counter(), None
+    for start in starts:
+        query = start()
+        query.awaitTermination()
+        if query.exception() is not None:  # pragma: no cover
+            raise RuntimeError(str(query.exception()))
+    return time.perf_counter() - began, list(query.recentProgress)
+
+
+def stage_messages(
+    spark: SparkSession, sf_dir: str, root: str, n_slices: int = N_FILES, late: bool = False
+) -> tuple[str, int]:
+    """The keyed log in time slices. A duplicate of a reading of the last nine
+    minutes of a slice arrives with the next one: within the watermark, but in
+    a later micro-batch, so only kept state can drop it. ``late``: a last
+    slice repeats the first one's rows with other values, all behind the watermark."""
     path = f"{root}/input"
+    rows = testbed.device_events(spark, sf_dir)
     per_slice = write_time_slices(
-        testbed.device_events(spark, sf_dir), "eventtime", path, n_slices, to_messages=testbed.messages_from_events
+        rows, "eventtime", path, n_slices, to_messages=testbed.messages_from_events, carry="9 minutes",
+        carried=testbed.duplicates_from_events,
     )
+    if late:
+        first = rows.withColumn("value", F.col("value") + 1000)
+        write_time_slices(first, "eventtime", path, n_slices, to_messages=testbed.messages_from_events, only=[0], number=n_slices)
     return path, per_slice
 
 
-def _stream(spark: SparkSession, staged: tuple[str, int]) -> DataFrame:
+def staged_stream(spark: SparkSession, staged: tuple[str, int]) -> DataFrame:
     path, per_slice = staged
     return message_file_stream(spark, f"{path}/slice=*", schema=MESSAGE, max_files_per_trigger=per_slice)
 
 
-def _run(query, label: str | None = None, started: float | None = None) -> None:
-    query.awaitTermination()
-    if query.exception() is not None:  # pragma: no cover
-        raise RuntimeError(str(query.exception()))
-    if label:
-        LAST_PROGRESS[label] = list(query.recentProgress)
-        if started is not None:
-            LAST_RUN_SECONDS[label] = time.perf_counter() - started
+def _table(spark: SparkSession, path: str) -> DataFrame:
+    return read_batch_table(spark, path).drop(*BATCH_COLUMNS)
+
+
+def _update_query(counts: DataFrame, root: str, mode: str = "update", only_last: bool = False):
+    return (
+        counts.writeStream.outputMode(mode)
+        .foreachBatch(batch_directory_writer(f"{root}/out", only_last=only_last))
+        .option("checkpointLocation", f"{root}/chk")
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def _latest_counts(spark: SparkSession, root: str, keys: tuple[str, ...]) -> DataFrame:
+    table = read_batch_table(spark, f"{root}/out").select(
+        F.col("window.start").alias("ws"), F.col("window.end").alias("we"), *keys, "count", "batch_id"
+    )
+    latest = latest_by_key(table, ["ws", "we", *keys], ["batch_id"])
+    return _count_out(latest.select(F.struct(F.col("ws").alias("start"), F.col("we").alias("end")).alias("window"), *keys, "count"), keys)
 
 
-def q_ingest_stream_good(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Entry 1 on a stream; the good table, ``row_key`` as hex."""
+def _hex_key(table: DataFrame) -> DataFrame:
+    return table.withColumn("row_key", F.hex("row_key"))
+
+
+def run_ingest(spark: SparkSession, sf_dir: str, staged: tuple[str, int] | None = None, which: str = "good") -> Run:
+    """Entry 1 on a stream; the good or the error table, ``row_key`` as hex."""
     use_utc(spark)
     root = new_scratch_dir(spark, "ingest")
-    src = _stage_messages(spark, sf_dir, root)
-    started = time.perf_counter()
-    q = start_ingest(
-        _stream(spark, src),
-        testbed.device_metadata(spark, sf_dir),
-        f"{root}/good",
-        f"{root}/error",
-        f"{root}/chk",
-        trigger=AVAILABLE_NOW,
+    staged = staged or stage_messages(spark, sf_dir, root)
+    seconds, progress = _finish(
+        lambda: start_ingest(
+            staged_stream(spark, staged), testbed.device_metadata(spark, sf_dir),
+            f"{root}/good", f"{root}/error", f"{root}/chk", trigger=AVAILABLE_NOW,
+        )
+    )
+    return Run(_hex_key(_table(spark, f"{root}/{which}")), seconds, progress)
+
+
+def run_ingest_error(spark: SparkSession, sf_dir: str, staged: tuple[str, int] | None = None) -> Run:
+    """The error table, as the application makes it: readings de-duplicated
+    into a table once, good and error tables from there."""
+    use_utc(spark)
+    root = new_scratch_dir(spark, "ingest-error")
+    staged = staged or stage_messages(spark, sf_dir, root)
+    meta = testbed.device_metadata(spark, sf_dir)
+    seconds, progress = _finish(
+        lambda: start_dedup_table(staged_stream(spark, staged), meta, f"{root}/readings", f"{root}/chk1", trigger=AVAILABLE_NOW),
+        lambda: start_tables_from_readings(
+            readings_table_stream(spark, f"{root}/readings"), f"{root}/good", f"{root}/error", f"{root}/chk2",
+            trigger=AVAILABLE_NOW,
+        ),
     )
-    _run(q, "ingest_stream_good", started)
-    good = read_batch_table(spark, f"{root}/good")
-    return good.drop("batch_id").withColumn("row_key", F.hex("row_key"))
+    return Run(_hex_key(_table(spark, f"{root}/error")), seconds, progress)
 
 
-def q_window_avg_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def run_malformed(spark: SparkSession, sf_dir: str, staged: tuple[str, int] | None = None) -> Run:
+    use_utc(spark)
+    root = new_scratch_dir(spark, "malformed")
+    staged = staged or stage_messages(spark, sf_dir, root)
+    seconds, progress = _finish(
+        lambda: start_malformed(staged_stream(spark, staged), f"{root}/out", f"{root}/chk", trigger=AVAILABLE_NOW)
+    )
+    return Run(_table(spark, f"{root}/out").select("key", "seq", "reason"), seconds, progress)
+
+
+def run_window_avg(
+    spark: SparkSession, sf_dir: str, staged: tuple[str, int] | None = None, late: bool = False
+) -> Run:
     """Entry 2 on a stream in append mode: windows whose end the 10-minute
     watermark has passed (``window_end <= max(eventtime) - 10 minutes``)."""
     use_utc(spark)
     root = new_scratch_dir(spark, "average")
-    src = _stage_messages(spark, sf_dir, root)
-    started = time.perf_counter()
-    q = start_window_average(
-        _stream(spark, src),
-        testbed.device_metadata(spark, sf_dir),
-        f"{root}/out",
-        f"{root}/chk",
-        trigger=AVAILABLE_NOW,
+    staged = staged or stage_messages(spark, sf_dir, root, late=late)
+    seconds, progress = _finish(
+        lambda: start_window_average(
+            staged_stream(spark, staged), testbed.device_metadata(spark, sf_dir), f"{root}/out", f"{root}/chk",
+            trigger=AVAILABLE_NOW,
+        )
     )
-    _run(q, "window_avg_stream", started)
-    return _averages_out(read_batch_table(spark, f"{root}/out").drop("batch_id"))
+    return Run(_averages_out(_table(spark, f"{root}/out")), seconds, progress)
+
 
+def run_late_rows(spark: SparkSession, sf_dir: str) -> Run:
+    """The same averages when rows behind the watermark arrive at the end:
+    they change no window."""
+    return run_window_avg(spark, sf_dir, late=True)
 
-def q_window_avg_two_hop(spark: SparkSession, sf_dir: str) -> DataFrame:
+
+def run_window_avg_two_hop(spark: SparkSession, sf_dir: str, staged: tuple[str, int] | None = None) -> Run:
     """Entry 2 as two hops, each with its own watermark: de-duplicate (10
     minutes) into a table, then average the good records from that table
     (3 minutes). Append mode: windows with
     ``window_end <= max(good eventtime) - 3 minutes``."""
     use_utc(spark)
     root = new_scratch_dir(spark, "twohop")
-    src = _stage_messages(spark, sf_dir, root)
+    staged = staged or stage_messages(spark, sf_dir, root)
     meta = testbed.device_metadata(spark, sf_dir)
-    _run(start_dedup_table(_stream(spark, src), meta, f"{root}/readings", f"{root}/chk1", trigger=AVAILABLE_NOW))
-    hop2 = start_window_average_from_table(
-        readings_table_stream(spark, f"{root}/readings"), f"{root}/out", f"{root}/chk2", trigger=AVAILABLE_NOW
+    seconds, progress = _finish(
+        lambda: start_dedup_table(staged_stream(spark, staged), meta, f"{root}/readings", f"{root}/chk1", trigger=AVAILABLE_NOW),
+        lambda: start_window_average_from_table(
+            readings_table_stream(spark, f"{root}/readings"), f"{root}/out", f"{root}/chk2", trigger=AVAILABLE_NOW
+        ),
     )
-    _run(hop2)
-    return _averages_out(read_batch_table(spark, f"{root}/out").drop("batch_id"))
+    return Run(_averages_out(_table(spark, f"{root}/out")), seconds, progress)
 
 
-def q_device_sessions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def run_window_count_variable(spark: SparkSession, sf_dir: str, staged: tuple[str, int] | None = None) -> Run:
+    """Good readings per 2-minute window, device and variable, from the
+    de-duplicated table, 3-minute watermark, update mode; latest row per group."""
+    use_utc(spark)
+    root = new_scratch_dir(spark, "varcount")
+    staged = staged or stage_messages(spark, sf_dir, root)
+    meta, keys = testbed.device_metadata(spark, sf_dir), ("deviceid", "variableid")
+    seconds, progress = _finish(
+        lambda: start_dedup_table(staged_stream(spark, staged), meta, f"{root}/readings", f"{root}/chk1", trigger=AVAILABLE_NOW),
+        lambda: _update_query(
+            window_count(
+                good_records(readings_table_stream(spark, f"{root}/readings")), VARIABLE_COUNT_WINDOW,
+                VARIABLE_COUNT_WATERMARK, keys=keys,
+            ),
+            root,
+        ),
+    )
+    return Run(_latest_counts(spark, root, keys), seconds, progress)
+
+
+def run_device_sessions(spark: SparkSession, sf_dir: str, staged: tuple[str, int] | None = None) -> Run:
     """Entry 3 on a stream: equals the batch sessions."""
     use_utc(spark)
     root = new_scratch_dir(spark, "sessions")
-    src = _stage_messages(spark, sf_dir, root)
-    started = time.perf_counter()
-    q = start_sessions(_stream(spark, src), f"{root}/out", f"{root}/chk", trigger=AVAILABLE_NOW)
-    _run(q, "device_sessions_stream", started)
-    return _sessions_out(read_batch_table(spark, f"{root}/out").drop("batch_id"))
+    staged = staged or stage_messages(spark, sf_dir, root)
+    seconds, progress = _finish(
+        lambda: start_sessions(staged_stream(spark, staged), f"{root}/out", f"{root}/chk", trigger=AVAILABLE_NOW)
+    )
+    return Run(_sessions_out(_table(spark, f"{root}/out")), seconds, progress)
 
 
-def q_window_count_device_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def run_window_count_device(spark: SparkSession, sf_dir: str, staged: tuple[str, int] | None = None) -> Run:
     """Count per 10-minute window and device, 5-minute watermark, update mode;
     read back as the latest row per window and device."""
     use_utc(spark)
     root = new_scratch_dir(spark, "devcount")
-    src = _stage_messages(spark, sf_dir, root)
-    counts = window_count(
-        decode_readings(_stream(spark, src)), DEVICE_COUNT_WINDOW, DEVICE_COUNT_WATERMARK, keys=("deviceid",)
-    )
-    q = (
-        counts.writeStream.outputMode("update")
-        .foreachBatch(batch_directory_writer(f"{root}/out"))
-        .option("checkpointLocation", f"{root}/chk")
-        .trigger(availableNow=True)
-        .start()
-    )
-    _run(q)
-    table = read_batch_table(spark, f"{root}/out").select(
-        F.col("window.start").alias("ws"), F.col("window.end").alias("we"), "deviceid", "count", "batch_id"
+    staged = staged or stage_messages(spark, sf_dir, root)
+    seconds, progress = _finish(
+        lambda: _update_query(
+            window_count(
+                decode_readings(staged_stream(spark, staged)), DEVICE_COUNT_WINDOW, DEVICE_COUNT_WATERMARK, keys=("deviceid",)
+            ),
+            root,
+        )
     )
-    latest = latest_by_key(table, ["ws", "we", "deviceid"], ["batch_id"])
-    return _count_out(
-        latest.select(F.struct(F.col("ws").alias("start"), F.col("we").alias("end")).alias("window"), "deviceid", "count"),
-        ("deviceid",),
+    return Run(_latest_counts(spark, root, ("deviceid",)), seconds, progress)
+
+
+def run_event_dedup(spark: SparkSession, sf_dir: str) -> Run:
+    """Status events, each sent twice in its slice, de-duplicated within the
+    watermark; with the event time among the columns only true copies go."""
+    use_utc(spark)
+    root = new_scratch_dir(spark, "eventdedup")
+    twice = lambda rows: testbed.messages_from_events(rows.unionByName(rows))
+    per_slice = write_time_slices(testbed.device_events(spark, sf_dir), "eventtime", f"{root}/input", N_FILES, to_messages=twice)
+    columns = ("connectorid", "deviceid", "status", "eventtime")
+    seconds, progress = _finish(
+        lambda: _update_query(
+            drop_duplicate_events(decode_events(staged_stream(spark, (f"{root}/input", per_slice))), columns=columns),
+            root, mode="append",
+        )
     )
+    table = _table(spark, f"{root}/out")
+    return Run(table.select("connectorid", "deviceid", F.col("eventtime").cast("timestamp_ntz").alias("eventtime"), "status"), seconds, progress)
+
+
+def run_csv_window_count(spark: SparkSession, sf_dir: str) -> Run:
+    """Text lines counted per 2-minute window and text, 5-minute watermark,
+    update mode; latest row per group."""
+    use_utc(spark)
+    root = new_scratch_dir(spark, "csvcount")
+    events = read_table(spark, sf_dir, "events").withColumn("eventtime", F.col("ts").cast("timestamp"))
+    per_slice = write_time_slices(events, "eventtime", f"{root}/input", N_FILES, to_messages=testbed.csv_from_events)
+    lines = message_file_stream(spark, f"{root}/input/slice=*", schema=LINE, max_files_per_trigger=per_slice)
+    seconds, progress = _finish(lambda: _update_query(csv_window_count(lines, CSV_COUNT_WINDOW, CSV_COUNT_WATERMARK), root))
+    return Run(_latest_counts(spark, root, ("value",)), seconds, progress)
 
 
-def q_word_count_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Word count over document lines, complete mode: the last micro-batch
-    holds the full counts."""
+def run_word_count(spark: SparkSession, sf_dir: str) -> Run:
+    """Word count over document lines, complete mode: the one batch kept holds
+    the full counts."""
     root = new_scratch_dir(spark, "words")
-    src = f"{root}/input"
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("value"))
-    n = N_FILES
-    for i in range(n):
-        docs.filter(F.pmod(F.col("doc_id"), F.lit(n)) == i).select("value").write.mode("overwrite").parquet(
-            f"{src}/slice={i:04d}"
-        )
-    lines = message_file_stream(spark, f"{src}/slice=*", schema=LINE, max_files_per_trigger=None)
-    q = (
-        word_count(lines)
-        .writeStream.outputMode("complete")
-        .foreachBatch(batch_directory_writer(f"{root}/out"))
-        .option("checkpointLocation", f"{root}/chk")
-        .trigger(availableNow=True)
-        .start()
+    docs = read_table(spark, sf_dir, "documents").select(
+        F.pmod(F.col("doc_id"), F.lit(N_FILES)).alias("slice"), F.col("text").alias("value")
+    )
+    docs.repartition(N_FILES, "slice").write.partitionBy("slice").mode("overwrite").parquet(f"{root}/input")
+    lines = message_file_stream(spark, f"{root}/input/slice=*", schema=LINE, max_files_per_trigger=1)
+    seconds, progress = _finish(lambda: _update_query(word_count(lines), root, mode="complete", only_last=True))
+    return Run(_table(spark, f"{root}/out"), seconds, progress)
+
+
+def run_latest_by_key(spark: SparkSession, sf_dir: str) -> Run:
+    """Upsert view over a table that several micro-batches wrote: 17-byte
+    keys, two variables per message, the greatest variable id wins."""
+    use_utc(spark)
+    root = new_scratch_dir(spark, "latest")
+    log = testbed.multi_value_log(spark, sf_dir).withColumn("slice", F.pmod(F.col("seq"), F.lit(N_FILES)))
+    log.repartition(N_FILES, "slice").write.partitionBy("slice").mode("overwrite").parquet(f"{root}/input")
+    messages = message_file_stream(spark, f"{root}/input/slice=*", schema=MESSAGE, max_files_per_trigger=1)
+    meta = testbed.device_metadata(spark, sf_dir)
+    # batch order must not matter here: no watermark, so state is kept for the short run
+    seconds, progress = _finish(
+        lambda: start_ingest(messages, meta, f"{root}/good", f"{root}/error", f"{root}/chk", watermark="3650 days", compat_key=True, trigger=AVAILABLE_NOW)
     )
-    _run(q)
-    table = read_batch_table(spark, f"{root}/out")
-    last = table.agg(F.max("batch_id")).first()[0]
-    return table.filter(F.col("batch_id") == F.lit(last)).drop("batch_id")
-
-
-def stream_queries() -> dict:
-    return {
-        "ingest_stream_good": q_ingest_stream_good,
-        "window_avg_stream": q_window_avg_stream,
-        "window_avg_two_hop": q_window_avg_two_hop,
-        "device_sessions_stream": q_device_sessions_stream,
-        "window_count_device_stream": q_window_count_device_stream,
-        "word_count_stream": q_word_count_stream,
-    }
+    latest = latest_by_key(read_batch_table(spark, f"{root}/good")).drop(*BATCH_COLUMNS)
+    return Run(_hex_key(latest), seconds, progress)
+
+
+RUNS: dict[str, Callable[..., Run]] = {
+    "ingest_stream_good": run_ingest,
+    "ingest_stream_error": run_ingest_error,
+    "malformed_stream": run_malformed,
+    "window_avg_stream": run_window_avg,
+    "late_rows_stream": run_late_rows,
+    "window_avg_two_hop": run_window_avg_two_hop,
+    "window_count_variable_stream": run_window_count_variable,
+    "device_sessions_stream": run_device_sessions,
+    "window_count_device_stream": run_window_count_device,
+    "event_dedup_stream": run_event_dedup,
+    "csv_window_count_stream": run_csv_window_count,
+    "word_count_stream": run_word_count,
+    "latest_by_key_table": run_latest_by_key,
+}
+
+
+def stream_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    def query(run: Callable[..., Run]) -> Callable[[SparkSession, str], DataFrame]:
+        return lambda spark, sf_dir: run(spark, sf_dir).table
+
+    return {name: query(run) for name, run in RUNS.items()}

@@ -1,7 +1,6 @@
 """Sinks: routed keyed tables (idempotent per micro-batch), latest-per-key
 view, Kafka-shaped lines, console, CSV files."""
 
-from pulsegrid.sinks.kafka import write_lines_to_kafka
 from pulsegrid.sinks.misc import console_writer, csv_file_writer
 from pulsegrid.sinks.tables import (
     batch_directory_writer,
@@ -12,7 +11,6 @@ from pulsegrid.sinks.tables import (
 )
 
 __all__ = [
-    "write_lines_to_kafka",
     "console_writer",
     "csv_file_writer",
     "batch_directory_writer",

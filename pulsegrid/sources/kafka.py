@@ -10,13 +10,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulsegrid.config import MAX_OFFSETS_PER_TRIGGER
+
 
 def kafka_messages(
     spark: SparkSession,
     bootstrap_servers: str,
     topic: str,
     starting_offsets: str | None = None,
-    max_offsets_per_trigger: int | None = None,
+    max_offsets_per_trigger: int | None = MAX_OFFSETS_PER_TRIGGER,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
     """Streaming ``(key STRING, value STRING, seq BIGINT)`` from one topic.
@@ -24,7 +26,7 @@ def kafka_messages(
     ``seq`` is the Kafka offset; messages of one key share a partition, so it
     orders a device's messages and breaks ties in event time.
     ``max_offsets_per_trigger`` bounds each micro-batch, which is what bounds
-    the per-device work of the stateful operators.
+    the per-device work of the stateful operators (also after an outage).
     """
     reader = (
         spark.readStream.format("kafka")

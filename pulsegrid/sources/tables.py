@@ -9,21 +9,18 @@ from pulsegrid.schemas import METADATA
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan over the cluster's cores when it yields fewer partitions
-    than cores (a small file with one row group is one task however much
-    per-row work follows, e.g. JSON encoding and decoding). A large input
-    already has at least that many splits and is returned unchanged, so no
-    shuffle is added at scale."""
+    """Spread a scan of a small file (one row group is one task) over the
+    cores, at the price of a shuffle: for staging in tests and benchmarks.
+    Queries do not call it."""
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= want:
         return df
     return df.repartition(want)
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread_small: bool = True) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One parquet table of a test-data folder (``{sf_dir}/{name}.parquet``)."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if spread_small else df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def read_metadata(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

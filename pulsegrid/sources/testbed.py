@@ -34,6 +34,7 @@ BAD_READING_JSON = 4  # reading key, body is not JSON
 BAD_READING_VALUE = 5  # reading key, value is not a number
 BAD_EVENT_JSON = 6  # event key, body is not JSON
 OTHER_FLAG = 7  # key flag 2: neither reading nor event, ignored
+BAD_TIME = 9  # reading whose time is before 1970
 EMPTY_VALUES = 8  # reading with an empty value list: no reading, not malformed
 
 _JSON_OPTS = {"timestampFormat": TABLE_TIME_FORMAT}
@@ -58,16 +59,16 @@ def device_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _header() -> Column:
+def _header(eventtime: Column | None = None) -> Column:
     return F.struct(
         F.lit(1).alias("timeseries"),
         F.col("connectorid"),
         F.col("deviceid"),
-        F.col("eventtime"),
+        (F.col("eventtime") if eventtime is None else eventtime).alias("eventtime"),
     )
 
 
-def _reading_json(value: Column, values_override: Column | None = None) -> Column:
+def _reading_json(value: Column, values_override: Column | None = None, eventtime: Column | None = None) -> Column:
     values = (
         values_override
         if values_override is not None
@@ -75,7 +76,7 @@ def _reading_json(value: Column, values_override: Column | None = None) -> Colum
     )
     body = F.struct(
         F.lit(READING_NAME).alias("name"),
-        _header().alias("header"),
+        _header(eventtime).alias("header"),
         F.struct(values.alias("values")).alias("iotdata"),
     )
     return F.to_json(body, _JSON_OPTS)
@@ -108,6 +109,7 @@ def messages_from_events(ev: DataFrame, with_duplicates: bool = True, with_bad:
     if with_duplicates:
         msgs.append(F.when(F.col("seq") % DUPLICATE_EVERY == 0, reading))
     if with_bad:
+        old_time = F.lit("1969-12-31 23:59:59.999").cast("timestamp")
         empty_values = F.array().cast("array<struct<variableid:string,value:double>>")
         msgs += [
             F.when(kind == BAD_NO_FLAG, _msg(uid, body)),
@@ -117,11 +119,19 @@ def messages_from_events(ev: DataFrame, with_duplicates: bool = True, with_bad:
             F.when(kind == BAD_READING_VALUE, _msg(reading_key, _reading_json(F.lit("abc")))),
             F.when(kind == BAD_EVENT_JSON, _msg(event_key, F.lit("{bad"))),
             F.when(kind == OTHER_FLAG, _msg(F.concat(uid, F.lit(",2")), body)),
+            F.when(kind == BAD_TIME, _msg(reading_key, _reading_json(F.col("value"), eventtime=old_time))),
             F.when(kind == EMPTY_VALUES, _msg(reading_key, _reading_json(F.col("value"), empty_values))),
         ]
     return ev.select(F.inline(F.filter(F.array(*msgs), lambda m: m.isNotNull())))
 
 
+def duplicates_from_events(ev: DataFrame) -> DataFrame:
+    """The second copies of readings alone."""
+    key = F.concat(F.col("user_id").cast("string"), F.lit(",1"))
+    again = ev.filter(F.col("seq") % DUPLICATE_EVERY == 0)
+    return again.select(_msg(key, _reading_json(F.col("value"))).alias("m")).select("m.*")
+
+
 def message_log(spark: SparkSession, sf_dir: str, with_duplicates: bool = True, with_bad: bool = True) -> DataFrame:
     """The keyed message log of the whole ``events`` table."""
     return messages_from_events(device_events(spark, sf_dir), with_duplicates, with_bad)
@@ -184,7 +194,10 @@ def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``text,yyyy-MM-ddTHH:mm:ss.SSS`` lines derived from ``events``: the event
     type and its time; every 50th line has a broken time."""
     use_utc(spark)
-    ev = read_table(spark, sf_dir, "events")
+    return csv_from_events(read_table(spark, sf_dir, "events"))
+
+
+def csv_from_events(ev: DataFrame) -> DataFrame:
     t = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSS")
     t = F.when(F.col("event_id") % BAD_EVERY == BAD_NO_FLAG, F.lit("bad")).otherwise(t)
     return ev.select(F.concat_ws(",", F.col("event_type"), t).alias("value"))

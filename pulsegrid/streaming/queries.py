@@ -12,8 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from pulsegrid.config import AVERAGE_WINDOW, DEDUP_WATERMARK
-from pulsegrid.operators.decode import decode_events
+from pulsegrid.config import AVERAGE_WATERMARK, AVERAGE_WINDOW, DEDUP_WATERMARK
+from pulsegrid.operators.decode import decode_events, malformed_messages
 from pulsegrid.plans.pipelines import average_lines, ingest_readings, session_lines, window_averages
 from pulsegrid.sinks.tables import batch_directory_writer, routed_table_writer
 from pulsegrid.streaming.state import device_sessions_stream
@@ -103,7 +103,7 @@ def start_window_average_from_table(
     out_path: str,
     checkpoint: str,
     window: str = AVERAGE_WINDOW,
-    watermark: str = AVERAGE_WINDOW,
+    watermark: str = AVERAGE_WATERMARK,
     trigger: dict | None = None,
     name: str | None = None,
 ) -> StreamingQuery:
@@ -114,16 +114,40 @@ def start_window_average_from_table(
     return _start(writer, checkpoint, trigger, name)
 
 
+def start_tables_from_readings(
+    table_stream: DataFrame,
+    good_path: str,
+    error_path: str,
+    checkpoint: str,
+    compat_key: bool = False,
+    trigger: dict | None = None,
+    name: str | None = None,
+) -> StreamingQuery:
+    """Good and error tables from a stream of already de-duplicated, validated
+    readings: no state of its own."""
+    writer = table_stream.writeStream.outputMode("append").foreachBatch(
+        routed_table_writer(good_path, error_path, compat_key)
+    )
+    return _start(writer, checkpoint, trigger, name)
+
+
+def start_malformed(
+    messages: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, name: str | None = None
+) -> StreamingQuery:
+    """Messages that the decoders leave out, with the reason, to a table."""
+    writer = malformed_messages(messages).writeStream.outputMode("append").foreachBatch(batch_directory_writer(path))
+    return _start(writer, checkpoint, trigger, name)
+
+
 def start_sessions(
     messages: DataFrame,
     out_path: str,
     checkpoint: str,
     trigger: dict | None = None,
     name: str | None = None,
-    state_timeout_ms: int | None = None,
 ) -> StreamingQuery:
     """Entry 3: status events to closed device sessions (update mode)."""
-    sessions = device_sessions_stream(decode_events(messages), state_timeout_ms=state_timeout_ms)
+    sessions = device_sessions_stream(decode_events(messages))
     writer = sessions.writeStream.outputMode("update").foreachBatch(batch_directory_writer(out_path))
     return _start(writer, checkpoint, trigger, name)
 
@@ -140,6 +164,13 @@ def average_line_stream(
     return average_lines(window_averages(ingested, window=window))
 
 
+def average_line_stream_from_table(
+    table_stream: DataFrame, window: str = AVERAGE_WINDOW, watermark: str = AVERAGE_WATERMARK
+) -> DataFrame:
+    """The same lines from a stream of already de-duplicated readings."""
+    return average_lines(window_averages(table_stream, window=window, watermark=watermark))
+
+
 def session_line_stream(messages: DataFrame) -> DataFrame:
     """Entry 3 as Kafka-shaped ``value`` lines ``deviceid,start,end,DEAD``."""
     return session_lines(device_sessions_stream(decode_events(messages)))

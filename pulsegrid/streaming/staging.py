@@ -17,6 +17,9 @@ def write_time_slices(
     to_messages: Callable[[DataFrame], DataFrame] | None = None,
     fmt: str = "parquet",
     only: Sequence[int] | None = None,
+    number: int | None = None,
+    carry: str | None = None,
+    carried: Callable[[DataFrame], DataFrame] | None = None,
 ) -> int:
     """Write ``rows`` as ``n_slices`` equal event-time ranges, oldest first,
     one write per slice into ``{path}/slice=NNNN`` (so file modification times
@@ -27,7 +30,9 @@ def write_time_slices(
     Returns the largest number of files written for one slice: read with
     ``maxFilesPerTrigger`` set to it, each micro-batch takes one slice.
     ``only``: write just these slice numbers (e.g. to add input to a running
-    or restarted stream later).
+    or restarted stream later), ``number``: under this number instead.
+    ``carry``: what ``carried`` makes of the rows in the last such stretch of a
+    slice arrives with the next slice, of all others with their own.
     """
     bounds = rows.agg(
         F.min(F.unix_micros(F.col(time_col).cast("timestamp"))).alias("lo"),
@@ -39,9 +44,16 @@ def write_time_slices(
     files = 1
     for i in range(n_slices) if only is None else only:
         part = rows.filter(slice_no == i)
-        if to_messages is not None:
+        if carry is not None:
+            end = F.timestamp_micros(F.lit(lo + (i + 1) * width))
+            stays = part if i == n_slices - 1 else part.filter(F.col(time_col) < end - F.expr(f"interval {carry}"))
+            before = rows.filter(slice_no == i - 1).filter(
+                F.col(time_col) >= F.timestamp_micros(F.lit(lo + i * width)) - F.expr(f"interval {carry}")
+            )
+            part = to_messages(part, with_duplicates=False).unionByName(carried(stays)).unionByName(carried(before))
+        elif to_messages is not None:
             part = to_messages(part)
-        target = f"{path.rstrip('/')}/slice={i:04d}"
+        target = f"{path.rstrip('/')}/slice={i if number is None else number:04d}"
         part.write.mode("overwrite").format(fmt).save(target)
         files = max(files, _count_data_files(rows.sparkSession, target))
     return files

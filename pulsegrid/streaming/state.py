@@ -11,7 +11,6 @@ trigger is bounded by the trigger size (``maxOffsetsPerTrigger`` /
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from pulsegrid.config import STATUS_DEAD
-from pulsegrid.operators.session_core import NULL, summarize
+from pulsegrid.operators.session_core import ALIVE, NULL, summarize
 from pulsegrid.operators.sessions import coded_events
 
 OUT_SCHEMA = T.StructType(
@@ -36,6 +35,22 @@ OUT_SCHEMA = T.StructType(
 STATE_SCHEMA = T.StructType([T.StructField("open_since", T.LongType())])
 
 
+SMALL = 64  # up to so many events a plain loop beats array calls
+
+
+def fold_small(open_since: int, rows: list[tuple[int, int, int]]) -> tuple[list[tuple[int, int]], int]:
+    """:func:`fold_batch` for a few (time, seq, code) rows."""
+    sessions, start = [], open_since
+    for t, _, code in sorted(rows):
+        if code == ALIVE:
+            if start == NULL:
+                start = t
+        elif start != NULL:
+            sessions.append((int(start), t))
+            start = NULL
+    return sessions, int(start)
+
+
 def fold_batch(open_since: int, t: np.ndarray, s: np.ndarray, code: np.ndarray) -> tuple[list[tuple[int, int]], int]:
     """One device's events of one micro-batch: returns closed sessions and the
     new open start (``NULL`` when none)."""
@@ -54,29 +69,21 @@ def fold_batch(open_since: int, t: np.ndarray, s: np.ndarray, code: np.ndarray)
     return sessions, new_open
 
 
-def _update(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState, timeout_ms: int | None = None) -> Iterator[pd.DataFrame]:
-    if state.hasTimedOut:
-        # no event for the timeout duration: the open session is dropped unseen
-        state.remove()
-        return
-    frames = [p for p in pdfs if not p.empty]
-    if not frames:
-        return
-    pdf = pd.concat(frames, ignore_index=True) if len(frames) > 1 else frames[0]
+def _update(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     open_since = int(state.get[0]) if state.exists else int(NULL)
-    sessions, new_open = fold_batch(
-        open_since,
-        pdf["_t"].to_numpy(dtype=np.int64),
-        pdf["_s"].to_numpy(dtype=np.int64),
-        pdf["_code"].to_numpy(dtype=np.int64),
-    )
-    if new_open == NULL:
-        if state.exists:
-            state.remove()
+    columns = [[p[c].to_numpy(dtype=np.int64) for c in ("_t", "_s", "_code")] for p in pdfs]
+    n = sum(len(c[0]) for c in columns)
+    if not n:
+        return
+    if n <= SMALL:
+        sessions, new_open = fold_small(open_since, [r for c in columns for r in zip(*(x.tolist() for x in c))])
     else:
-        state.update((new_open,))
-        if timeout_ms:
-            state.setTimeoutDuration(timeout_ms)
+        sessions, new_open = fold_batch(open_since, *(np.concatenate(x) for x in zip(*columns)))
+    if new_open != NULL:
+        if new_open != open_since:
+            state.update((new_open,))
+    elif state.exists:
+        state.remove()
     if sessions:
         conn, dev = key
         yield pd.DataFrame(
@@ -89,25 +96,13 @@ def _update(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState, timeout
         )
 
 
-def device_sessions_stream(events: DataFrame, seq_col: str = "seq", state_timeout_ms: int | None = None) -> DataFrame:
+def device_sessions_stream(events: DataFrame, seq_col: str = "seq") -> DataFrame:
     """Streaming sessions (update mode): ``connectorid, deviceid,
-    activeStartTime, activeEndTime, deviceactive``.
-
-    By default a device that never sends DEAD keeps its open session in state
-    for good (as in the reference). ``state_timeout_ms`` drops an open
-    session after that much processing time without events for the device.
-    Timeouts are checked by a batch every trigger, so such a query keeps
-    running empty batches: use it with a processing-time trigger, not with
-    ``availableNow`` (which would never finish).
-    """
+    activeStartTime, activeEndTime, deviceactive``. A device that never sends
+    DEAD keeps its open session in state for good (as in the reference)."""
     coded = coded_events(events, seq_col)
-    if state_timeout_ms:
-        fn = functools.partial(_update, timeout_ms=int(state_timeout_ms))
-        timeout = GroupStateTimeout.ProcessingTimeTimeout
-    else:
-        fn, timeout = _update, GroupStateTimeout.NoTimeout
     out = coded.groupBy("connectorid", "deviceid").applyInPandasWithState(
-        fn, OUT_SCHEMA, STATE_SCHEMA, "Update", timeout
+        _update, OUT_SCHEMA, STATE_SCHEMA, "Update", GroupStateTimeout.NoTimeout
     )
     return out.select(
         "connectorid",

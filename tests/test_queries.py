@@ -1,6 +1,7 @@
 """Every catalogue query against its SQL oracle (DuckDB) on the smallest
 test tables; the driver runs the same comparison at sf0.01."""
 
+import re
 import sys
 from pathlib import Path
 
@@ -28,12 +29,15 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
+# the training-data queries have tests of their own
+OWN = sorted(n for n in entry.queries() if not re.match(r"op\d+_|pipeline$", n))
+
+
 def test_every_query_has_oracle():
-    missing = set(entry.queries()) - set(entry.oracle_sql())
-    assert not missing
+    assert not set(OWN) - set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", OWN)
 def test_query_matches_oracle(spark, duck, name):
     got = entry.queries()[name](spark, SF_SMALL).toPandas()
     want = duck.sql(entry.oracle_sql()[name]).df()

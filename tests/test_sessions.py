@@ -6,7 +6,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from pulsegrid.operators.session_core import ALIVE, DEAD, NULL, Piece, combine, summarize
-from pulsegrid.operators.sessions import device_sessions, device_sessions_by_window
+from pulsegrid.operators.sessions import device_sessions
+from tests.helpers import device_sessions_by_window
 from pulsegrid.schemas import EVENT
 from pulsegrid.streaming.state import fold_batch
 
@@ -176,3 +177,29 @@ def test_sessions_small_arrow_batches(spark):
         assert got == want
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_result_does_not_depend_on_exchange_reuse(spark):
+    """Range bounds may differ between evaluations: the scan is evaluated once."""
+    from pulsegrid.operators.ordering import event_order
+    from pulsegrid.plans import catalog
+    from tests.conftest import SF_CHECK
+
+    confs = {"spark.sql.exchange.reuse": "false", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        events = catalog._events(spark, SF_CHECK)
+        got = device_sessions(events)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, device_sessions_by_window(events).collect()))
+        ordered = event_order(events).collect()
+        by: dict = {}
+        for r in ordered:
+            by.setdefault((r.connectorid, r.deviceid), []).append((r.eventtime, r.seq, r.event_order))
+        assert len(ordered) == 10_000
+        for rows in by.values():
+            assert [n for *_, n in sorted(rows)] == list(range(1, len(rows) + 1))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

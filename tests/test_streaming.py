@@ -1,11 +1,14 @@
-import datetime as dt
+import numpy as np
+import pytest
 
 from pulsegrid.operators.decode import decode_readings
 from pulsegrid.operators.dedup import drop_duplicate_events, drop_duplicate_readings
+from pulsegrid.operators.session_core import NULL
 from pulsegrid.schemas import METADATA
-from pulsegrid.sinks.tables import read_batch_table, routed_table_writer
+from pulsegrid.sinks.tables import latest_by_key, read_batch_table, write_batch
 from pulsegrid.sources.files import message_file_stream
 from pulsegrid.streaming.queries import start_ingest, start_sessions
+from pulsegrid.streaming.state import fold_batch, fold_small
 from tests.helpers import event, messages, reading, write_files
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -118,26 +121,50 @@ def test_ingest_stream_routes_tables_and_restarts(spark, workdir):
     assert {f.name for f in g.schema.fields} >= {"CONNECTORID", "DEVICEID", "EVENTTIME", "VARIABLEID", "VALUE", "row_key"}
 
 
-def test_routed_writer_retry_is_idempotent(spark, workdir):
-    import datetime as d
+def test_batch_retry_replaces_its_own_rows_only(spark, workdir):
+    rows = spark.createDataFrame([(1.0,), (2.0,)], "v double")
+    write_batch(rows, f"{workdir}/t", 3, "q1")
+    write_batch(rows.filter("v > 1"), f"{workdir}/t", 3, "q1")  # the batch again, as after a failure
+    write_batch(rows, f"{workdir}/t", 3, "q2")
+    write_batch(rows.limit(0), f"{workdir}/t", 4, "q1")  # empty and never tried: nothing
+    write_batch(rows.limit(0), f"{workdir}/t", 3, "q2")  # empty, but an earlier attempt wrote
+    got = sorted(tuple(r) for r in read_batch_table(spark, f"{workdir}/t").select("query_id", "batch_id", "v").collect())
+    assert got == [("q1", 3, 2.0)]
+    with pytest.raises(ValueError):
+        write_batch(rows, f"{workdir}/t", 5)
 
-    from pulsegrid.schemas import VALIDATED_READING
 
-    rows = [("n", 1, 1, 1, d.datetime(2018, 7, 20), "v", 1.0, "Success"), ("n", 1, 2, 2, d.datetime(2018, 7, 20), "v", 1.0, "Connector id mismatch")]
-    batch = spark.createDataFrame(rows, VALIDATED_READING)
-    w = routed_table_writer(f"{workdir}/good", f"{workdir}/error")
-    w(batch, 3)
-    w(batch, 3)  # the same batch again, as after a failure
-    assert read_batch_table(spark, f"{workdir}/good").count() == 1
-    assert read_batch_table(spark, f"{workdir}/error").count() == 1
+def test_two_checkpoints_on_one_table_keep_both_runs(spark, workdir):
+    meta = spark.createDataFrame([("g", 1, "c", 1, "v", 1, "DOUBLE", 1)], METADATA)
+    for run, value in enumerate([1.0, 2.0]):
+        write_files(spark, f"{workdir}/in{run}", [[("1,1", reading(1, 1, _ts(0), [("v", value)]), 1)]])
+        src = message_file_stream(spark, f"{workdir}/in{run}/slice=*")
+        start_ingest(src, meta, f"{workdir}/good", f"{workdir}/error", f"{workdir}/chk{run}", trigger=AVAILABLE_NOW).awaitTermination()
+    assert sorted(r.VALUE for r in read_batch_table(spark, f"{workdir}/good").collect()) == [1.0, 2.0]
+
+
+def test_rows_without_a_key_are_not_merged(spark):
+    rows = [(None, 1, "a", 1.0), (None, 2, "a", 2.0), (b"k", 1, "a", 3.0), (b"k", 2, "a", 4.0), (b"k", 2, "b", 5.0)]
+    table = spark.createDataFrame(rows, "row_key binary, batch_id int, VARIABLEID string, VALUE double")
+    assert sorted(r.VALUE for r in latest_by_key(table).collect()) == [1.0, 2.0, 5.0]
+
 
+def test_compaction_keeps_rows(spark, workdir):
+    from pulsegrid.sinks.tables import compact_table
 
-def test_event_dedup_within_watermark_batch_form(spark):
-    rows = [(1, 1, dt.datetime(2018, 7, 20, 12, 0, s), "ALIVE", s) for s in (0, 10)]
+    for b in range(5):
+        write_batch(spark.createDataFrame([(float(b),)], "v double"), f"{workdir}/t", b, "q")
+    compact_table(spark, f"{workdir}/t", f"{workdir}/small")
+    small = spark.read.parquet(f"{workdir}/small")
+    assert sorted((r.query_id, r.batch_id, r.v) for r in small.collect()) == [("q", b, float(b)) for b in range(5)]
+    assert len(small.inputFiles()) == 1
+
+
+def test_event_dedup_within_watermark_refuses_batch_tables(spark):
     from pulsegrid.schemas import EVENT
 
-    df = spark.createDataFrame(rows, EVENT)
-    assert drop_duplicate_events(df).count() == 1
+    with pytest.raises(ValueError):
+        drop_duplicate_events(spark.createDataFrame([], EVENT))
 
 
 def test_event_dedup_within_watermark_stream(spark, workdir):
@@ -189,7 +216,7 @@ def _staged_sessions(spark, workdir, n_slices, phases):
         per = write_time_slices(ev, "eventtime", f"{workdir}/in", n_slices, testbed.messages_from_events, only=only)
         src = message_file_stream(spark, f"{workdir}/in/slice=*", max_files_per_trigger=per)
         start_sessions(src, f"{workdir}/out", f"{workdir}/chk", trigger=AVAILABLE_NOW).awaitTermination()
-    got = sorted(tuple(r) for r in read_batch_table(spark, f"{workdir}/out").drop("batch_id").collect())
+    got = sorted(tuple(r) for r in read_batch_table(spark, f"{workdir}/out").drop("query_id", "batch_id").collect())
     from pulsegrid.operators.sessions import device_sessions
 
     want = sorted(tuple(r) for r in device_sessions(dec(testbed.message_log(spark, SF_SMALL))).collect())
@@ -259,32 +286,16 @@ def test_line_streams(spark, workdir):
     ]
 
 
-def test_session_state_timeout_drops_open_session(spark, workdir):
-    other = ("8,0", event(8, 1, _ts(2), "OTHER"), 9)
-    batches = [[_ev("ALIVE", 1, 1)], [other], [_ev("DEAD", 3, 2)]]
-    write_files(spark, f"{workdir}/in", batches)
-    # timeouts keep a query running empty batches (neither availableNow nor
-    # processAllAvailable ever finish): poll the progress, then stop
-    import time
-
-    q = start_sessions(
-        message_file_stream(spark, f"{workdir}/in/slice=*"),
-        f"{workdir}/out",
-        f"{workdir}/chk",
-        trigger={"processingTime": "200 milliseconds"},
-        state_timeout_ms=1,
-    )
-    try:
-        deadline = time.time() + 60
-        while time.time() < deadline:
-            prog = q.recentProgress
-            if sum(p["numInputRows"] for p in prog) >= 3 and len(prog) >= 5:
-                break
-            time.sleep(0.5)
-    finally:
-        q.stop()
-    out = read_batch_table(spark, f"{workdir}/out")
-    assert out.count() == 0
+@pytest.mark.parametrize("seed", range(20))
+def test_small_fold_equals_array_fold(seed):
+    rng = np.random.default_rng(seed)
+    n = int(rng.integers(1, 40))
+    rows = [(int(t), k, int(c)) for k, (t, c) in enumerate(zip(rng.integers(0, 25, n), rng.integers(1, 3, n)))]
+    for start in (int(NULL), -5):
+        t, s, c = (np.array(x, dtype=np.int64) for x in zip(*rows))
+        sessions, left = fold_batch(start, t, s, c)
+        small, small_left = fold_small(start, rows)
+        assert (sorted(small), small_left) == (sorted(sessions), left)
 
 
 def test_routing_uses_key_not_header_timeseries(spark):
@@ -301,7 +312,7 @@ def test_app_runs_three_queries_on_files(spark, workdir):
     meta.write.parquet(f"{workdir}/meta")
     batches = [
         [("1,1", reading(1, 1, _ts(0), [("v", 2.0)]), 1), ("1,0", event(1, 1, _ts(0), "ALIVE"), 2)],
-        [("1,1", reading(1, 1, _ts(40), [("v", 4.0)]), 3), ("1,0", event(1, 1, _ts(41), "DEAD"), 4)],
+        [("1,1", reading(1, 1, _ts(40), [("v", 4.0)]), 3), ("1,0", event(1, 1, _ts(41), "DEAD"), 4), ("1", "x", 5)],
     ]
     write_files(spark, f"{workdir}/in", batches)
     args = parse_args([
@@ -310,7 +321,17 @@ def test_app_runs_three_queries_on_files(spark, workdir):
     ])
     for q in start_all(spark, args):
         q.awaitTermination()
-    assert read_batch_table(spark, f"{workdir}/tables/IOTTIMESERIES").count() == 2
-    assert read_batch_table(spark, f"{workdir}/tables/devicestate").count() == 1
-    avg = read_batch_table(spark, f"{workdir}/tables/timeserieswindow")
+    assert read_batch_table(spark, f"{workdir}/tables/good").count() == 2
+    assert read_batch_table(spark, f"{workdir}/tables/error").count() == 0
+    assert read_batch_table(spark, f"{workdir}/tables/sessions").count() == 1
+    assert [r.reason for r in read_batch_table(spark, f"{workdir}/tables/malformed").collect()] == ["key has no integer flag"]
+    avg = read_batch_table(spark, f"{workdir}/tables/averages")
     assert [r.avg_value for r in avg.collect()] == [2.0]
+
+
+@pytest.mark.parametrize("flags", [["--files", "x", "--window-topic", "t"], ["--files", "x", "--session-topic", "t"], ["--kafka", "b:1"]])
+def test_app_refuses_flags_that_do_not_fit(flags):
+    from pulsegrid.streaming.app import parse_args
+
+    with pytest.raises(SystemExit):
+        parse_args([*flags, "--metadata", "m", "--tables", "t", "--checkpoints", "c"])

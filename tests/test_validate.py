@@ -1,7 +1,7 @@
 import pytest
 
 from pulsegrid.config import RESULT_CONNECTOR_MISMATCH, RESULT_DEVICE_NOT_FOUND, RESULT_SUCCESS
-from pulsegrid.operators.validate import error_records, good_records, latest_metadata, validate_readings
+from pulsegrid.operators.validate import error_records, good_records, hot_devices, latest_metadata, validate_readings
 from pulsegrid.schemas import METADATA, READING
 
 
@@ -17,7 +17,7 @@ def _readings(spark, pairs):
     return spark.createDataFrame([("n", 1, c, d, t, "v", 1.0) for d, c in pairs], READING)
 
 
-@pytest.mark.parametrize("strategy", ["broadcast", "salted", "auto"])
+@pytest.mark.parametrize("strategy", ["broadcast", "salted", "plain"])
 def test_validation_hand_cases(spark, strategy):
     meta = _meta(spark, [(1, 10, 1)])
     r = _readings(spark, [(1, 10), (1, 11), (2, 10), (1, None)])
@@ -51,20 +51,13 @@ def test_good_and_error_split(spark):
     assert error_records(v).count() == 2
 
 
-def test_broadcast_only_below_row_limit(spark):
+def test_salts_only_hot_devices(spark):
     meta = _meta(spark, [(d, d % 5, 1) for d in range(50)])
-    r = _readings(spark, [(1, 1)])
-    small = validate_readings(r, meta, max_broadcast_rows=1000)
-    big = validate_readings(r, meta, max_broadcast_rows=10)
-    small.collect()
-    big.collect()
-    small_plan = small._jdf.queryExecution().executedPlan().toString()
-    big_plan = big._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in small_plan and "_m_salt" not in small_plan
-    # beyond the limit the salted shuffle join is planned (AQE may still turn
-    # it into a broadcast at run time when the measured side is small)
-    assert "_m_salt" in big_plan
-    assert big.collect()[0].result == small.collect()[0].result == RESULT_SUCCESS
+    r = _readings(spark, [(1, 1)] * 40 + [(d, d % 5) for d in range(2, 20)])
+    hot = hot_devices(r, rows_per_salt=10).collect()
+    assert [(h["_hot"], h["_salts"]) for h in hot] == [(1, 4)]
+    plain = sorted(tuple(x) for x in validate_readings(r, meta).collect())
+    assert sorted(tuple(x) for x in validate_readings(r, meta, strategy="salted", rows_per_salt=10).collect()) == plain
 
 
 def test_salted_join_spreads_a_hot_device(spark):
@@ -83,7 +76,7 @@ def test_salted_join_spreads_a_hot_device(spark):
         t0 = dt.datetime(2018, 7, 20)
         rows = [("n", 1, 1, 1 if i % 10 else 1 + i % 49, t0 + dt.timedelta(seconds=i), "v", float(i)) for i in range(4000)]
         r = spark.createDataFrame(rows, READING)
-        v = validate_readings(r, meta, strategy="salted", salt_buckets=16)
+        v = validate_readings(r, meta, strategy="salted", rows_per_salt=250)
         spread = v.filter("deviceid = 1").select(F.spark_partition_id().alias("p")).distinct().count()
         assert spread >= 6
         assert v.filter(F.col("result") == RESULT_SUCCESS).count() == 4000
