@@ -42,6 +42,7 @@ from pulsegrid.llm.packed import pack, pack_sorted, range_of, unpack, unpack_sor
 BLOCK_WORDS = 1_500_000
 RANGE_KEYS = 2_000_000
 GROUP = 2_000  # rows of an n-gram formed into pairs at once; sets in one tree
+PAIRS_AT_ONCE = 1_000_000
 SHIFT = np.uint64(16)  # hashes of n-grams keep 48 bits
 
 BLOCKS = (
@@ -309,26 +310,59 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int, label: str) -> Dat
     return stored(dealt.mapInArrow(lambda b: _verify_rows(b, percent), LINKS), f"{label}-links")
 
 
-def _pair_rows(key, rows: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """Pairs across components of one n-gram, or between two blocks of its rows."""
-    rows = rows.sort_values(["n", "uid"])
-    uid, n, pos, comp, block = (rows[c].to_numpy() for c in ("uid", "n", "pos", "comp", "block"))
-    first, second = int(key[1]), int(key[2])
-    out_a, out_b = [], []
-    ends = np.searchsorted(n, 100 * n // percent, side="right")
-    for k in range(len(n)):
-        y = slice(k + 1, int(ends[k]))
-        need = -(-percent * (n[k] + n[y]) // (100 + percent))
-        room = np.minimum(n[k] - pos[k], n[y] - pos[y])
-        fits = (room >= need) & (comp[y] != comp[k])
-        if first != second:
-            fits &= block[y] != block[k]
-        found = uid[y][fits]
-        out_a.append(np.full(len(found), uid[k]))
-        out_b.append(found)
-    a = np.concatenate(out_a) if out_a else np.zeros(0, np.int64)
-    b = np.concatenate(out_b) if out_b else np.zeros(0, np.int64)
-    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+def _pairs_of(rows: dict[str, np.ndarray], percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs across components of whole groups, rows sorted by (token, i, j, n);
+    in pieces of bounded size."""
+    n, pos, uid, comp, block = (rows[c] for c in ("n", "pos", "uid", "comp", "block"))
+    new = np.ones(len(n), bool)
+    new[1:] = (
+        (rows["token"][1:] != rows["token"][:-1]) | (rows["i"][1:] != rows["i"][:-1]) | (rows["j"][1:] != rows["j"][:-1])
+    )
+    group = np.cumsum(new)
+    # a partner stands further on in the group and is not too much larger
+    wide = np.int64(1) << np.int64(31)
+    ends = np.searchsorted(group * wide + n, group * wide + 100 * n // percent, side="right")
+    counts = ends - np.arange(len(n)) - 1
+    at = 0
+    while at < len(n):
+        upto = max(at + 1, int(np.searchsorted(np.cumsum(counts[at:]), PAIRS_AT_ONCE, side="right")) + at)
+        c = counts[at:upto]
+        x = np.repeat(np.arange(at, upto), c)
+        y = np.arange(int(c.sum())) - np.repeat(np.cumsum(c) - c, c) + x + 1
+        need = -(-percent * (n[x] + n[y]) // (100 + percent))
+        fits = (np.minimum(n[x] - pos[x], n[y] - pos[y]) >= need) & (comp[x] != comp[y])
+        # between two blocks only pairs of one row of each
+        fits &= (rows["i"][x] == rows["j"][x]) | (block[x] != block[y])
+        a, b = uid[x[fits]], uid[y[fits]]
+        if len(a):
+            yield np.minimum(a, b), np.maximum(a, b)
+        at = upto
+
+
+def _pair_rows(batches, percent: int) -> Iterator[pa.RecordBatch]:
+    """Pairs of a sorted partition; a group is handled when its last row is there."""
+    waiting: list[pa.RecordBatch] = []
+
+    def handle(table: pa.Table):
+        rows = {c: table.column(c).to_numpy().astype(np.int64) for c in table.column_names}
+        for a, b in _pairs_of(rows, percent):
+            yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        waiting.append(batch)
+        table = pa.Table.from_batches(waiting)
+        last = np.ones(table.num_rows, bool)
+        for c in ("token", "i", "j"):
+            values = table.column(c).to_numpy()
+            last &= values == values[-1]
+        whole = int(np.flatnonzero(last)[0])
+        if whole:
+            yield from handle(table.slice(0, whole))
+            waiting = table.slice(whole).to_batches()
+    if waiting:
+        yield from handle(pa.Table.from_batches(waiting))
 
 
 def _hub_pairs(prefixes: DataFrame, percent: int) -> DataFrame:
@@ -340,6 +374,15 @@ def _hub_pairs(prefixes: DataFrame, percent: int) -> DataFrame:
     return prefixes.join(hubs, "token").filter(fits).select(F.col("h").alias("a"), F.col("uid").alias("b"))
 
 
+def feasible(prefixes: DataFrame, percent: int) -> DataFrame:
+    """Prefix rows without those whose place is too late for any partner that
+    the n-gram's documents allow: even the smallest of them needs more than what is
+    left of the set."""
+    least = prefixes.groupBy("token").agg(F.min("n").alias("ln"), F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    need = f"ceil({percent} * (n + greatest(ln, ceil({percent} * n / 100D))) / {100 + percent}D)"
+    return prefixes.join(least.drop("rows"), "token").filter(f"n - pos >= {need}").drop("ln")
+
+
 def _rest_pairs(prefixes: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     placed = prefixes.join(roots.withColumnRenamed("node", "uid"), "uid", "left").withColumn("comp", F.coalesce("root", "uid"))
     placed = stored(placed.select("token", "uid", "n", "pos", "comp"), "join-placed")
@@ -356,10 +399,8 @@ def _rest_pairs(prefixes: DataFrame, roots: DataFrame, percent: int) -> DataFram
     )
     rows = rows.withColumn("meet", F.explode(meets)).select("token", F.col("meet.i").alias("i"), F.col("meet.j").alias("j"), "uid", "n", "pos", "comp", "block")
 
-    def form(key, part: pd.DataFrame) -> pd.DataFrame:
-        return _pair_rows(key, part, percent)
-
-    return rows.groupBy("token", "i", "j").applyInPandas(form, PAIRS)
+    dealt = rows.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n", "uid")
+    return dealt.mapInArrow(lambda b: _pair_rows(b, percent), PAIRS)
 
 
 # --- operator --------------------------------------------------------------------
@@ -413,6 +454,7 @@ def similar_documents(
     found = blocks.select("block", "counts", "seq", "words").groupBy("block").cogroup(answers.groupBy("block"))
     found = stored(found.applyInPandas(prefix, ROWS), "join-rows")
     prefixes = found.filter("pos >= 0").select("token", "uid", "n", "pos")
+    prefixes = stored(feasible(prefixes, percent), "join-prefixes")
     sets = found.filter("pos < 0").select("uid", "n", "tokens")
     links = verified(_hub_pairs(prefixes, percent), sets, percent, "join-hub")
     roots = connected_components(links)
