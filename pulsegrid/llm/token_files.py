@@ -39,7 +39,7 @@ LEVEL = 1
 TABLE_MAGIC, SEEK_FRAME_MAGIC, SEEK_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 HAS_CHECKSUMS = 0x80
 BLOCK_WORDS = 200_000
-KEPT_WORDS = 1_000_000  # encodings kept by a Python worker; beyond, it starts anew
+KEPT_WORDS = 1_200_000  # encodings kept by a Python worker; beyond, it starts anew
 DOC = np.dtype([("id", "<i8"), ("null", "u1"), ("n", "<u8")])
 FRAME = np.dtype([("packed", "<u4"), ("size", "<u4"), ("check", "<u4")])
 
@@ -55,15 +55,15 @@ class Encoder:
 
     Tokenizers that drop white space and split at it encode a text as the
     concatenation of its parts between white space. Words are cut at ASCII
-    white space, punctuation that ends a word becomes a word of its own (the
+    white space, punctuation that ends a word is encoded apart from it (the
     tokenizer splits there too), and A-Z is lowered where the tokenizer does
     so itself. Texts that may hold special tokens or rare control characters
     go through the tokenizer whole. Only for tokenizers with such rules, as
     ``word_bpe``; ``piecewise=False`` encodes every text whole.
     """
 
-    TAIL = re.compile(rb"(?<=[a-z])([.,!*$%&#]+)(?=[ \n\t\r]|\Z)")
-    WHOLE = re.compile(rb"<\||[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]")
+    TAIL = re.compile(rb"(.*[a-z])([.,!*$%&#]+)")
+    CONTROLS = bytes(c for c in range(32) if c not in b"\t\n\r") + b"\x7f"
 
     def __init__(self, path: str, end_id: int, piecewise: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -88,6 +88,7 @@ class Encoder:
     def reset(self) -> None:
         self.words = Vocabulary()
         self.words[b""] = 0  # the end of a document
+        self.parts: dict[bytes, list[int]] = {}
         self.encoded = 1
         self.ids = array("I", [self.end_id])
         self.starts = array("Q", [0, 1])
@@ -103,14 +104,14 @@ class Encoder:
         counts: list[int] = []
         for text in texts:
             data = (text or "").encode("utf-8", "replace")
-            if not self.piecewise or self.WHOLE.search(data):
+            if not self.piecewise or b"<|" in data or len(data.translate(None, self.CONTROLS)) != len(data):
                 if text:
                     self.own += 1
                     words.append(self.words[(self.own,)])
                     self._fill(text)
                 n = bool(text)
             else:
-                pieces = self.TAIL.sub(rb" \1", data.lower()).split()
+                pieces = data.lower().split()
                 words.extend(map(self.words.__getitem__, pieces))
                 n = len(pieces)
             words.append(0)
@@ -118,7 +119,7 @@ class Encoder:
             if len(words) >= BLOCK_WORDS:
                 yield self._gather(words, counts)
                 words, counts = [], []
-                if len(self.words) > KEPT_WORDS:
+                if len(self.words) + len(self.parts) > KEPT_WORDS:
                     self.reset()
         if counts:
             yield self._gather(words, counts)
@@ -131,11 +132,16 @@ class Encoder:
                 break
             new.append(w)
         new.reverse()
-        pieces = [w.decode("utf-8", "replace") for w in new if isinstance(w, bytes)]
-        done = iter(self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False))
+        cut = {w: m.groups() if (m := self.TAIL.fullmatch(w)) else (w,) for w in new if isinstance(w, bytes)}
+        missing = list({p for parts in cut.values() for p in parts if p not in self.parts})
+        texts = [p.decode("utf-8", "replace") for p in missing]
+        for p, found in zip(missing, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            self.parts[p] = found.ids
         for w in new:
             if isinstance(w, bytes):
-                self._append(next(done).ids)
+                for p in cut[w]:
+                    self.ids.extend(self.parts[p])
+                self.starts.append(len(self.ids))
             else:
                 self._append(self.tokenizer.encode(text, add_special_tokens=False).ids)
         self.encoded = len(self.words)
