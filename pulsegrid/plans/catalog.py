@@ -41,6 +41,7 @@ from pulsegrid.plans.pipelines import (
     ingest_readings,
     session_lines,
     window_averages,
+    word_count_lines,
 )
 from pulsegrid.schemas import READING_MESSAGE, REPORT
 from pulsegrid.sinks.tables import latest_by_key
@@ -289,6 +290,11 @@ def q_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_count(testbed.document_lines(spark, sf_dir))
 
 
+def q_word_count_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word counts as Kafka-shaped lines."""
+    return word_count_lines(word_count(testbed.document_lines(spark, sf_dir)))
+
+
 def q_csv_window_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = csv_window_count(testbed.csv_lines(spark, sf_dir), CSV_COUNT_WINDOW)
     return _count_out(counts, ("value",))
@@ -340,6 +346,7 @@ def batch_queries() -> dict[str, Query]:
         "device_count": q_device_count,
         "last_seen": q_last_seen,
         "word_count": q_word_count,
+        "word_count_line": q_word_count_line,
         "csv_window_count": q_csv_window_count,
         "device_sessions": q_device_sessions,
         "session_line": q_session_line,

@@ -233,6 +233,13 @@ FROM (
   SELECT unnest(string_split(rtrim(text, ' '), ' ')) AS w FROM documents
   WHERE text IS NOT NULL AND NOT (text <> '' AND rtrim(text, ' ') = '')
 )
+GROUP BY w""".strip(),
+        "word_count_line": """
+SELECT w || ',' || CAST(count(*) AS VARCHAR) AS value
+FROM (
+  SELECT unnest(string_split(rtrim(text, ' '), ' ')) AS w FROM documents
+  WHERE text IS NOT NULL AND NOT (text <> '' AND rtrim(text, ' ') = '')
+)
 GROUP BY w""".strip(),
         "csv_window_count": """
 SELECT window_start, window_start + INTERVAL '2 minutes' AS window_end, value, count
@@ -280,6 +287,9 @@ WHERE window_start + INTERVAL '3 minutes' <= (SELECT max(eventtime) FROM reading
         "event_dedup_stream": _q("SELECT DISTINCT connectorid, deviceid, eventtime, status FROM dev"),
         "window_count_variable_stream": b["window_count_variable"],
         "csv_window_count_stream": b["csv_window_count"],
+        "csv_sink_stream": """
+SELECT event_type AS value, date_trunc('millisecond', ts) AS generated_timestamp
+FROM events WHERE event_id % 50 <> 1""".strip(),
         "latest_by_key_table": _q(
             f"""
 SELECT row_key, CONNECTORID, DEVICEID, EVENTTIME, VARIABLEID, VALUE FROM (

@@ -29,12 +29,13 @@ from pulsegrid.config import (
     new_scratch_dir,
     use_utc,
 )
-from pulsegrid.operators.aggregate import csv_window_count, window_count, word_count
+from pulsegrid.operators.aggregate import csv_window_count, parse_csv_lines, window_count, word_count
 from pulsegrid.operators.decode import decode_events, decode_readings
 from pulsegrid.operators.dedup import drop_duplicate_events
 from pulsegrid.operators.validate import good_records
 from pulsegrid.plans.catalog import _averages_out, _count_out, _sessions_out
 from pulsegrid.schemas import LINE, MESSAGE
+from pulsegrid.sinks.misc import csv_file_writer
 from pulsegrid.sinks.tables import BATCH_COLUMNS, batch_directory_writer, latest_by_key, read_batch_table
 from pulsegrid.sources import testbed
 from pulsegrid.sources.files import message_file_stream
@@ -286,6 +287,20 @@ def run_csv_window_count(spark: SparkSession, sf_dir: str) -> Run:
     return Run(_latest_counts(spark, root, ("value",)), seconds, progress)
 
 
+def run_csv_sink(spark: SparkSession, sf_dir: str) -> Run:
+    """Parsed text lines appended as CSV files and read back."""
+    use_utc(spark)
+    root = new_scratch_dir(spark, "csvsink")
+    events = read_table(spark, sf_dir, "events").withColumn("eventtime", F.col("ts").cast("timestamp"))
+    per_slice = write_time_slices(events, "eventtime", f"{root}/input", N_FILES, to_messages=testbed.csv_from_events)
+    lines = message_file_stream(spark, f"{root}/input/slice=*", schema=LINE, max_files_per_trigger=per_slice)
+    seconds, progress = _finish(
+        lambda: csv_file_writer(parse_csv_lines(lines), f"{root}/out", f"{root}/chk", trigger_available_now=True)
+    )
+    table = spark.read.schema("value string, generated_timestamp timestamp").csv(f"{root}/out")
+    return Run(table.select("value", F.col("generated_timestamp").cast("timestamp_ntz").alias("generated_timestamp")), seconds, progress)
+
+
 def run_word_count(spark: SparkSession, sf_dir: str) -> Run:
     """Word count over document lines, complete mode: the one batch kept holds
     the full counts."""
@@ -328,6 +343,7 @@ RUNS: dict[str, Callable[..., Run]] = {
     "window_count_device_stream": run_window_count_device,
     "event_dedup_stream": run_event_dedup,
     "csv_window_count_stream": run_csv_window_count,
+    "csv_sink_stream": run_csv_sink,
     "word_count_stream": run_word_count,
     "latest_by_key_table": run_latest_by_key,
 }

@@ -72,16 +72,6 @@ EVENT = T.StructType(
     ]
 )
 
-SESSION = T.StructType(
-    [
-        T.StructField("connectorid", T.IntegerType()),
-        T.StructField("deviceid", T.IntegerType()),
-        T.StructField("activeStartTime", T.TimestampType()),
-        T.StructField("activeEndTime", T.TimestampType()),
-        T.StructField("deviceactive", T.StringType()),
-    ]
-)
-
 METADATA = T.StructType(
     [
         T.StructField("deviceguid", T.StringType()),
@@ -95,36 +85,8 @@ METADATA = T.StructType(
     ]
 )
 
-GOOD_TABLE = T.StructType(
-    [
-        T.StructField("CONNECTORID", T.IntegerType()),
-        T.StructField("DEVICEID", T.IntegerType()),
-        T.StructField("EVENTTIME", T.StringType()),
-        T.StructField("VARIABLEID", T.StringType()),
-        T.StructField("VALUE", T.DoubleType()),
-        T.StructField("row_key", T.BinaryType()),
-    ]
-)
-
-ERROR_TABLE = T.StructType(GOOD_TABLE.fields + [T.StructField("RESULT", T.StringType())])
-
 LINE = T.StructType([T.StructField("value", T.StringType())])
 
-CSV_LINE = T.StructType(
-    [
-        T.StructField("value", T.StringType()),
-        T.StructField("generated_timestamp", T.TimestampType()),
-    ]
-)
-
-MALFORMED = T.StructType(
-    [
-        T.StructField("key", T.StringType()),
-        T.StructField("value", T.StringType()),
-        T.StructField("reason", T.StringType()),
-    ]
-)
-
 # Nested report sample: a struct holding an array of two-field structs.
 REPORT = T.StructType(
     [
