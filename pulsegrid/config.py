@@ -74,9 +74,12 @@ def _file_system(spark: SparkSession, path: str):
 
 
 def new_scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh sub-folder of the shared scratch root for one run."""
+    """A fresh sub-folder of the shared scratch root, removed when the
+    application ends (results that read it are lazy, so not before)."""
     path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
     make_folder(spark, path)
+    fs, jpath = _file_system(spark, path)
+    fs.deleteOnExit(jpath)
     return path
 
 
