@@ -3,30 +3,21 @@ positions over a whole table, tokens, fixed hash folds."""
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pulsegrid.config import scratch_root
+from pulsegrid.config import write_scratch
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 WORD_PATTERN = "[^\\x20\\x09-\\x0D]+"
 
 
-def shared_folder(spark: SparkSession, label: str) -> str:
-    """A fresh folder name under the cluster's ``spark.checkpoint.dir``."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
-
-
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once as a table in the shared folder and read back: the
     lineage is cut, a lost executor rereads files instead of replaying work,
     and every consumer sees the same rows."""
-    path = shared_folder(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return write_scratch(df, label)[0]
 
 
 def read_documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:

@@ -32,7 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import Vocabulary, shared_folder, stored
+from pulsegrid.config import new_scratch_dir
+from pulsegrid.llm.common import Vocabulary, stored
 
 FRAME_IDS = 1 << 18
 LEVEL = 1
@@ -356,7 +357,7 @@ def token_digest(docs: DataFrame, tokenizer: str, end_id: int = 1, folder: str |
     folder), read the files back: ``doc_id, start`` (ids of all documents
     before it), ``n_tokens, ids_crc32, file``."""
     spark: SparkSession = docs.sparkSession
-    folder = folder or shared_folder(spark, "token-files")
+    folder = folder or new_scratch_dir(spark, "token-files")
     manifest = write_token_files(docs, folder, tokenizer, end_id)
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     offsets = manifest.select("part", "file", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("offset"))
