@@ -39,10 +39,10 @@ from pulsegrid.llm.common import Vocabulary, mix64, stored, text_bytes
 from pulsegrid.llm.components import connected_components
 from pulsegrid.llm.packed import pack, pack_sorted, range_of, unpack, unpack_sorted
 
-BLOCK_WORDS = 1_500_000
-RANGE_KEYS = 2_000_000
+BLOCK_WORDS = 600_000
+RANGE_KEYS = 1_500_000
 GROUP = 2_000  # rows of an n-gram formed into pairs at once; sets in one tree
-PAIRS_AT_ONCE = 1_000_000
+PAIRS_AT_ONCE = 250_000
 SHIFT = np.uint64(16)  # hashes of n-grams keep 48 bits
 
 BLOCKS = (
