@@ -362,6 +362,7 @@ def token_digest(docs: DataFrame, tokenizer: str, end_id: int = 1, folder: str |
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     offsets = manifest.select("part", "file", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("offset"))
     read = read_token_files(manifest, folder, with_ids=False)
-    return read.join(offsets, "part").select(
+    # one row per file; without the hint Spark would judge the other side by the manifest's size
+    return read.join(F.broadcast(offsets), "part").select(
         "doc_id", (F.col("offset") + F.col("tokens_before")).cast("long").alias("start"), "n_tokens", "ids_crc32", "file"
     )
