@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pulsegrid.config import drop_folder, write_scratch
 from pulsegrid.llm.common import Vocabulary, mix64, stored, text_bytes
 from pulsegrid.llm.components import connected_components
 from pulsegrid.llm.packed import pack, pack_sorted, range_of, unpack, unpack_sorted
@@ -422,7 +423,7 @@ def similar_documents(
     that repeat are rows of one class. An empty table gives an empty result.
     """
     rows = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-    blocks = stored(rows.mapInArrow(lambda b: _block_rows(b, width), BLOCKS), "join-blocks")
+    blocks, folder = write_scratch(rows.mapInArrow(lambda b: _block_rows(b, width), BLOCKS), "join-blocks")
     every = blocks.select(
         "block", F.posexplode(F.arrays_zip("doc_ids", "crcs", "sizes", "digests")).alias("at", "d")
     ).select(
@@ -453,6 +454,7 @@ def similar_documents(
 
     found = blocks.select("block", "counts", "seq", "words").groupBy("block").cogroup(answers.groupBy("block"))
     found = stored(found.applyInPandas(prefix, ROWS), "join-rows")
+    drop_folder(docs.sparkSession, folder)  # the largest table; nothing reads it from here on
     prefixes = found.filter("pos >= 0").select("token", "uid", "n", "pos")
     prefixes = stored(feasible(prefixes, percent), "join-prefixes")
     sets = found.filter("pos < 0").select("uid", "n", "tokens")
