@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.config import drop_folder, folder_exists, list_folder
-from pulsegrid.operators.validate import error_records, good_records
+from pulsegrid.operators.validate import error_records, good_records, is_good
 from pulsegrid.plans.pipelines import error_table_rows, good_table_rows
 
 ROWS_PER_FILE = 2_000_000
@@ -32,18 +32,23 @@ def query_id_of(batch: DataFrame) -> str:
     return found
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, query_id: str | None = None, fmt: str = "parquet") -> None:
-    """Overwrite the folder of one micro-batch with ``df``.
+def write_batch(
+    df: DataFrame, path: str, batch_id: int, query_id: str | None = None, fmt: str = "parquet", n_rows: int | None = None
+) -> None:
+    """Overwrite the folder of one micro-batch with ``df`` (``n_rows``: its
+    count, where the caller knows it).
 
-    A ``rebalance`` hint lets adaptive execution size the files by bytes (a
-    micro-batch would otherwise leave one small file per shuffle partition). An
-    empty batch writes nothing, unless it is the first, which leaves the
+    A batch of at most ``ROWS_PER_FILE`` rows becomes one file; beyond, a
+    ``rebalance`` hint lets adaptive execution size the files by bytes (else
+    every trigger would leave one small file per shuffle partition). An empty batch writes nothing, unless it is the first, which leaves the
     table's schema, or an earlier attempt left rows to replace.
     """
     target = f"{path.rstrip('/')}/query_id={query_id or query_id_of(df)}/batch_id={int(batch_id)}"
-    if batch_id and df.isEmpty() and not folder_exists(df.sparkSession, target):
+    n = df.count() if n_rows is None else n_rows
+    if batch_id and not n and not folder_exists(df.sparkSession, target):
         return
-    out = df.hint("rebalance").write.mode("overwrite").format(fmt)
+    sized = df.coalesce(1) if n <= ROWS_PER_FILE else df.hint("rebalance")
+    out = sized.write.mode("overwrite").format(fmt)
     out.option("maxRecordsPerFile", ROWS_PER_FILE).save(target)
 
 
@@ -77,8 +82,11 @@ def routed_table_writer(good_path: str, error_path: str, compat_key: bool = Fals
         query_id = query_id_of(batch)
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            write_batch(good_table_rows(good_records(batch), compat_key), good_path, batch_id, query_id)
-            write_batch(error_table_rows(error_records(batch), compat_key), error_path, batch_id, query_id)
+            counts = batch.agg(F.count_if(is_good()).alias("good"), F.count(F.lit(1)).alias("all")).first()
+            good = good_table_rows(good_records(batch), compat_key)
+            error = error_table_rows(error_records(batch), compat_key)
+            write_batch(good, good_path, batch_id, query_id, n_rows=counts["good"])
+            write_batch(error, error_path, batch_id, query_id, n_rows=counts["all"] - counts["good"])
         finally:
             batch.unpersist()
 
