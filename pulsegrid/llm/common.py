@@ -3,6 +3,8 @@ positions over a whole table, tokens, fixed hash folds."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 from pulsegrid.config import write_scratch
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+BATCH_BYTES = 8 << 20
 WORD_PATTERN = "[^\\x20\\x09-\\x0D]+"
 
 
@@ -65,9 +68,44 @@ def with_positions(df: DataFrame, order: list[str], value: str, out: str, label:
     )
 
 
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """``df``; from here on, Arrow batches of its session hold ``BATCH_BYTES`` at
+    most (one row at least), whatever the length of texts. The number of rows per
+    batch is left to the session."""
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
+
+
 # --- inside Python tasks -------------------------------------------------
 
 
+def trim() -> None:
+    """Give free memory of this Python worker back to the machine: workers
+    live on between tasks."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def lean(work: Callable) -> Callable:
+    """``work`` on a partition's batches, trimmed at its end."""
+
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            trim()
+
+    return run
+
+
 def text_bytes(text: str | None) -> bytes:
     """UTF-8 bytes with A-Z lowered; null as empty. Lone surrogates, which no
     valid UTF-8 column holds, would be replaced."""

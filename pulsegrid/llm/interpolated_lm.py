@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import Vocabulary, id_remainder, mix64, stored, text_bytes
+from pulsegrid.llm.common import Vocabulary, bounded_batches, id_remainder, lean, mix64, stored, text_bytes, trim
 from pulsegrid.llm.packed import pack, pack_sorted, range_of, unpack, unpack_sorted
 
 FOLDS, TEST_FOLD, FIT_SHARE = 7, 2, 8
@@ -159,6 +159,7 @@ def _range_totals(key, rows: pd.DataFrame) -> pd.DataFrame:
         out.append((block, gram, part, pack(full[here]), pack(kept[here]) if r == FIT else None, None, None, None, None))
     out.append((-1, gram, part, None, None, int((full > 0).sum()), int(full.sum()), int((kept > 0).sum()), int(kept.sum())))
     names = [c.split()[0] for c in TOTALS.split(", ")]
+    trim()
     return pd.DataFrame(out, columns=names).astype({n: "Int64" for n in names[5:]})
 
 
@@ -271,10 +272,10 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = docs.select(
         F.col(id_col).cast("long"), role.otherwise(TRAIN).cast("int").alias("role"), F.col(text_col).cast("string")
     )
-    blocks = stored(rows.mapInArrow(_block_rows, BLOCKS), "lm-blocks")
+    blocks = stored(bounded_batches(rows).mapInArrow(lean(_block_rows), BLOCKS), "lm-blocks")
     size = blocks.agg(F.sum("tokens")).first()[0] or 0
     parts = {1: -(-size // (8 * RANGE_TOKENS)) or 1, 2: -(-size // RANGE_TOKENS) or 1}
-    keys = blocks.select("block", "role", "seq", "words").mapInArrow(lambda b: _key_rows(b, parts), KEYS)
+    keys = blocks.select("block", "role", "seq", "words").mapInArrow(lean(lambda b: _key_rows(b, parts)), KEYS)
     totals = stored(keys.groupBy("gram", "part").applyInPandas(_range_totals, TOTALS), "lm-totals")
     sums = totals.filter("block = -1 and gram = 1").agg(
         *[F.coalesce(F.sum(c), F.lit(0)) for c in ("words", "tokens", "kept_words", "kept_tokens")]

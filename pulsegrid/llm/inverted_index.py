@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import stored, text_bytes
+from pulsegrid.llm.common import bounded_batches, lean, stored, text_bytes
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")  # [^\x00-\x2F\x3A-\x60\x7B-\x7F]+ after A-Z is lowered
 SHARD_WORDS = 400_000
@@ -125,7 +125,7 @@ def build_index(docs: DataFrame, terms: frozenset | None = None, id_col: str = "
     """The stored index of all rows of ``docs``. ``terms`` limits it to the
     words that queries use (a bounded set of bytes)."""
     rows = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-    return stored(rows.mapInArrow(lambda batches: _index_rows(batches, terms), INDEX_SCHEMA), "index")
+    return stored(bounded_batches(rows).mapInArrow(lean(lambda batches: _index_rows(batches, terms)), INDEX_SCHEMA), "index")
 
 
 # --- search inside a shard -------------------------------------------------
@@ -281,7 +281,7 @@ def _per_shard(index: DataFrame, block: list, prepare, work, schema: str) -> Dat
             for i in range(batch.num_rows):
                 yield from work(Shard(batch, i), queries)
 
-    return index.mapInArrow(run, schema)
+    return bounded_batches(index).mapInArrow(lean(run), schema)
 
 
 # --- items -----------------------------------------------------------------

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import id_remainder, stored
+from pulsegrid.llm.common import bounded_batches, id_remainder, lean, stored
 from pulsegrid.llm.learning import fit_logistic, label_weights, sample_ids
 
 FOLDS, HELD_FOLD = 3, 1
@@ -252,7 +252,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, label_col: str, id_col:
     before = Window.orderBy(*order, "label").rowsBetween(Window.unboundedPreceding, 0)
     kept = found.select("_id", "label", F.sum(lines).over(before).alias("sum")).filter(F.col("sum") <= SAMPLE_LINES)
     chosen = found.join(F.broadcast(kept.select("_id", "label")), ["_id", "label"]).select("label", "text")
-    return chosen.mapInArrow(_sample_rows, "label int, own binary, length binary")
+    return bounded_batches(chosen).mapInArrow(lean(_sample_rows), "label int, own binary, length binary")
 
 
 class Model:
@@ -305,7 +305,7 @@ def score_documents(
             yield pa.RecordBatch.from_pydict({"doc_id": pa.array(ids, pa.int64()), "score": pa.array(score, pa.float64())})
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    scored = rows.mapInArrow(run, "doc_id long, score double")
+    scored = bounded_batches(rows).mapInArrow(lean(run), "doc_id long, score double")
     return scored.select(
         "doc_id", (id_remainder("doc_id", FOLDS) == HELD_FOLD).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
@@ -331,4 +331,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> Dat
                     block, size = [], 0
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, kinds)
+    return bounded_batches(docs).mapInArrow(lean(run), kinds)

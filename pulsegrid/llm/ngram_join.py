@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.config import drop_folder, write_scratch
-from pulsegrid.llm.common import Vocabulary, mix64, stored, text_bytes
+from pulsegrid.llm.common import Vocabulary, bounded_batches, lean, mix64, stored, text_bytes, trim
 from pulsegrid.llm.components import connected_components
 from pulsegrid.llm.packed import pack, pack_sorted, range_of, unpack, unpack_sorted
 
@@ -162,6 +162,7 @@ def _frequencies(key, rows: pd.DataFrame) -> pd.DataFrame:
     counts = np.concatenate([unpack(c, np.uint32) for c in rows["counts"]])
     df = np.minimum(np.bincount(index, counts, len(keys)), 2**32 - 1).astype(np.uint32)
     cuts = np.cumsum([len(k) for k in lists])[:-1]
+    trim()
     return pd.DataFrame(
         {"block": rows["block"], "part": int(key[0]), "df": [pack(df[i]) for i in np.split(index, cuts)]}
     )
@@ -174,6 +175,7 @@ def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
 
 def _prefix_rows(blocks: pd.DataFrame, answers: pd.DataFrame, width: int, percent: int) -> pd.DataFrame:
     """Prefix rows, and the set, of each class representative of a block that has any."""
+    trim()
     none = pd.DataFrame({c.split()[0]: [] for c in ROWS.split(", ")})
     chosen = answers[answers["part"] < 0]
     if not len(blocks) or not len(chosen):
@@ -308,7 +310,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int, label: str) -> Dat
     own = salts.select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("a").alias("uid"))
     rows = others.unionByName(own).join(sets, "uid").select("a", "salt", "uid", "n", "tokens")
     dealt = rows.repartition("a", "salt").sortWithinPartitions("a", "salt", (F.col("uid") != F.col("a")))
-    return stored(dealt.mapInArrow(lambda b: _verify_rows(b, percent), LINKS), f"{label}-links")
+    return stored(dealt.mapInArrow(lean(lambda b: _verify_rows(b, percent)), LINKS), f"{label}-links")
 
 
 def _pairs_of(rows: dict[str, np.ndarray], percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -401,7 +403,7 @@ def _rest_pairs(prefixes: DataFrame, roots: DataFrame, percent: int) -> DataFram
     rows = rows.withColumn("meet", F.explode(meets)).select("token", F.col("meet.i").alias("i"), F.col("meet.j").alias("j"), "uid", "n", "pos", "comp", "block")
 
     dealt = rows.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n", "uid")
-    return dealt.mapInArrow(lambda b: _pair_rows(b, percent), PAIRS)
+    return dealt.mapInArrow(lean(lambda b: _pair_rows(b, percent)), PAIRS)
 
 
 # --- operator --------------------------------------------------------------------
@@ -423,7 +425,7 @@ def similar_documents(
     that repeat are rows of one class. An empty table gives an empty result.
     """
     rows = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-    blocks, folder = write_scratch(rows.mapInArrow(lambda b: _block_rows(b, width), BLOCKS), "join-blocks")
+    blocks, folder = write_scratch(bounded_batches(rows).mapInArrow(lean(lambda b: _block_rows(b, width)), BLOCKS), "join-blocks")
     every = blocks.select(
         "block", F.posexplode(F.arrays_zip("doc_ids", "crcs", "sizes", "digests")).alias("at", "d")
     ).select(
@@ -438,7 +440,7 @@ def similar_documents(
     classes = stored(classes, "join-classes")
     size = blocks.agg(F.sum("words_n")).first()[0] or 0
     parts = int(-(-size // RANGE_KEYS) or 1)
-    keys = blocks.select("block", "counts", "seq", "words").mapInArrow(lambda b: _key_rows(b, width, parts), KEYS)
+    keys = blocks.select("block", "counts", "seq", "words").mapInArrow(lean(lambda b: _key_rows(b, width, parts)), KEYS)
     answers = keys.groupBy("part").applyInPandas(_frequencies, ANSWERS)
     low = F.lit((1 << 24) - 1)
     reps = classes.select(

@@ -33,14 +33,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.config import new_scratch_dir
-from pulsegrid.llm.common import Vocabulary, stored
+from pulsegrid.llm.common import Vocabulary, bounded_batches, lean, stored
 
 FRAME_IDS = 1 << 18
 LEVEL = 1
 TABLE_MAGIC, SEEK_FRAME_MAGIC, SEEK_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 HAS_CHECKSUMS = 0x80
 BLOCK_WORDS = 200_000
-KEPT_WORDS = 1_200_000  # encodings kept by a Python worker; beyond, it starts anew
+KEPT_WORDS = 800_000  # encodings kept by a Python worker; beyond, it starts anew
 DOC = np.dtype([("id", "<i8"), ("null", "u1"), ("n", "<u8")])
 FRAME = np.dtype([("packed", "<u4"), ("size", "<u4"), ("check", "<u4")])
 
@@ -309,8 +309,8 @@ def write_token_files(
         .sortWithinPartitions("doc_id", "tie")
         .select("doc_id", "text")
     )
-    write = lambda batches: _write_part(batches, folder, tokenizer, end_id, piecewise)
-    return stored(dealt.mapInArrow(write, MANIFEST), "token-manifest")
+    write = lean(lambda batches: _write_part(batches, folder, tokenizer, end_id, piecewise))
+    return stored(bounded_batches(dealt).mapInArrow(write, MANIFEST), "token-manifest")
 
 
 def _read_part(batches, folder: str, wanted: frozenset | None, with_ids: bool):
@@ -349,7 +349,7 @@ def read_token_files(
     wanted = None if doc_ids is None else frozenset(doc_ids)
     schema = READ_SCHEMA + (", ids array<long>" if with_ids else "")
     files = manifest.select("file", "part").repartition(max(1, manifest.count()))
-    return files.mapInArrow(lambda batches: _read_part(batches, folder, wanted, with_ids), schema)
+    return files.mapInArrow(lean(lambda batches: _read_part(batches, folder, wanted, with_ids)), schema)
 
 
 def token_digest(docs: DataFrame, tokenizer: str, end_id: int = 1, folder: str | None = None) -> DataFrame:

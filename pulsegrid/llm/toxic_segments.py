@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import id_remainder, stored, text_bytes
+from pulsegrid.llm.common import bounded_batches, id_remainder, lean, stored, text_bytes
 from pulsegrid.llm.learning import fit_logistic, label_weights, sample_ids
 
 FOLDS, HELD_FOLD = 5, 0
@@ -158,10 +158,10 @@ def _unit_rows(batches) -> Iterator[pa.RecordBatch]:
 def log_odds(sample: DataFrame) -> DataFrame:
     """``unit, toxic, clean, odds, z`` of the units of ``label, text`` rows;
     counts are of words in documents (each document counts a word once)."""
-    words = sample.mapInArrow(_word_rows, "label int, word string").groupBy("word").agg(
+    words = sample.mapInArrow(lean(_word_rows), "label int, word string").groupBy("word").agg(
         F.sum(F.col("label").cast("long")).alias("toxic"), F.sum(1 - F.col("label").cast("long")).alias("clean")
     )
-    counts = words.mapInArrow(_unit_rows, "unit string, toxic long, clean long").groupBy("unit").agg(
+    counts = words.mapInArrow(lean(_unit_rows), "unit string, toxic long, clean long").groupBy("unit").agg(
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")
     )
     counts = stored(counts, "toxic-units")
@@ -194,6 +194,7 @@ def rate_of(histogram: dict[float, float]) -> float:
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text") -> Model:
     """The model learned from labelled rows that are not held out. Without toxic or without clean rows the
     score is the known label's; without both, 0."""
+    bounded_batches(docs)
     ids = sample_ids(labels, label_col, FOLDS, HELD_FOLD, SAMPLE_DOCS, "toxic-sample")
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("text"))
     sample = stored(
@@ -230,7 +231,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
             kinds = (pa.int32(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds)], ["label", "n", "found", "scores"])
 
-    seen = held.mapInArrow(measure, "label int, n long, found array<double>, scores array<double>").collect()  # bounded sample
+    seen = held.mapInArrow(lean(measure), "label int, n long, found array<double>, scores array<double>").collect()  # bounded sample
     clean = [r for r in seen if r["label"] == 0]
     histogram = {-DRIFT: float(sum(r["n"] - len(r["scores"]) for r in clean)) + 1}
     # a lexicon score that clean words never had counts half a word in all
@@ -285,7 +286,7 @@ def score_documents(
             )
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    scored = rows.mapInArrow(run, "doc_id long, score double, n_passages int")
+    scored = bounded_batches(rows).mapInArrow(lean(run), "doc_id long, score double, n_passages int")
     return scored.select(
         "doc_id", (id_remainder("doc_id", FOLDS) == HELD_FOLD).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_passages",
@@ -309,4 +310,4 @@ def toxic_passages(docs: DataFrame, model: Model, id_col: str = "doc_id", text_c
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names)
 
     rows = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-    return rows.mapInArrow(run, "doc_id long, first_word long, last_word long, score double, excess double")
+    return bounded_batches(rows).mapInArrow(lean(run), "doc_id long, first_word long, last_word long, score double, excess double")
