@@ -40,7 +40,7 @@ LEVEL = 1
 TABLE_MAGIC, SEEK_FRAME_MAGIC, SEEK_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 HAS_CHECKSUMS = 0x80
 BLOCK_WORDS = 200_000
-KEPT_WORDS = 800_000  # encodings kept by a Python worker; beyond, it starts anew
+KEPT_WORDS = 500_000  # encodings kept by a Python worker; beyond, it starts anew
 DOC = np.dtype([("id", "<i8"), ("null", "u1"), ("n", "<u8")])
 FRAME = np.dtype([("packed", "<u4"), ("size", "<u4"), ("check", "<u4")])
 
