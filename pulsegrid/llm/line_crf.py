@@ -8,9 +8,11 @@ their mean, weighted by the lines' lengths, is the document's quality, which
 a logistic curve turns into a calibrated score.
 
 The field and the curve are fitted on the driver, on a bounded sample of labelled documents
-(``SAMPLE_DOCS`` of each label, in the order of a hash of the id, up to
-``SAMPLE_LINES`` lines in all); the lines of a training document bear its
-label. Scoring is a map over all whole texts: no shuffle.
+(``SAMPLE_DOCS`` of each label, in the order of a hash of the id). Every one of them is
+learned from: whole if it has no more lines than the sample's line limit, else by a run of
+that many consecutive lines, from a line that a hash of the id picks. The limit is ``DOC_LINES``, or less
+where the sample would pass ``SAMPLE_LINES`` lines in all: then the greatest that does not. The
+lines of a training document bear its label. Scoring is a map over all whole texts: no shuffle.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.llm.common import bounded_batches, id_remainder, lean, stored
@@ -28,6 +30,7 @@ from pulsegrid.llm.learning import fit_logistic, label_weights, sample_ids
 FOLDS, HELD_FOLD = 3, 1
 SAMPLE_DOCS = 3_000
 SAMPLE_LINES = 200_000
+DOC_LINES = 2_000  # of one training document
 BLOCK_BYTES = 2_000_000
 STEPS = 150
 DECAY = 1e-4
@@ -233,26 +236,41 @@ def _sample_rows(batches) -> Iterator[pa.RecordBatch]:
     for keys, texts in _blocks(batches):
         own, length, per_text = line_features(texts)
         cuts = np.cumsum(per_text)[:-1]
-        yield pa.RecordBatch.from_pydict(
-            {
-                "label": pa.array(keys, pa.int32()),
-                "own": pa.array([a.tobytes() for a in np.split(own, cuts)], pa.binary()),
-                "length": pa.array([a.tobytes() for a in np.split(length, cuts)], pa.binary()),
-            }
-        )
+        rows = {"label": [], "own": [], "length": [], "before": []}
+        for key, a, n in zip(keys, np.split(own, cuts), np.split(length, cuts)):
+            lo, hi = key["start"], key["start"] + key["run"]
+            left = max(0, lo - 1)
+            rows["label"].append(key["label"])
+            rows["own"].append(a[left : hi + 1].tobytes())  # with the neighbours of the run
+            rows["length"].append(n[lo:hi].tobytes())
+            rows["before"].append(lo - left)
+        kinds = (pa.int32(), pa.binary(), pa.binary(), pa.int32())
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows.values(), kinds)], list(rows))
+
+
+def line_limit(lines: np.ndarray) -> int:
+    """Most lines taken of one document: ``DOC_LINES``, or the greatest number (one at
+    least) with which documents of ``lines`` lines give ``SAMPLE_LINES`` in all."""
+    lo, hi = 1, DOC_LINES
+    while lo < hi:
+        mid = (lo + hi + 1) // 2
+        lo, hi = (mid, hi) if np.minimum(lines, mid).sum() <= SAMPLE_LINES else (lo, mid - 1)
+    return lo
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str, text_col: str) -> DataFrame:
-    """``label, own, length`` of the bounded sample: line features per document."""
-    order = [F.xxhash64("_id", F.lit(9)), "_id"]
+    """``label, own, length, before`` of the bounded sample: features of each document's run of
+    lines and of the lines next to it, lengths of the run, and the number of lines (0 or 1) before it."""
     ids = sample_ids(labels, label_col, FOLDS, HELD_FOLD, SAMPLE_DOCS, "crf-sample")
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("text"))
-    found = stored(texts.join(F.broadcast(ids), "_id").select("_id", "label", "text").dropDuplicates(["_id", "label"]), "crf-texts")
     lines = F.coalesce(F.length("text") - F.length(F.replace("text", F.lit("\n"))), F.lit(0)) + 1
-    before = Window.orderBy(*order, "label").rowsBetween(Window.unboundedPreceding, 0)
-    kept = found.select("_id", "label", F.sum(lines).over(before).alias("sum")).filter(F.col("sum") <= SAMPLE_LINES)
-    chosen = found.join(F.broadcast(kept.select("_id", "label")), ["_id", "label"]).select("label", "text")
-    return bounded_batches(chosen).mapInArrow(lean(_sample_rows), "label int, own binary, length binary")
+    found = texts.join(F.broadcast(ids), "_id").select("_id", "label", "text").dropDuplicates(["_id", "label"])
+    found = stored(found.withColumn("lines", lines), "crf-texts")
+    limit = line_limit(np.array([r["lines"] for r in found.select("lines").collect()], np.int64))  # a number a document
+    run = F.least(F.col("lines"), F.lit(limit))
+    start = F.pmod(F.xxhash64("_id", F.lit(11)), F.col("lines") - run + 1).cast("int")
+    chosen = found.select(F.struct("label", start.alias("start"), run.alias("run")).alias("key"), "text")
+    return bounded_batches(chosen).mapInArrow(lean(_sample_rows), "label int, own binary, length binary, before int")
 
 
 class Model:
@@ -278,8 +296,11 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
         return Model(None, None, (float(y[0]) if len(y) else 0.5, 0.0))
     lengths = [np.frombuffer(r["length"], np.float64) for r in sample]
     per_text = np.array([len(x) for x in lengths], np.int64)
-    own = np.concatenate([np.frombuffer(r["own"], np.float64).reshape(-1, OWN) for r in sample])
-    x = with_neighbours(own, per_text)
+    owns = [np.frombuffer(r["own"], np.float64).reshape(-1, OWN) for r in sample]
+    own_of = np.array([len(a) for a in owns], np.int64)
+    starts = np.concatenate([[0], np.cumsum(own_of)[:-1]]) + np.array([r["before"] for r in sample])
+    run = np.repeat(starts - np.concatenate([[0], np.cumsum(per_text)[:-1]]), per_text) + np.arange(per_text.sum())
+    x = with_neighbours(np.concatenate(owns), own_of)[run]
     w, moves = fit_field(x, per_text, y)
     value = quality(x, np.concatenate(lengths), per_text, w, moves)
     weight = label_weights(labels, label_col, FOLDS, HELD_FOLD, y)

@@ -4,6 +4,7 @@ import itertools
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from pulsegrid.llm import catalog
 from pulsegrid.llm import line_crf as crf
@@ -68,6 +69,46 @@ def test_odd_rows(spark):
     assert crf.score_documents(d.limit(0), lab).count() == 0
 
 
+def test_a_long_document_uses_up_no_bound(spark):
+    good, bad = "The plain line of words.\nAnother line, it is.", "ZZ!! QQ!! RR!!\nAA!! BB!! TT!! KK!!"
+    ids = spark.range(200).filter("crc32(cast(id as string)) % 3 != 1").orderBy(F.xxhash64("id", F.lit(9))).collect()
+    first = ids[0]["id"]  # of the sample's order
+    docs = [(i, good + f" n{i}" if i % 2 else bad + f" Q{i}!!") for i in range(200)]
+    docs[first] = (first, "\n".join([good if first % 2 else bad] * 110_000))
+    assert docs[first][1].count("\n") > 200_000
+    d, lab = frames(spark, docs, [(i, i % 2) for i in range(200)])
+    sample = crf.training_sample(d, lab, "quality", "doc_id", "text").collect()
+    sizes = sorted(len(r["length"]) // 8 for r in sample)
+    assert len(sample) == len(ids) and sizes[-1] == crf.DOC_LINES and set(sizes[:-1]) == {2}
+    got = crf.score_documents(d, lab).collect()
+    assert len(got) == 200 and all(r["predicted"] == r["doc_id"] % 2 for r in got)
+    assert {r["doc_id"] for r in crf.keep_good(d, lab).collect()} == set(range(1, 200, 2))
+
+
+def test_line_limit(monkeypatch):
+    lines = np.array([1, 5, 300_000, 7, 2])
+    assert crf.line_limit(lines) == crf.DOC_LINES and crf.line_limit(np.zeros(0, np.int64)) == crf.DOC_LINES
+    monkeypatch.setattr(crf, "SAMPLE_LINES", 20)
+    assert crf.line_limit(lines) == 6  # 1 + 5 + 6 + 6 + 2
+    monkeypatch.setattr(crf, "SAMPLE_LINES", 3)
+    assert crf.line_limit(lines) == 1
+
+
+def test_run_has_its_neighbours(spark, monkeypatch):
+    monkeypatch.setattr(crf, "DOC_LINES", 4)
+    texts = {i: "\n".join(f"{'x' * (k % 7)} {k}!" for k in range(9 + i)) for i in (2, 3, 5, 6, 8)}
+    d, lab = frames(spark, list(texts.items()), [(i, i % 2) for i in texts])
+    seen = 0
+    for r in crf.training_sample(d, lab, "quality", "doc_id", "text").collect():
+        own, length = np.frombuffer(r["own"]).reshape(-1, crf.OWN), np.frombuffer(r["length"])
+        assert len(length) == 4
+        x = crf.with_neighbours(own, np.array([len(own)]))[r["before"] :][:4]
+        whole = [crf.with_neighbours(*(crf.line_features([t.encode()])[k] for k in (0, 2))) for t in texts.values()]
+        assert any(np.array_equal(x, w[k : k + 4]) for w in whole for k in range(len(w) - 3))
+        seen += 1
+    assert seen > 0
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.1"
     labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
