@@ -1,7 +1,9 @@
 """Toxicity by maximum-scoring segments of token log-odds.
 
 Units are whole words and their runs of 3 to 6 characters (word ends
-marked), so that inflected forms share evidence. A unit's log-odds between
+marked), so that inflected forms share evidence. An unbroken run of any length is taken in
+stretches of ``STRETCH`` characters, each with the units that begin in it, in learning as in scoring: a
+long run is as many positions as it has stretches, and what is said of words below holds of stretches. A unit's log-odds between
 toxic and clean documents have a Dirichlet prior (``FLAT`` for each, and the units'
 shares in both together, worth ``PRIOR`` counts); units whose z-score reaches ``MIN_Z``
 and whose lower bound reaches ``MIN_ODDS`` form the lexicon, at most ``LEXICON`` of them. A word
@@ -50,15 +52,40 @@ LEXICON = 50_000
 DRIFT = 0.1
 MAX_CHANCE = 1e-2
 KEPT_WORDS = 500_000
-MAX_WORD = 64  # characters of a word that are cut into runs; a longer word counts whole
+STRETCH = 64
+FLUSH = 200_000  # units held at once in learning
 
 
-def units(word: str) -> set[str]:
-    marked = f"^{word}$"
-    out = {marked}
-    if len(word) <= MAX_WORD:
-        for n in GRAMS:
-            out.update(marked[k : k + n] for k in range(len(marked) - n + 1))
+def stretches(word: bytes) -> list[str]:
+    """The marked word, cut every ``STRETCH`` characters; each stretch goes on into the
+    next as far as units that begin in it reach, so every unit stands in one."""
+    marked = f"^{word.decode('utf-8', 'replace')}$"
+    return [marked[k : k + STRETCH + GRAMS[-1] - 1] for k in range(0, max(1, len(marked) - GRAMS[0] + 1), STRETCH)]
+
+
+def positions(text: str | None) -> tuple[list[bytes | str], range | list[int]]:
+    """The stretches of a text in order, a word of one stretch as its bytes, and the number
+    of the word that each is of."""
+    words = WORD.findall(text_bytes(text))
+    if max(map(len, words), default=0) <= STRETCH:  # bytes, so no more characters either
+        return words, range(len(words))
+    out, of = [], []
+    for k, w in enumerate(words):
+        own = [w] if len(w) <= STRETCH else stretches(w)
+        out += own
+        of += [k] * len(own)
+    return out, of
+
+
+def marked(stretch: bytes | str) -> str:
+    return stretches(stretch)[0] if isinstance(stretch, bytes) else stretch
+
+
+def units(stretch: str) -> set[str]:
+    """A marked stretch and its runs of characters that begin in it."""
+    out = {stretch}
+    for n in GRAMS:
+        out.update(stretch[k : k + n] for k in range(min(STRETCH, len(stretch) - n + 1)))
     return out
 
 
@@ -98,16 +125,16 @@ class Model:
         self.lexicon, self.rate, self.curve = lexicon, rate, curve
         self.known: dict[bytes, float] = {}
 
-    def word_score(self, word: bytes) -> float:
-        text = word.decode("utf-8", "replace")
-        best = self.lexicon.get(f"^{text}$")
+    def word_score(self, word: bytes | str) -> float:
+        text = marked(word)
+        best = self.lexicon.get(text)
         if best is None:
             best = max(self.lexicon.get(u, 0.0) for u in units(text))
         return best or -DRIFT
 
     def passages(self, text: str | None) -> tuple[int, list[tuple[int, int, float]]]:
-        """Number of words, and (first word, last word, score) of every maximal segment."""
-        words = WORD.findall(text_bytes(text))
+        """Number of positions, and (first, last position, score) of every maximal segment."""
+        words, _ = positions(text)
         known = self.known
         if len(known) > KEPT_WORDS:
             known.clear()
@@ -132,17 +159,22 @@ class Model:
 
 
 def _word_rows(batches) -> Iterator[pa.RecordBatch]:
-    """Distinct words of each document."""
+    """Distinct stretches of each document."""
     for batch in batches:
         labels, words = [], []
         for y, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.large_string()).to_pylist()):
-            own = set(WORD.findall(text_bytes(text)))
-            words += [w.decode("utf-8", "replace") for w in own]
+            own = set(positions(text)[0])
+            words += map(marked, own)
             labels += [y] * len(own)
         yield pa.RecordBatch.from_pydict({"label": pa.array(labels, pa.int32()), "word": pa.array(words, pa.string())})
 
 
 def _unit_rows(batches) -> Iterator[pa.RecordBatch]:
+    def rows() -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict(
+            {"unit": pa.array(names, pa.string()), "toxic": pa.array(toxic, pa.int64()), "clean": pa.array(clean, pa.int64())}
+        )
+
     for batch in batches:
         names, toxic, clean = [], [], []
         for word, t, c in zip(*(batch.column(k).to_pylist() for k in range(3))):
@@ -150,9 +182,10 @@ def _unit_rows(batches) -> Iterator[pa.RecordBatch]:
             names += own
             toxic += [t] * len(own)
             clean += [c] * len(own)
-        yield pa.RecordBatch.from_pydict(
-            {"unit": pa.array(names, pa.string()), "toxic": pa.array(toxic, pa.int64()), "clean": pa.array(clean, pa.int64())}
-        )
+            if len(names) >= FLUSH:
+                yield rows()
+                names, toxic, clean = [], [], []
+        yield rows()
 
 
 def log_odds(sample: DataFrame) -> DataFrame:
@@ -210,7 +243,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
     lower = F.col("odds") - 1.64 * F.col("odds") / F.col("z")
     odds = odds.withColumn("s", lower)
     strong = (F.col("z") >= MIN_Z) & (F.col("toxic") >= MIN_DOCS) & (F.col("s") >= MIN_ODDS)
-    common = F.col("unit").rlike(r"^\^.*\$$") & (F.col("toxic") + F.col("clean") >= WORD_DOCS)
+    whole = F.col("unit").rlike(r"^\^.*\$$") | (F.length("unit") > GRAMS[-1])  # words and stretches
+    common = whole & (F.col("toxic") + F.col("clean") >= WORD_DOCS)
     words = odds.filter(common & ~strong).orderBy(F.desc(F.col("toxic") + F.col("clean")), "unit").limit(LEXICON)
     lexicon = {r["unit"]: 0.0 for r in words.select("unit").collect()}
     rows = odds.filter(strong).orderBy(F.desc("z"), "unit").limit(LEXICON)
@@ -223,7 +257,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
             out = [[], [], [], []]
             for y, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.large_string()).to_pylist()):
                 n, found = model.passages(text)
-                scores = [model.known[w] for w in WORD.findall(text_bytes(text))]
+                scores = [model.known[w] for w in positions(text)[0]]
                 out[0].append(y)
                 out[1].append(n)
                 out[2].append([s for _, _, s in found])
@@ -303,7 +337,8 @@ def toxic_passages(docs: DataFrame, model: Model, id_col: str = "doc_id", text_c
             out = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.large_string()).to_pylist()):
                 n, found = model.passages(text)
-                out += [(doc_id, a, b, s, model.excess(n, s)) for a, b, s in found if model.excess(n, s) >= limit]
+                of = positions(text)[1]
+                out += [(doc_id, of[a], of[b], s, model.excess(n, s)) for a, b, s in found if model.excess(n, s) >= limit]
             columns = list(zip(*out)) or [[]] * 5
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
             names = ["doc_id", "first_word", "last_word", "score", "excess"]

@@ -80,6 +80,44 @@ def test_passages_and_odd_rows(spark):
     assert tox.score_documents(d.limit(0), lab).count() == 0
 
 
+@pytest.mark.parametrize("size", [1, 2, 61, 62, 63, 64, 65, 66, 67, 68, 69, 70, 127, 128, 129, 130, 131, 500])
+def test_every_unit_stands_in_one_stretch(size):
+    rng = random.Random(size)
+    word = "".join(rng.choice("ab\u4e2d\u6587") for _ in range(size))
+    got = tox.stretches(word.encode())
+    whole = f"^{word}$"
+    want = {whole[k : k + n] for n in tox.GRAMS for k in range(len(whole) - n + 1)}
+    assert set().union(*map(tox.units, got)) - set(got) == want - set(got)
+    begins = [sum(len(t) - n + 1 > k for k in range(tox.STRETCH)) for t in got for n in (3,)]
+    assert sum(begins) == max(0, len(whole) - 2)
+    assert len(got) == 1 or size > 64
+
+
+def test_long_runs_are_scored_by_their_units(spark):
+    rng = random.Random(4)
+    signs = [chr(0x4E00 + k) for k in range(300)]
+
+    def run(toxic, size=400):
+        text = [rng.choice(signs) for _ in range(size)]
+        for k in range(4 if toxic else 0):
+            text.insert(60 + 90 * k, "\u9f98\u9f49\u9f56\u9f6a")
+        return "".join(text)
+
+    plain = [f"w{k}" for k in range(80)]
+    spaced = [[rng.choice(plain) for _ in range(60)] + ["grumblon", "grumblones"] * (2 * (i % 3 == 0)) for i in range(300)]
+    docs = [(i, run(i % 3 == 0) if i >= 300 else " ".join(spaced[i])) for i in range(600)]
+    labels = [(i, int(i % 3 == 0)) for i in range(600)]
+    glued = "grumblon" * 4 + "grumblones" * 40
+    docs += [(700, glued), (701, "".join(plain * 3)), (702, run(True, 3_000)), (703, run(False, 3_000)), (704, "w1 w2 " + run(False) + " w3 " + glued + " w4")]
+    d, lab = frames(spark, docs, labels)
+    by = {r["doc_id"]: r["predicted"] for r in tox.score_documents(d, lab).collect()}
+    right = sum(by[i] == (i % 3 == 0) for i in range(600))
+    assert right >= 594
+    assert [by[i] for i in (700, 701, 702, 703, 704)] == [1, 0, 1, 0, 1]
+    found = [r for r in tox.toxic_passages(d, tox.fit(d, lab)).collect() if r["doc_id"] == 704]
+    assert found and all(r["first_word"] == r["last_word"] == 4 for r in found)  # words, not stretches
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.1"
     labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
