@@ -173,34 +173,26 @@ class Shard:
         return starts
 
     def near(self, slots: np.ndarray, lengths: np.ndarray, slop: int) -> Iterator[tuple[int, int]]:
-        """(first, last) position of the least stretch of at most ``slop``
-        words that begins or ends around each posting of the rarest term and
-        holds all terms, each stretch once."""
+        """(first, last) position of every minimal stretch of at most ``slop``
+        words that holds all terms (no shorter one inside it does), each once.
+        The rarest term's postings only tell where to look."""
         order = np.argsort(lengths, kind="stable")
         seen = set()
         lists = [self.postings(slots[k]).astype(np.int64) for k in order]
         for p in lists[0]:
             doc = np.searchsorted(self.starts, p, side="right")
             lo, hi = max(int(p) - slop + 1, int(self.starts[doc - 1])), min(int(p) + slop - 1, int(self.starts[doc]) - 2)
-            inside = [x[np.searchsorted(x, lo) : np.searchsorted(x, hi, side="right")] for x in lists[1:]]
+            inside = [x[np.searchsorted(x, lo) : np.searchsorted(x, hi, side="right")] for x in lists]
             if any(not len(x) for x in inside):
                 continue
-            best = None
-            for first in np.unique(np.concatenate([[p], *inside])):
-                if first > p:
+            for start in np.unique(np.concatenate(inside)):
+                if start > p or start > min(int(x[-1]) for x in inside):
                     break
-                last = int(p)
-                for x in inside:
-                    at = np.searchsorted(x, first)
-                    if at == len(x):
-                        last = None
-                        break
-                    last = max(last, int(x[at]))
-                if last is not None and last - first < slop and (best is None or last - first < best[1] - best[0]):
-                    best = (int(first), last)
-            if best and best not in seen:
-                seen.add(best)
-                yield best
+                last = max(int(x[np.searchsorted(x, start)]) for x in inside)
+                first = min(int(x[np.searchsorted(x, last, side="right") - 1]) for x in inside)
+                if last - first < slop and (first, last) not in seen:
+                    seen.add((first, last))
+                    yield first, last
 
 
 class Queries:
@@ -360,8 +352,8 @@ def phrase_matches(index: DataFrame, phrases: list[tuple[str, str]]) -> DataFram
 
 
 def proximity_matches(index: DataFrame, queries: list[tuple[str, str]], slop: int) -> DataFrame:
-    """Stretches of at most ``slop`` words that hold all words of a query, in
-    any order: around each occurrence of its rarest word the shortest one."""
+    """Every minimal stretch of at most ``slop`` words that holds all words of a
+    query, in any order, whatever documents share its shard."""
 
     def work(shard: Shard, block):
         for item, words in block:

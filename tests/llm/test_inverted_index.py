@@ -98,6 +98,26 @@ def test_stored_index_answers_phrases_and_proximity(spark, monkeypatch):
     assert {r["doc_id"] for r in near} == holds
 
 
+@pytest.mark.parametrize("shard", [1, 60, 400_000])
+def test_proximity_gives_every_minimal_stretch(spark, monkeypatch, shard):
+    monkeypatch.setattr(ix, "SHARD_WORDS", shard)
+    rng = random.Random(6)
+    docs = [(0, "a b a")] + [(i, " ".join(rng.choice("abcdef") for _ in range(30))) for i in range(1, 20)]
+    docs += [(20, "b " * 50), (21, "a " * 10)]
+    index = ix.build_index(frames(spark, docs, [])[0])
+    for item, slop in (("a b", 2), ("a f c", 5), ("b", 3)):
+        terms, want = set(item.split()), []
+        for i, t in docs:
+            w = t.split()
+            holds = lambda a, b: terms <= set(w[a : b + 1])
+            want += [
+                (i, a, b - a + 1) for a in range(len(w)) for b in range(a, min(a + slop, len(w)))
+                if holds(a, b) and not holds(a + 1, b) and not holds(a, b - 1)
+            ]
+        found = ix.proximity_matches(index, [("q", item)], slop=slop).collect()
+        assert sorted((r["doc_id"], r["start"], r["length"]) for r in found) == sorted(want)
+
+
 def test_text_crc_is_the_texts(spark):
     d, t = frames(spark, [(1, "Aé"), (2, None)], [(1, "zz")])
     assert sorted(r["text_crc32"] for r in ix.phrase_hits(d, t).collect()) == sorted([zlib.crc32("Aé".encode()), 0])
