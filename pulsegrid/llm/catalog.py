@@ -14,6 +14,7 @@ from pulsegrid.llm.line_crf import score_documents as score_quality
 from pulsegrid.llm.line_dedup import dedup_lines
 from pulsegrid.llm.mixing import plan_mix
 from pulsegrid.llm.ngram_join import similar_documents
+from pulsegrid.llm.periodic_runs import runs_digest
 from pulsegrid.llm.sharding import shard_by_bytes
 from pulsegrid.llm.token_files import token_digest
 from pulsegrid.llm.toxic_segments import score_documents as score_toxicity
@@ -82,6 +83,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination_report(read_documents(spark, sf_dir), read_documents(spark, sf_dir, "benchmark"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document."""
+    return runs_digest(read_documents(spark, sf_dir))
+
+
 LINE_DEDUP_SQL = r"""
 with d as (
   select doc_id, string_split(text, chr(10)) as ls from documents
@@ -151,6 +157,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_neighbours": op8_neighbours,
         "op9_quality": op9_quality,
         "op10_decontamination": op10_decontamination,
+        "op12_periodic_runs": op12_periodic_runs,
     }
 
 
