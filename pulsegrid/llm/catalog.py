@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pulsegrid.llm.anchor_dedup import passage_digest
 from pulsegrid.llm.common import read_documents
 from pulsegrid.llm.cross_polytope import nearest_neighbours
 from pulsegrid.llm.interpolated_lm import score_documents
@@ -83,6 +84,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination_report(read_documents(spark, sf_dir), read_documents(spark, sf_dir, "benchmark"))
 
 
+def op11_anchor_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the 50-word windows that earlier ones hold."""
+    return passage_digest(read_documents(spark, sf_dir), width=50)
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of words of every document."""
     return runs_digest(read_documents(spark, sf_dir))
@@ -144,6 +150,33 @@ with d as (
 select doc_id, size, source_size, target, size * copies as taken, source, rate, copies from c
 """
 
+PASSAGE_SQL = r"""
+with d as (
+  select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents
+), w as (
+  select r, doc_id, unnest(range(0, len(ws))) as i, unnest(ws) as word from d
+), s as (
+  select r, doc_id, i, word, string_agg(word, ' ') over p as passage, count(*) over p as n from w
+  window p as (partition by r order by i rows between current row and 49 following)
+), k as (
+  select r, doc_id, i, md5(passage) as k from s where n = 50 and doc_id is not null
+), l as (
+  select k, min(doc_id) as least from k group by k
+), hit as (
+  select k.r, k.i from k join l on k.k = l.k where l.least < k.doc_id
+), gone as (
+  select w.r, w.i, max(hit.i) over (partition by w.r order by w.i rows between 49 preceding and current row) as last
+  from w left join hit on w.r = hit.r and w.i = hit.i
+), kept as (
+  select w.r, count(*) filter (where last is not null) as n_removed,
+    string_agg(word, ' ' order by w.i) filter (where last is null) as kept
+  from w join gone on w.r = gone.r and w.i = gone.i group by w.r
+)
+select d.doc_id, cast(len(ws) as bigint) as n_words, cast(coalesce(n_removed, 0) as bigint) as n_removed,
+  sha256(coalesce(kept, '')) as kept_sha256
+from d left join kept on d.r = kept.r
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
@@ -157,9 +190,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_neighbours": op8_neighbours,
         "op9_quality": op9_quality,
         "op10_decontamination": op10_decontamination,
+        "op11_anchor_dedup": op11_anchor_dedup,
         "op12_periodic_runs": op12_periodic_runs,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_line_dedup": LINE_DEDUP_SQL, "op6_mixing": MIXING_SQL}
+    return {"op5_line_dedup": LINE_DEDUP_SQL, "op6_mixing": MIXING_SQL, "op11_anchor_dedup": PASSAGE_SQL}
