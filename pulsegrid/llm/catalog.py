@@ -16,6 +16,7 @@ from pulsegrid.llm.line_dedup import dedup_lines
 from pulsegrid.llm.mixing import plan_mix
 from pulsegrid.llm.ngram_join import similar_documents
 from pulsegrid.llm.periodic_runs import runs_digest
+from pulsegrid.llm.prefix_trie import conversation_trie
 from pulsegrid.llm.sharding import shard_by_bytes
 from pulsegrid.llm.token_files import token_digest
 from pulsegrid.llm.toxic_segments import score_documents as score_toxicity
@@ -94,6 +95,11 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs_digest(read_documents(spark, sf_dir))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all conversations, rebuilt."""
+    return conversation_trie(read_documents(spark, sf_dir, "conversations"))
+
+
 LINE_DEDUP_SQL = r"""
 with d as (
   select doc_id, string_split(text, chr(10)) as ls from documents
@@ -177,6 +183,48 @@ select d.doc_id, cast(len(ws) as bigint) as n_words, cast(coalesce(n_removed, 0)
 from d left join kept on d.r = kept.r
 """
 
+TRIE_SQL = r"""
+with recursive t as (
+  select conv_id, turn, coalesce(text, '') as text,
+    md5(length(coalesce(role, ''))::varchar || ':' || coalesce(role, '') || coalesce(text, '')) as digest
+  from conversations where conv_id is not null
+), own as (
+  select conv_id, digest, strlen(text)::bigint as bytes, row_number() over (partition by conv_id order by turn nulls first, digest) as nth from t
+), c as (
+  select conv_id, count(*) as n, xor(list_reduce(list_transform(string_split(conv_id::varchar, ''), lambda x: ascii(x)::bigint),
+    lambda crc, x: list_reduce([0, 1, 2, 3, 4, 5, 6, 7],
+      lambda a, k: xor(a >> 1, 3988292384 * (a & 1)), xor(crc, x)), 4294967295::bigint), 4294967295) % 9 as h
+  from own group by conv_id
+), m as (
+  select c.conv_id, c.h, least(c.h, coalesce(b.n, 0)) as head, c.conv_id - c.conv_id % 5 as base,
+    least(c.h, coalesce(b.n, 0)) + greatest(c.n - c.h, 0) as n_turns
+  from c left join c b on b.conv_id = c.conv_id - c.conv_id % 5
+), rebuilt as (
+  select m.conv_id, nth as depth, digest, bytes from m join own on own.conv_id = m.base where nth <= h
+  union all select m.conv_id, head + nth - h, digest, bytes from m join own on own.conv_id = m.conv_id where nth > h
+), p as (
+  select conv_id, 0 as depth, '' as key, '' as parent, 0 as bytes from m
+  union all select conv_id, depth, string_agg(digest, '') over o,
+    coalesce(string_agg(digest, '') over (o rows between unbounded preceding and 1 preceding), ''), bytes
+  from rebuilt window o as (partition by conv_id order by depth)
+), node as (
+  select p.depth, key, parent, min(p.conv_id) as conv_id, count(*) as n_convs, max(bytes) as bytes,
+    count(*) filter (where depth = n_turns) as n_ends,
+    sha256(coalesce(string_agg(p.conv_id::varchar, ',' order by p.conv_id) filter (where depth = n_turns), '')) as ends_sha256
+  from p join m on p.conv_id = m.conv_id group by p.depth, key, parent
+), above as (
+  select p.depth, p.key, sum((n_convs - 1) * node.bytes) as saved, count(*) filter (where n_ends = n_convs) as leaves
+  from node join p on p.conv_id = node.conv_id and p.depth <= node.depth group by p.depth, p.key
+), kids as (
+  select depth - 1 as depth, parent as key, count(*) as n_children from node where depth > 0 group by depth, parent
+)
+select node.conv_id, node.depth::bigint as depth, up.conv_id as parent_conv_id, node.n_convs, coalesce(n_children, 0) as n_children,
+  leaves as n_leaves, saved::bigint as saved_tokens, node.ends_sha256
+from node join above on above.depth = node.depth and above.key = node.key
+  left join kids on kids.depth = node.depth and kids.key = node.key
+  left join node up on up.depth = node.depth - 1 and up.key = node.parent
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
@@ -192,8 +240,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_decontamination": op10_decontamination,
         "op11_anchor_dedup": op11_anchor_dedup,
         "op12_periodic_runs": op12_periodic_runs,
+        "op13_prefix_trie": op13_prefix_trie,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_line_dedup": LINE_DEDUP_SQL, "op6_mixing": MIXING_SQL, "op11_anchor_dedup": PASSAGE_SQL}
+    return {
+        "op5_line_dedup": LINE_DEDUP_SQL,
+        "op6_mixing": MIXING_SQL,
+        "op11_anchor_dedup": PASSAGE_SQL,
+        "op13_prefix_trie": TRIE_SQL,
+    }
