@@ -41,6 +41,19 @@ MAX_LONG = 9223372036854775807
 DEFAULT_SALT_BUCKETS = 16
 ROWS_PER_SALT = 2_000_000
 MAX_OFFSETS_PER_TRIGGER = 5_000_000
+STATUS_TIMEOUT = "TIMEOUT"  # of a session that ends by silence
+SESSION_TIMEOUT = "2 days"
+IDLE_TIME = "1 day"
+
+_UNITS = {"millisecond": 1_000, "second": 1_000_000, "minute": 60_000_000, "hour": 3_600_000_000, "day": 86_400_000_000}
+
+
+def micros(duration: str) -> int:
+    """Microseconds of a duration such as ``10 minutes``."""
+    found = re.fullmatch(r"\s*(\d+)\s+(" + "|".join(_UNITS) + r")s?\s*", duration)
+    if not found:
+        raise ValueError(f"not a duration: {duration}")
+    return int(found[1]) * _UNITS[found[2]]
 
 
 def use_utc(spark: SparkSession) -> SparkSession:

@@ -14,7 +14,12 @@ a device into one task; one device may hold a large share of all events. So:
 3. stitch these runs with window functions: at most two rows per partition.
 
 Result rows: ``connectorid, deviceid, activeStartTime, activeEndTime,
-deviceactive`` (always ``DEAD``: only closed sessions are emitted).
+deviceactive`` (``DEAD``, or ``TIMEOUT`` where a session timeout is given and
+the device was silent: only closed sessions are emitted).
+
+With a timeout each silence longer than it becomes one more closing event, ``timeout`` after
+the last event before it. Times are doubled then, and closings by silence odd, so the same scan
+tells them apart and sorts them behind real events of that time.
 """
 
 from __future__ import annotations
@@ -27,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pulsegrid.config import STATUS_ALIVE, STATUS_DEAD, drop_folder, write_scratch
+from pulsegrid.config import STATUS_ALIVE, STATUS_DEAD, STATUS_TIMEOUT, drop_folder, micros, write_scratch
 from pulsegrid.functions.routing import normalized_status
 from pulsegrid.operators.session_core import ALIVE, DEAD, NULL, Piece, combine, summarize
 
@@ -166,8 +171,37 @@ def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield _run_frame(*carry)
 
 
-def _ts(col: str):
-    return F.when(F.col(col) != F.lit(LONG_MIN), F.timestamp_micros(F.col(col)))
+def _long(col: str):
+    return F.when(F.col(col) != F.lit(LONG_MIN), F.col(col))
+
+
+_DEVICE = ["cnull", "conn", "deviceid"]
+_ORDER = [*_DEVICE, "_t", "_s"]
+
+
+def _with_silences(ranged: DataFrame, timeout: int, until: int | None) -> DataFrame:
+    """``ranged`` (sorted ranges of coded events, with their partition's number
+    ``_part``) in doubled times, plus a closing event per silence longer
+    than ``timeout``: between two events of a device, or from its last one on (before ``until``, if given).
+
+    The event before the first one of a device in a partition stands in an earlier partition;
+    only the greatest device of a partition goes on in later ones, so at most two rows per partition are carried.
+    """
+    cut = ranged.groupBy("_part").agg(F.max(F.struct(*_DEVICE)).alias("d")).select("d.*").distinct()
+    pieces = ranged.join(F.broadcast(cut), _DEVICE).groupBy("_part", *_DEVICE).agg(F.max("_t").alias("_most"))
+    earlier = Window.partitionBy(*_DEVICE).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = pieces.select("_part", *_DEVICE, F.max("_most").over(earlier).alias("_carried"))
+    inside = Window.partitionBy("_part", *_DEVICE).orderBy("_t", "_s")
+    before = ranged.withColumn("_before", F.lag("_t").over(inside)).join(F.broadcast(carried), ["_part", *_DEVICE], "left")
+    before = before.withColumn("_before", F.coalesce("_before", "_carried"))
+    silent = before.filter(F.col("_t") - F.col("_before") > timeout).select(*_DEVICE, "_before")
+    last = ranged.groupBy(*_DEVICE).agg(F.max("_t").alias("_before"))
+    if until is not None:
+        last = last.filter(F.expr(f"(_before + {timeout}) div 1000") < until // 1000)
+    closing = silent.unionByName(last).select(
+        *_DEVICE, (2 * (F.col("_before") + timeout) + 1).alias("_t"), F.lit(LONG_MIN).alias("_s"), F.lit(DEAD).alias("_code")
+    )
+    return ranged.select(*_DEVICE, (2 * F.col("_t")).alias("_t"), "_s", "_code").unionByName(closing)
 
 
 def _as_sessions(df: DataFrame) -> DataFrame:
@@ -185,6 +219,8 @@ def device_sessions(
     num_partitions: int | None = None,
     seq_col: str = "seq",
     materialize_input: bool = True,
+    timeout: str | None = None,
+    until: int | None = None,
 ) -> DataFrame:
     """Closed alive-to-dead sessions of a finished event table.
 
@@ -194,6 +230,9 @@ def device_sessions(
     ``materialize_input``: store the coded ALIVE/DEAD events (six narrow
     columns) before the range exchange, so that the upstream plan runs once
     rather than once for the range sample and once for the shuffle.
+    ``timeout``: a device without ALIVE or DEAD for longer than this is taken as gone, its
+    session ends that long after its last such event (``deviceactive = TIMEOUT``). ``until``: epoch
+    microseconds up to which silence at the end of the table is known (default: without end).
 
     Runs its scan when called: what the scan returns is stored in the shared
     folder and read from there.
@@ -208,18 +247,22 @@ def device_sessions(
     )
     spark = events.sparkSession
     folder = None
+    if timeout is not None:
+        ranged = coded.repartitionByRange(*_ORDER).withColumn("_part", F.spark_partition_id())
+        coded, folder = write_scratch(ranged, "session-events")
+        coded = _with_silences(coded, micros(timeout), until)
     if materialize_input:
+        wide = folder
         coded, folder = write_scratch(coded, "session-events")
-    order = ["cnull", "conn", "deviceid", "_t", "_s"]
-    ranged = coded.repartitionByRange(num_partitions, *order) if num_partitions else coded.repartitionByRange(*order)
-    scanned, _ = write_scratch(ranged.sortWithinPartitions(*order).mapInPandas(_scan, SCAN_SCHEMA), "session-scan")
+        if wide:
+            drop_folder(spark, wide)
+    ranged = coded.repartitionByRange(num_partitions, *_ORDER) if num_partitions else coded.repartitionByRange(*_ORDER)
+    scanned, _ = write_scratch(ranged.sortWithinPartitions(*_ORDER).mapInPandas(_scan, SCAN_SCHEMA), "session-scan")
     if folder:
         drop_folder(spark, folder)
     scanned = scanned.withColumn("connectorid", F.when(~F.col("cnull"), F.col("conn")))
 
-    inner = scanned.filter(F.col("kind") == "S").select(
-        "connectorid", "deviceid", _ts("a").alias("start"), _ts("b").alias("end")
-    )
+    inner = scanned.filter(F.col("kind") == "S").select("connectorid", "deviceid", F.col("a").alias("start"), F.col("b").alias("end"))
 
     runs = scanned.filter(F.col("kind") == "R").select(
         "connectorid",
@@ -227,9 +270,9 @@ def device_sessions(
         "a",
         "b",
         "has_dead",
-        _ts("head").alias("head"),
-        _ts("first_dead").alias("first_dead"),
-        _ts("tail").alias("tail"),
+        _long("head").alias("head"),
+        _long("first_dead").alias("first_dead"),
+        _long("tail").alias("tail"),
     )
     by_device = Window.partitionBy("connectorid", "deviceid").orderBy("a", "b")
     upto = by_device.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -247,5 +290,16 @@ def device_sessions(
         F.coalesce("_carry", "head").alias("start"),
         F.col("first_dead").alias("end"),
     ).filter(F.col("start").isNotNull())
-    return _as_sessions(inner.unionByName(seams))
-
+    found = inner.unionByName(seams)
+    silent = F.lit(False)
+    if timeout is not None:
+        silent = F.pmod("end", F.lit(2)) == 1
+        found = found.withColumn("start", F.shiftright("start", 1))
+    end = F.shiftright("end", 1) if timeout is not None else F.col("end")
+    return found.select(
+        "connectorid",
+        "deviceid",
+        F.timestamp_micros("start").alias("activeStartTime"),
+        F.timestamp_micros(end).alias("activeEndTime"),
+        F.when(silent, F.lit(STATUS_TIMEOUT)).otherwise(F.lit(STATUS_DEAD)).alias("deviceactive"),
+    )

@@ -17,8 +17,11 @@ from pyspark.sql import functions as F
 from pulsegrid.config import (
     AVERAGE_WINDOW,
     CSV_COUNT_WINDOW,
+    DEDUP_WATERMARK,
     DEVICE_COUNT_WINDOW,
+    SESSION_TIMEOUT,
     VARIABLE_COUNT_WINDOW,
+    micros,
     new_scratch_dir,
     use_utc,
 )
@@ -32,7 +35,7 @@ from pulsegrid.operators.decode import (
     malformed_messages,
 )
 from pulsegrid.operators.ordering import event_order
-from pulsegrid.operators.sessions import device_sessions
+from pulsegrid.operators.sessions import coded_events, device_sessions
 from pulsegrid.operators.validate import error_records, good_records, latest_metadata, validate_readings
 from pulsegrid.plans.pipelines import (
     average_lines,
@@ -254,9 +257,7 @@ def q_window_avg_10m(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _averages_out(window_averages(_ingested(spark, sf_dir), window="10 minutes"))
 
 
-def q_window_avg_line(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Kafka-shaped average lines, parsed back into fields for comparison."""
-    lines = average_lines(window_averages(_ingested(spark, sf_dir), window=AVERAGE_WINDOW))
+def _average_fields(lines: DataFrame) -> DataFrame:
     parts = F.split("value", ",")
     return lines.select(
         F.concat_ws(",", F.get(parts, 0), F.get(parts, 1)).alias("window_text"),
@@ -266,6 +267,11 @@ def q_window_avg_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_window_avg_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kafka-shaped average lines, parsed back into fields for comparison."""
+    return _average_fields(average_lines(window_averages(_ingested(spark, sf_dir), window=AVERAGE_WINDOW)))
+
+
 def q_window_count_device(spark: SparkSession, sf_dir: str) -> DataFrame:
     readings = decode_readings(_messages(spark, sf_dir))
     return _count_out(window_count(readings, DEVICE_COUNT_WINDOW, keys=("deviceid",)), ("deviceid",))
@@ -307,6 +313,23 @@ def q_device_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sessions_out(device_sessions(_events(spark, sf_dir)))
 
 
+def timeout_horizon(events: DataFrame) -> int:
+    """Epoch microseconds up to which a stream with the default watermark knows silence: its last ALIVE or DEAD, less the delay."""
+    last = coded_events(events).agg(F.max("_t")).first()[0]
+    return (last or 0) - micros(DEDUP_WATERMARK)
+
+
+def q_device_sessions_timeout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions that silence ends too."""
+    events = _events(spark, sf_dir)
+    return _sessions_out(device_sessions(events, timeout=SESSION_TIMEOUT, until=timeout_horizon(events)))
+
+
+def q_device_sessions_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions of a log in which one device sends nine tenths of the events."""
+    return _sessions_out(device_sessions(decode_events(testbed.messages_from_events(testbed.skewed_events(spark, sf_dir)))))
+
+
 def q_event_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     ordered = event_order(_events(spark, sf_dir))
     return ordered.select(
@@ -351,6 +374,8 @@ def batch_queries() -> dict[str, Query]:
         "device_sessions": q_device_sessions,
         "session_line": q_session_line,
         "event_order": q_event_order,
+        "device_sessions_timeout": q_device_sessions_timeout,
+        "device_sessions_skewed": q_device_sessions_skewed,
     }
 
 

@@ -98,6 +98,45 @@ sessions AS (
 """
 
 
+_SKEWED = """
+dev AS (
+  SELECT seq, deviceid, deviceid % 5 AS connectorid, eventtime, code FROM (
+    SELECT event_id AS seq, CAST(CASE WHEN event_id % 10 = 0 THEN user_id ELSE 1 END AS INTEGER) AS deviceid,
+           date_trunc('millisecond', ts) AS eventtime,
+           CASE event_type WHEN 'signup' THEN 1 WHEN 'error' THEN 2 END AS code
+    FROM events)
+),
+status_events AS (SELECT * FROM dev WHERE code IS NOT NULL)
+"""
+
+# silence ends a session: a closing event (code 3) a timeout after the last event before it
+_TIMEOUT = """
+, horizon AS (SELECT max(eventtime) - INTERVAL '10 minutes' AS until FROM status_events),
+spaced AS (
+  SELECT *, lead(eventtime) OVER (PARTITION BY connectorid, deviceid ORDER BY eventtime, seq) AS next_event FROM status_events
+),
+closings AS (
+  SELECT connectorid, deviceid, eventtime + INTERVAL '2 days' AS eventtime, 9223372036854775807 AS seq, 3 AS code
+  FROM spaced, horizon
+  WHERE next_event - eventtime > INTERVAL '2 days' OR next_event IS NULL AND eventtime + INTERVAL '2 days' < until
+),
+closed_events AS (SELECT connectorid, deviceid, eventtime, seq, code FROM status_events UNION ALL SELECT * FROM closings)
+"""
+
+
+def _sessions(events: str) -> str:
+    """Sessions of coded events: 1 opens, 2 and 3 (silence) close."""
+    return f"""
+SELECT connectorid, deviceid, eventtime AS activeStartTime, next_time AS activeEndTime,
+       CASE next_code WHEN 3 THEN 'TIMEOUT' ELSE 'DEAD' END AS deviceactive
+FROM (
+  SELECT *, lead(code) OVER w AS next_code, lead(eventtime) OVER w AS next_time FROM (
+    SELECT *, lag(code) OVER (PARTITION BY connectorid, deviceid ORDER BY eventtime, seq) AS prev FROM {events}
+  ) WHERE (code = 1 AND coalesce(prev, 2) <> 1) OR (code <> 1 AND prev = 1)
+  WINDOW w AS (PARTITION BY connectorid, deviceid ORDER BY eventtime, seq)
+) WHERE code = 1 AND next_code <> 1"""
+
+
 def _q(body: str) -> str:
     return "WITH " + _BASE.strip() + "\n" + body.strip()
 
@@ -251,6 +290,8 @@ FROM (
         "device_sessions": _q(
             "SELECT connectorid, deviceid, activeStartTime, activeEndTime, deviceactive FROM sessions"
         ),
+        "device_sessions_timeout": "WITH " + _BASE.strip() + _TIMEOUT + _sessions("closed_events"),
+        "device_sessions_skewed": "WITH " + _SKEWED.strip() + _sessions("status_events"),
         "event_order": _q(
             """
 SELECT connectorid, deviceid, eventtime, status, seq,
@@ -320,6 +361,29 @@ FROM (
 WHERE window_start + INTERVAL '3 minutes' <= (SELECT max(eventtime) FROM good) - INTERVAL '3 minutes'"""
         ),
         "device_sessions_stream": b["device_sessions"],
+        "device_sessions_skewed_stream": b["device_sessions_skewed"],
+        "device_sessions_timeout_stream": b["device_sessions_timeout"],
+        "session_line_stream": b["session_line"],
+        "average_line_stream": _q(
+            f"""
+SELECT '[' || {_jt('window_start')} || ',' || {_jt("window_start + INTERVAL '3 minutes'")} || ']' AS window_text,
+       deviceid, variableid, avg_value
+FROM (
+  SELECT time_bucket(INTERVAL '3 minutes', eventtime, TIMESTAMP '1970-01-01') AS window_start,
+         deviceid, variableid, round(avg(value), 6) AS avg_value
+  FROM good GROUP BY 1, 2, 3
+)
+WHERE window_start + INTERVAL '3 minutes' <= (SELECT max(eventtime) FROM readings) - INTERVAL '10 minutes'"""
+        ),
+        "last_active_stream": _q(
+            """
+SELECT connectorid, deviceid, max(eventtime) AS lastactivetime, max(eventtime) FILTER (WHERE begins) AS activetime
+FROM (
+  SELECT *, coalesce(eventtime - lag(eventtime) OVER (PARTITION BY connectorid, deviceid ORDER BY eventtime, seq) > INTERVAL '1 day', true) AS begins
+  FROM dev
+)
+GROUP BY connectorid, deviceid"""
+        ),
         "window_count_device_stream": b["window_count_device"],
         "word_count_stream": b["word_count"],
     }

@@ -24,6 +24,8 @@ from pulsegrid.config import (
     CSV_COUNT_WINDOW,
     DEVICE_COUNT_WATERMARK,
     DEVICE_COUNT_WINDOW,
+    IDLE_TIME,
+    SESSION_TIMEOUT,
     VARIABLE_COUNT_WATERMARK,
     VARIABLE_COUNT_WINDOW,
     new_scratch_dir,
@@ -33,7 +35,7 @@ from pulsegrid.operators.aggregate import csv_window_count, parse_csv_lines, win
 from pulsegrid.operators.decode import decode_events, decode_readings
 from pulsegrid.operators.dedup import drop_duplicate_events
 from pulsegrid.operators.validate import good_records
-from pulsegrid.plans.catalog import _averages_out, _count_out, _sessions_out
+from pulsegrid.plans.catalog import _average_fields, _averages_out, _count_out, _sessions_out
 from pulsegrid.schemas import LINE, MESSAGE
 from pulsegrid.sinks.misc import csv_file_writer
 from pulsegrid.sinks.tables import BATCH_COLUMNS, batch_directory_writer, latest_by_key, read_batch_table
@@ -41,7 +43,10 @@ from pulsegrid.sources import testbed
 from pulsegrid.sources.files import message_file_stream
 from pulsegrid.sources.tables import read_table
 from pulsegrid.streaming.queries import (
+    average_line_stream,
     readings_table_stream,
+    session_line_stream,
+    start_activity,
     start_dedup_table,
     start_ingest,
     start_malformed,
@@ -78,14 +83,15 @@ def _finish(*starts: Callable) -> tuple[float, list[dict]]:
 
 
 def stage_messages(
-    spark: SparkSession, sf_dir: str, root: str, n_slices: int = N_FILES, late: bool = False
+    spark: SparkSession, sf_dir: str, root: str, n_slices: int = N_FILES, late: bool = False, rows: DataFrame | None = None
 ) -> tuple[str, int]:
     """The keyed log in time slices. A duplicate of a reading of the last nine
     minutes of a slice arrives with the next one: within the watermark, but in
     a later micro-batch, so only kept state can drop it. ``late``: a last
-    slice repeats the first one's rows with other values, all behind the watermark."""
+    slice repeats the first one's rows with other values, all behind the watermark.
+    ``rows``: events to take instead of the table's."""
     path = f"{root}/input"
-    rows = testbed.device_events(spark, sf_dir)
+    rows = testbed.device_events(spark, sf_dir) if rows is None else rows
     per_slice = write_time_slices(
         rows, "eventtime", path, n_slices, to_messages=testbed.messages_from_events, carry="9 minutes",
         carried=testbed.duplicates_from_events,
@@ -240,6 +246,68 @@ def run_device_sessions(spark: SparkSession, sf_dir: str, staged: tuple[str, int
     return Run(_sessions_out(_table(spark, f"{root}/out")), seconds, progress)
 
 
+def run_sliced_sessions(
+    spark: SparkSession, sf_dir: str, staged: tuple[str, int] | None = None, skewed: bool = True, **session_opts
+) -> Run:
+    """Entry 3 in two levels, over a log in which one device sends nine tenths of
+    all events: equals the batch sessions of that log."""
+    use_utc(spark)
+    root = new_scratch_dir(spark, "sliced")
+    rows = testbed.skewed_events(spark, sf_dir) if skewed else None
+    staged = staged or stage_messages(spark, sf_dir, root, rows=rows)
+    seconds, progress = _finish(
+        lambda: start_sessions(
+            staged_stream(spark, staged), f"{root}/out", f"{root}/chk", trigger=AVAILABLE_NOW, sliced=True, **session_opts
+        )
+    )
+    return Run(_sessions_out(_table(spark, f"{root}/out")), seconds, progress)
+
+
+def run_sessions_timeout(spark: SparkSession, sf_dir: str, staged: tuple[str, int] | None = None) -> Run:
+    """Sessions with event-time timers: silence ends them too. Equals the batch
+    sessions with the same timeout up to the last watermark."""
+    return run_sliced_sessions(spark, sf_dir, staged, skewed=False, timeout=SESSION_TIMEOUT)
+
+
+def run_activity(spark: SparkSession, sf_dir: str, staged: tuple[str, int] | None = None) -> Run:
+    """Last activity of each device and the start of its present stretch; latest row per device."""
+    use_utc(spark)
+    root = new_scratch_dir(spark, "activity")
+    staged = staged or stage_messages(spark, sf_dir, root)
+    seconds, progress = _finish(
+        lambda: start_activity(staged_stream(spark, staged), f"{root}/out", f"{root}/chk", trigger=AVAILABLE_NOW, idle=IDLE_TIME)
+    )
+    latest = latest_by_key(read_batch_table(spark, f"{root}/out"), ["connectorid", "deviceid"], ["batch_id"])
+    return Run(
+        latest.select(
+            "connectorid", "deviceid", F.col("lastactivetime").cast("timestamp_ntz").alias("lastactivetime"),
+            F.col("activetime").cast("timestamp_ntz").alias("activetime"),
+        ),
+        seconds, progress,
+    )
+
+
+def run_average_lines(spark: SparkSession, sf_dir: str, staged: tuple[str, int] | None = None) -> Run:
+    """The average's topic lines as the stream writes them, parsed into fields."""
+    use_utc(spark)
+    root = new_scratch_dir(spark, "average-lines")
+    staged = staged or stage_messages(spark, sf_dir, root)
+    meta = testbed.device_metadata(spark, sf_dir)
+    seconds, progress = _finish(
+        lambda: _update_query(average_line_stream(staged_stream(spark, staged), meta), root, mode="append")
+    )
+    return Run(_average_fields(_table(spark, f"{root}/out")), seconds, progress)
+
+
+def run_session_lines(spark: SparkSession, sf_dir: str, staged: tuple[str, int] | None = None) -> Run:
+    """The sessions' topic lines as the stream writes them."""
+    use_utc(spark)
+    root = new_scratch_dir(spark, "session-lines")
+    staged = staged or stage_messages(spark, sf_dir, root)
+    seconds, progress = _finish(lambda: _update_query(session_line_stream(staged_stream(spark, staged)), root))
+    return Run(_table(spark, f"{root}/out"), seconds, progress)
+
+
 def run_window_count_device(spark: SparkSession, sf_dir: str, staged: tuple[str, int] | None = None) -> Run:
     """Count per 10-minute window and device, 5-minute watermark, update mode;
     read back as the latest row per window and device."""
@@ -340,6 +408,11 @@ RUNS: dict[str, Callable[..., Run]] = {
     "window_avg_two_hop": run_window_avg_two_hop,
     "window_count_variable_stream": run_window_count_variable,
     "device_sessions_stream": run_device_sessions,
+    "device_sessions_skewed_stream": run_sliced_sessions,
+    "device_sessions_timeout_stream": run_sessions_timeout,
+    "last_active_stream": run_activity,
+    "average_line_stream": run_average_lines,
+    "session_line_stream": run_session_lines,
     "window_count_device_stream": run_window_count_device,
     "event_dedup_stream": run_event_dedup,
     "csv_window_count_stream": run_csv_window_count,

@@ -59,6 +59,17 @@ def device_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+HOT_DEVICE = 1
+COLD_EVERY = 10  # every so many events keep their device, all others come from the hot one
+
+
+def skewed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`device_events` with nine tenths of the events sent by one device."""
+    device = F.when(F.col("seq") % COLD_EVERY == 0, F.col("user_id")).otherwise(F.lit(HOT_DEVICE))
+    ev = device_events(spark, sf_dir).withColumn("user_id", device)
+    return ev.withColumn("deviceid", F.col("user_id").cast("int")).withColumn("connectorid", (F.col("user_id") % 5).cast("int"))
+
+
 def _header(eventtime: Column | None = None) -> Column:
     return F.struct(
         F.lit(1).alias("timeseries"),

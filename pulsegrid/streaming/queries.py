@@ -16,6 +16,7 @@ from pulsegrid.config import AVERAGE_WATERMARK, AVERAGE_WINDOW, DEDUP_WATERMARK
 from pulsegrid.operators.decode import decode_events, malformed_messages
 from pulsegrid.plans.pipelines import average_lines, ingest_readings, session_lines, window_averages
 from pulsegrid.sinks.tables import batch_directory_writer, routed_table_writer
+from pulsegrid.streaming.sliced import activity_stream, device_sessions_sliced_stream
 from pulsegrid.streaming.state import device_sessions_stream
 
 
@@ -145,13 +146,26 @@ def start_sessions(
     checkpoint: str,
     trigger: dict | None = None,
     name: str | None = None,
+    sliced: bool = False,
+    **session_opts,
 ) -> StreamingQuery:
-    """Entry 3: status events to closed device sessions (update mode)."""
-    sessions = device_sessions_stream(decode_events(messages))
+    """Entry 3: status events to closed device sessions (update mode). ``sliced``: in two levels, for devices
+    that send a large share of a trigger, with the options of :func:`device_sessions_sliced_stream`."""
+    form = device_sessions_sliced_stream if sliced else device_sessions_stream
+    sessions = form(decode_events(messages), **session_opts)
     writer = sessions.writeStream.outputMode("update").foreachBatch(batch_directory_writer(out_path))
     return _start(writer, checkpoint, trigger, name)
 
 
+def start_activity(
+    messages: DataFrame, out_path: str, checkpoint: str, trigger: dict | None = None, name: str | None = None, **activity_opts
+) -> StreamingQuery:
+    """When each device was last active and since when, per change (update
+    mode); the latest row per device stands (:func:`latest_by_key`)."""
+    writer = activity_stream(decode_events(messages), **activity_opts).writeStream
+    return _start(writer.outputMode("update").foreachBatch(batch_directory_writer(out_path)), checkpoint, trigger, name)
+
+
 def average_line_stream(
     messages: DataFrame,
     metadata: DataFrame,
