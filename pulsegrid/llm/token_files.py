@@ -40,7 +40,7 @@ LEVEL = 1
 TABLE_MAGIC, SEEK_FRAME_MAGIC, SEEK_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 HAS_CHECKSUMS = 0x80
 BLOCK_WORDS = 200_000
-KEPT_WORDS = 500_000  # encodings kept by a Python worker; beyond, it starts anew
+KEPT_WORDS = 1_000_000  # words kept by a Python worker, in two generations
 DOC = np.dtype([("id", "<i8"), ("null", "u1"), ("n", "<u8")])
 FRAME = np.dtype([("packed", "<u4"), ("size", "<u4"), ("check", "<u4")])
 
@@ -52,18 +52,25 @@ READ_SCHEMA = "doc_id long, part int, nth long, tokens_before long, n_tokens lon
 
 
 class Encoder:
-    """Whole texts to ids, each distinct piece of text encoded once.
+    """Whole texts to ids, each distinct word encoded once while it is kept.
 
     Tokenizers that drop white space and split at it encode a text as the
-    concatenation of its parts between white space. Words are cut at ASCII
-    white space, punctuation that ends a word is encoded apart from it (the
-    tokenizer splits there too), and A-Z is lowered where the tokenizer does
-    so itself. Texts that may hold special tokens or rare control characters
-    go through the tokenizer whole. Only for tokenizers with such rules, as
-    ``word_bpe``; ``piecewise=False`` encodes every text whole.
+    concatenation of its words. Words are cut at ASCII white space, and A-Z is
+    lowered where the tokenizer does so itself. A word of Latin letters, with or without punctuation at its end, goes
+    straight to the tokenizer's model: normalising and splitting it could only
+    cut off the punctuation (checked against the tokenizer when the encoder is
+    made). Other words go through the tokenizer; texts that may hold special
+    tokens or rare control characters go through it whole. Only for
+    tokenizers with such rules, as ``word_bpe``; ``piecewise=False`` encodes every text whole.
+
+    Words are kept in two generations: when the newer one is full it becomes the
+    older, whose words move on as they are met again, so frequent words are
+    encoded once however many rare ones pass by.
     """
 
-    TAIL = re.compile(rb"(.*[a-z])([.,!*$%&#]+)")
+    LETTERS = "a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"  # Latin-1: lower case is one letter, nothing to compose
+    PIECES = re.compile(f"([{LETTERS}]+)([.,!?;:*$%&#]*)")
+    SAMPLES = ("word", "été", "straße", "ÀÖØÞ", "naïve,", "end...", "a!?", "ÿ;", "qu")
     CONTROLS = bytes(c for c in range(32) if c not in b"\t\n\r") + b"\x7f"
 
     def __init__(self, path: str, end_id: int, piecewise: bool = True):
@@ -71,9 +78,18 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenize = self.tokenizer.model.tokenize
         self.end_id, self.piecewise = end_id, piecewise
         self.width = 2 if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
-        self.reset()
+        # bytes as the letters that byte-level models stand them for
+        printed = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        self.letters = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in printed)}
+        self.direct = piecewise and all(
+            self._pieces(w.encode()) == self.tokenizer.encode(w, add_special_tokens=False).ids for w in self.SAMPLES
+        )
+        self.older = None
+        self.encodings = 0  # words encoded so far
+        self._begin()
 
     @classmethod
     def of_worker(cls, path: str, end_id: int, piecewise: bool) -> "Encoder":
@@ -86,19 +102,15 @@ class Encoder:
             kept[key] = cls(path, end_id, piecewise)
         return kept[key]
 
-    def reset(self) -> None:
+    def _begin(self) -> None:
+        """A new generation."""
         self.words = Vocabulary()
         self.words[b""] = 0  # the end of a document
-        self.parts: dict[bytes, list[int]] = {}
         self.encoded = 1
         self.ids = array("I", [self.end_id])
         self.starts = array("Q", [0, 1])
         self.own = 0
 
-    def _append(self, ids: Iterable[int]) -> None:
-        self.ids.extend(ids)
-        self.starts.append(len(self.ids))
-
     def blocks(self, texts: Iterable[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Blocks of whole texts: their ids, and the number of ids of each."""
         words: list[int] = []
@@ -120,31 +132,50 @@ class Encoder:
             if len(words) >= BLOCK_WORDS:
                 yield self._gather(words, counts)
                 words, counts = [], []
-                if len(self.words) + len(self.parts) > KEPT_WORDS:
-                    self.reset()
+                if len(self.words) > KEPT_WORDS // 2:
+                    self.older = (self.words, self.ids, self.starts)
+                    self._begin()
         if counts:
             yield self._gather(words, counts)
 
+    def _pieces(self, word: bytes) -> list[int] | None:
+        """Ids of a word of letters and final punctuation; None for others."""
+        found = self.PIECES.fullmatch(word.decode("utf-8", "replace"))
+        if not found:
+            return None
+        letters, tail = found.groups()
+        if not letters.isascii():
+            letters = letters.lower().encode().decode("latin-1").translate(self.letters)
+        ids = [t.id for t in self.tokenize(letters)]
+        return ids + [t.id for t in self.tokenize(tail)] if tail else ids
+
     def _fill(self, text: str | None = None) -> None:
-        """Encode what was numbered since the last call: words, and ``text`` for a text of its own."""
+        """Ids of what was numbered since the last call: words, and ``text`` for a text of its own."""
         new = []
         for k, w in enumerate(reversed(self.words)):
             if len(self.words) - 1 - k < self.encoded:
                 break
             new.append(w)
         new.reverse()
-        cut = {w: m.groups() if (m := self.TAIL.fullmatch(w)) else (w,) for w in new if isinstance(w, bytes)}
-        missing = list({p for parts in cut.values() for p in parts if p not in self.parts})
-        texts = [p.decode("utf-8", "replace") for p in missing]
-        for p, found in zip(missing, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            self.parts[p] = found.ids
+        known, ids, starts = self.older or ({}, None, None)
+        found: list = []
         for w in new:
-            if isinstance(w, bytes):
-                for p in cut[w]:
-                    self.ids.extend(self.parts[p])
-                self.starts.append(len(self.ids))
+            at = known.get(w) if isinstance(w, bytes) else None
+            if at is not None:
+                found.append(ids[starts[at] : starts[at + 1]])
+                continue
+            self.encodings += 1
+            if not isinstance(w, bytes):
+                found.append(self.tokenizer.encode(text, add_special_tokens=False).ids)
             else:
-                self._append(self.tokenizer.encode(text, add_special_tokens=False).ids)
+                found.append(self._pieces(w) if self.direct else None)
+        rest = [k for k, own in enumerate(found) if own is None]
+        texts = [new[k].decode("utf-8", "replace") for k in rest]
+        for k, own in zip(rest, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if rest else ()):
+            found[k] = own.ids
+        for own in found:
+            self.ids.extend(own)
+            self.starts.append(len(self.ids))
         self.encoded = len(self.words)
 
     def _gather(self, words: list[int], counts: list[int]) -> tuple[np.ndarray, np.ndarray]:

@@ -41,6 +41,37 @@ def test_pieces_encode_as_whole_texts(encoder, parts):
     assert ids.tolist() == plain(encoder, text) and counts.tolist() == [len(ids)]
 
 
+latin = st.text(st.characters(min_codepoint=0xC0, max_codepoint=0x17F) | st.sampled_from("abz.,!?;:*$%&#'-"), min_size=1, max_size=8)
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(latin, min_size=1, max_size=8))
+def test_latin_words_encode_as_whole_texts(encoder, words):
+    assert encoder.direct
+    ((ids, _),) = list(encoder.blocks([" ".join(words)]))
+    assert ids.tolist() == plain(encoder, " ".join(words))
+
+
+def test_words_are_encoded_once_while_they_are_kept(monkeypatch):
+    monkeypatch.setattr(token_files, "BLOCK_WORDS", 50)
+    rng = random.Random(4)
+    texts = [" ".join(f"w{'abcdefghij'[rng.randrange(10)]}{'xyz'[rng.randrange(3)]}" for _ in range(30)) for _ in range(40)]
+    texts += [t.replace("w", "It's") for t in texts]
+    one = Encoder(PATH, 1)
+    for _ in range(2):
+        list(one.blocks(texts))
+    assert one.encodings == len({w.lower() for t in texts for w in t.split()})
+    # frequent words outlive the generations that rare ones fill
+    monkeypatch.setattr(token_files, "KEPT_WORDS", 200)
+    two = Encoder(PATH, 1)
+    rare = 0
+    for k in range(100):
+        words = [f"rare{'abcdefghij'[k // 10]}{'abcdefghij'[k % 10]}{'abcdefghij'[j]}" for j in range(10)]
+        rare += len(words)
+        list(two.blocks([" ".join(words + [f"often{x}" for x in "abcdefghij"] * 5)]))
+    assert two.older is not None and two.encodings == rare + 10
+
+
 def test_blocks_and_reset(encoder, monkeypatch):
     monkeypatch.setattr(token_files, "BLOCK_WORDS", 50)
     monkeypatch.setattr(token_files, "KEPT_WORDS", 20)
