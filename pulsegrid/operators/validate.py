@@ -1,15 +1,16 @@
 """Metadata validation: one metadata row per device, lookup by device id,
 compare connector id, write the result text.
 
-Join strategy: the metadata side is a dimension table, joined by a plain left
-join whose kind Spark chooses by measured size. Where one device holds a large share of
-all readings and adaptive execution may not split it, ``salted`` spreads
-that device, and no other, over as many tasks as its rows need.
+Join strategy. ``auto`` (the default) joins plainly where the plan's size estimate of the lookup is within
+the session's broadcast threshold: Spark broadcasts it then. Beyond that both sides are shuffled, and a device with a large share
+of all readings would be one task (adaptive execution does not split it where the
+lookup is an aggregate on the join key in the same stage). So heavy devices are found by a bounded summary,
+and they alone are salted: over as many tasks as their rows need.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.config import (
@@ -20,6 +21,10 @@ from pulsegrid.config import (
     ROWS_PER_SALT,
 )
 
+HEAVY_DEVICES = 1_000  # devices that may be salted
+TRACKED_DEVICES = 10_000  # counters of the summary; a device is missed only below rows / so many
+BROADCAST_LIMIT = 1 << 30  # bytes beyond which a lookup is not broadcast, whatever the caller asks
+
 
 def latest_metadata(metadata: DataFrame, order_col: str = "row_order") -> DataFrame:
     """One row per device: the row with the greatest ``order_col`` wins (the
@@ -59,15 +64,32 @@ def validation_result(connectorid: Column, m_connectorid: Column, found: Column)
 
 
 def hot_devices(readings: DataFrame, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
-    """``_hot, _salts`` of devices with more than ``rows_per_salt`` readings:
-    as many salts as their share of the rows needs. At most rows /
-    ``rows_per_salt`` devices."""
-    counts = readings.groupBy(F.col("deviceid").alias("_hot")).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.filter(F.col("_n") > rows_per_salt).select(
+    """``_hot, _salts`` of devices with more than about ``rows_per_salt`` readings: as
+    many salts as their rows need.
+
+    Counted by a frequent-items summary of at most ``TRACKED_DEVICES`` counters per task, merged into one row: no
+    shuffle by device and no count of all devices. At most ``HEAVY_DEVICES`` rows, so it
+    is safe to broadcast. Counts are estimates; they decide how rows are spread, never a result.
+    """
+    top = readings.filter(F.col("deviceid").isNotNull()).agg(
+        F.expr(f"approx_top_k(deviceid, {HEAVY_DEVICES}, {TRACKED_DEVICES})").alias("top")
+    )
+    found = top.select(F.inline("top")).select(F.col("item").alias("_hot"), F.col("count").alias("_n"))
+    return found.filter(F.col("_n") > rows_per_salt).select(
         "_hot", F.ceil(F.col("_n") / rows_per_salt).cast("int").alias("_salts")
     )
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate of a static table's plan; runs no job. A table of unknown size counts as huge."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def broadcast_threshold(spark: SparkSession) -> int:
+    """The session's broadcast threshold in bytes (-1: never)."""
+    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+
+
 def _salted(readings: DataFrame, lookup: DataFrame, rows_per_salt: int, salt_buckets: int) -> DataFrame:
     """Left join on device and salt. Batch: only hot devices are salted, and
     only their metadata rows are repeated. Stream: every device, over
@@ -76,7 +98,7 @@ def _salted(readings: DataFrame, lookup: DataFrame, rows_per_salt: int, salt_buc
         salts, left = F.lit(int(salt_buckets)), readings
         right = lookup.withColumn("_salts", F.lit(int(salt_buckets)))
     else:
-        hot = hot_devices(readings, rows_per_salt)
+        hot = F.broadcast(hot_devices(readings, rows_per_salt))
         left = readings.join(hot, F.col("deviceid") == F.col("_hot"), "left")
         salts = F.coalesce("_salts", F.lit(1))
         right = lookup.join(hot, F.col("_m_deviceid") == F.col("_hot"), "left").drop("_hot")
@@ -87,10 +109,21 @@ def _salted(readings: DataFrame, lookup: DataFrame, rows_per_salt: int, salt_buc
     return left.drop("_hot", "_salts").join(right, match, "left")
 
 
+def join_strategy(lookup: DataFrame, strategy: str) -> str:
+    """``plain``, ``broadcast`` or ``salted``, by the lookup's estimated size."""
+    if strategy == "auto":
+        return "plain" if estimated_bytes(lookup) <= broadcast_threshold(lookup.sparkSession) else "salted"
+    if strategy == "broadcast" and estimated_bytes(lookup) > BROADCAST_LIMIT:
+        return "salted"
+    if strategy not in ("plain", "broadcast", "salted"):
+        raise ValueError(f"unknown join strategy: {strategy}")
+    return strategy
+
+
 def validate_readings(
     readings: DataFrame,
     metadata: DataFrame,
-    strategy: str = "plain",
+    strategy: str = "auto",
     rows_per_salt: int = ROWS_PER_SALT,
     salt_buckets: int = DEFAULT_SALT_BUCKETS,
     order_col: str | None = "row_order",
@@ -99,22 +132,21 @@ def validate_readings(
     (stream-static left join); ``metadata`` is a static snapshot. Only builds
     a plan: no job runs here.
 
-    ``strategy``: ``plain`` (a left join; Spark broadcasts the metadata if its
-    measured size allows, and splits skewed devices in batch plans),
-    ``broadcast`` (the caller vouches for the size) or ``salted``.
+    ``strategy``: ``auto`` (``plain`` where the lookup's estimated size is within the
+    broadcast threshold, else ``salted``), ``plain`` (a left join as Spark plans it), ``broadcast`` (a
+    hint, if the estimate is within ``BROADCAST_LIMIT``; else ``salted``) or ``salted``.
     ``order_col``: metadata column giving the scan order for the last-row-wins
     rule; ``None`` when the metadata already has one row per device.
     """
     lookup = _lookup(metadata, order_col)
     match = F.col("deviceid") == F.col("_m_deviceid")
-    if strategy == "plain":
+    chosen = join_strategy(lookup, strategy)
+    if chosen == "plain":
         joined = readings.join(lookup, match, "left")
-    elif strategy == "broadcast":
+    elif chosen == "broadcast":
         joined = readings.join(F.broadcast(lookup), match, "left")
-    elif strategy == "salted":
-        joined = _salted(readings, lookup, rows_per_salt, salt_buckets)
     else:
-        raise ValueError(f"unknown join strategy: {strategy}")
+        joined = _salted(readings, lookup, rows_per_salt, salt_buckets)
     result = validation_result(F.col("connectorid"), F.col("_m_connectorid"), F.col("_m_found"))
     return joined.select(*[F.col(c) for c in readings.columns], result.alias("result"))
 

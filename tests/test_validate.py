@@ -17,7 +17,7 @@ def _readings(spark, pairs):
     return spark.createDataFrame([("n", 1, c, d, t, "v", 1.0) for d, c in pairs], READING)
 
 
-@pytest.mark.parametrize("strategy", ["broadcast", "salted", "plain"])
+@pytest.mark.parametrize("strategy", ["auto", "broadcast", "salted", "plain"])
 def test_validation_hand_cases(spark, strategy):
     meta = _meta(spark, [(1, 10, 1)])
     r = _readings(spark, [(1, 10), (1, 11), (2, 10), (1, None)])
@@ -83,3 +83,66 @@ def test_salted_join_spreads_a_hot_device(spark):
     finally:
         for k, val in old.items():
             spark.conf.set(k, val)
+
+
+def _skewed(spark, n=4000):
+    import datetime as dt
+
+    t0 = dt.datetime(2018, 7, 20)
+    rows = [("n", 1, 1, 1 if i % 10 else 1 + i % 49, t0 + dt.timedelta(seconds=i), "v", float(i)) for i in range(n)]
+    return spark.createDataFrame(rows, READING)
+
+
+@pytest.fixture()
+def no_broadcast(spark):
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    yield
+    for k in confs:
+        spark.conf.unset(k)
+
+
+def test_default_strategy_splits_a_hot_device(spark, no_broadcast):
+    """The lookup is not broadcast; nine tenths of the readings come from one device."""
+    from pyspark.sql import functions as F
+
+    meta = _meta(spark, [(d, 1, o) for d in range(1, 50) for o in (1, 2)])
+    r = _skewed(spark)
+    v = validate_readings(r, meta, rows_per_salt=250)
+    own = "deviceid = 1 and result = 'Success'"  # the result is asked for, so the join stays in the plan
+    tasks = v.filter(own).groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(tasks) >= 6 and max(t["count"] for t in tasks) < 0.5 * 3600
+    plan = v._jdf.queryExecution().executedPlan().toString()
+    # the lookup is shuffled and joined by device and salt; only the few heavy devices are broadcast
+    assert "SortMergeJoin" in plan and "_m_salt" in plan and "approx_top_k" in plan.lower().replace("approxtopk", "approx_top_k")
+    # a plain join puts the device in one task
+    plain = validate_readings(r, meta, strategy="plain").filter(own)
+    assert plain.select(F.spark_partition_id()).distinct().count() == 1
+    assert sorted(map(tuple, v.collect())) == sorted(map(tuple, validate_readings(r, meta, strategy="plain").collect()))
+
+
+def test_strategy_follows_the_size_of_the_lookup(spark, monkeypatch, workdir):
+    from pulsegrid.operators import validate
+
+    _meta(spark, [(1, 1, 1)]).write.parquet(f"{workdir}/meta")
+    meta = spark.read.parquet(f"{workdir}/meta")
+    assert validate.join_strategy(meta, "auto") == "plain" and validate.join_strategy(meta, "broadcast") == "broadcast"
+    monkeypatch.setattr(validate, "BROADCAST_LIMIT", 0)
+    monkeypatch.setattr(validate, "broadcast_threshold", lambda spark: 0)
+    assert validate.join_strategy(meta, "auto") == "salted" and validate.join_strategy(meta, "broadcast") == "salted"
+    with pytest.raises(ValueError):
+        validate.join_strategy(meta, "hash")
+
+
+def test_heavy_devices_are_found_without_counting_all(spark, monkeypatch):
+    from pulsegrid.operators import validate
+
+    monkeypatch.setattr(validate, "HEAVY_DEVICES", 5)
+    monkeypatch.setattr(validate, "TRACKED_DEVICES", 16)
+    r = _readings(spark, [(7, 1)] * 600 + [(d, 1) for d in range(100, 700)] + [(None, 1)] * 900).repartition(4)
+    hot = hot_devices(r, rows_per_salt=200)
+    assert [h["_hot"] for h in hot.collect()] == [7] and hot.collect()[0]["_salts"] >= 3
+    plan = hot._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan  # one row per task goes to one row
+    assert hot_devices(r.limit(0)).collect() == []
