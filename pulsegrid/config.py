@@ -119,6 +119,29 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     fs.delete(jpath, True)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, written under another name and renamed: readers find all of it or nothing."""
+    attempt = path.rsplit("/", 1)[0] + f"/_{uuid.uuid4().hex}"
+    fs, made = _file_system(spark, attempt)
+    out = fs.create(made, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if fs.exists(jpath):
+        fs.delete(jpath, False)
+    if not fs.rename(made, jpath):
+        raise OSError(f"could not publish {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, jpath = _file_system(spark, path)
+    stream = fs.open(jpath)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 

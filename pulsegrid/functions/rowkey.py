@@ -15,13 +15,32 @@ from pyspark.sql import functions as F
 from pulsegrid.config import MAX_LONG
 
 
+SALT_DIGITS = 10
+
+
+def key_prefix(deviceid: int, connectorid: int) -> bytes:
+    """The key's bytes before the time: salt, device, connector."""
+    wrapped = [(x & 0xFFFFFFFF).to_bytes(4, "big") for x in (deviceid, connectorid)]
+    return bytes([abs(deviceid) % SALT_DIGITS]) + b"".join(wrapped)
+
+
+def prefix_end(prefix: bytes) -> bytes:
+    """The least key that is greater than every key with the prefix."""
+    return (int.from_bytes(prefix, "big") + 1).to_bytes(len(prefix), "big")
+
+
+def time_bound(millis: int) -> bytes:
+    """The key's time bytes for epoch milliseconds."""
+    return (MAX_LONG - millis).to_bytes(8, "big")
+
+
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def salt_byte(deviceid: str | Column = "deviceid") -> Column:
     """Last decimal digit of the device id (sign ignored)."""
-    return F.abs(_col(deviceid).cast("bigint")) % 10
+    return F.abs(_col(deviceid).cast("bigint")) % SALT_DIGITS
 
 
 def reverse_millis(eventtime: str | Column = "eventtime") -> Column:

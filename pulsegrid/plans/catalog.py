@@ -47,6 +47,7 @@ from pulsegrid.plans.pipelines import (
     word_count_lines,
 )
 from pulsegrid.schemas import READING_MESSAGE, REPORT
+from pulsegrid.sinks.keyed import newest_readings, readings_between, write_ordered
 from pulsegrid.sinks.tables import latest_by_key
 from pulsegrid.sources import testbed
 from pulsegrid.sources.files import read_json_lines
@@ -241,6 +242,31 @@ def q_latest_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest.withColumn("row_key", F.hex("row_key"))
 
 
+def newest_device(readings: DataFrame) -> tuple[int, int]:
+    """Device and connector of the reading with the greatest key time, ties by device."""
+    r = readings.orderBy(F.desc("eventtime"), "deviceid", "connectorid").select("deviceid", "connectorid").first()
+    return r["deviceid"], r["connectorid"]
+
+
+def q_newest_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All readings stored in key order; the 20 newest of the device that was heard last."""
+    readings = decode_readings(_messages(spark, sf_dir)).dropDuplicates()
+    path = new_scratch_dir(spark, "ordered")
+    write_ordered(good_table_rows(readings), path)
+    newest = newest_readings(spark, path, *newest_device(readings), 20)
+    return newest.withColumn("row_key", F.hex("row_key"))
+
+
+def q_readings_between(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same table; the readings of that device in a given week."""
+    readings = decode_readings(_messages(spark, sf_dir)).dropDuplicates()
+    path = new_scratch_dir(spark, "ordered")
+    write_ordered(good_table_rows(readings), path)
+    first = 1_704_672_000_000  # 2024-01-08
+    week = readings_between(spark, path, *newest_device(readings), first, first + 7 * 86_400_000 - 1)
+    return week.withColumn("row_key", F.hex("row_key"))
+
+
 # --- aggregations -----------------------------------------------------------
 
 
@@ -360,6 +386,8 @@ def batch_queries() -> dict[str, Query]:
         "error_readings": q_error_readings,
         "row_key": q_row_key,
         "latest_by_key": q_latest_by_key,
+        "newest_readings": q_newest_readings,
+        "readings_between": q_readings_between,
         "window_avg": q_window_avg,
         "window_avg_6h": q_window_avg_6h,
         "window_avg_10m": q_window_avg_10m,

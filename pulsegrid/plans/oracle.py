@@ -246,6 +246,18 @@ SELECT row_key, CONNECTORID, DEVICEID, EVENTTIME, VARIABLEID, VALUE FROM (
   FROM multi_good
 )
 QUALIFY row_number() OVER (PARTITION BY row_key ORDER BY VARIABLEID DESC, VALUE DESC) = 1"""
+        ),
+        "newest_readings": _q(
+            f"""
+SELECT {_table_cols()} FROM (SELECT DISTINCT * FROM readings) r
+WHERE (deviceid, connectorid) = (SELECT (deviceid, connectorid) FROM readings ORDER BY eventtime DESC, deviceid, connectorid LIMIT 1)
+ORDER BY row_key LIMIT 20"""
+        ),
+        "readings_between": _q(
+            f"""
+SELECT {_table_cols()} FROM (SELECT DISTINCT * FROM readings) r
+WHERE (deviceid, connectorid) = (SELECT (deviceid, connectorid) FROM readings ORDER BY eventtime DESC, deviceid, connectorid LIMIT 1)
+  AND eventtime >= TIMESTAMP '2024-01-08' AND eventtime < TIMESTAMP '2024-01-15'"""
         ),
         "window_avg": _window_avg("3 minutes"),
         "window_avg_6h": _window_avg("6 hours"),
@@ -340,6 +352,17 @@ SELECT row_key, CONNECTORID, DEVICEID, EVENTTIME, VARIABLEID, VALUE FROM (
 )
 QUALIFY row_number() OVER (PARTITION BY row_key ORDER BY VARIABLEID DESC, VALUE DESC) = 1"""
         ),
+        "merged_by_key_table": _q(
+            f"""
+SELECT row_key, CONNECTORID, DEVICEID, EVENTTIME, VARIABLEID, VALUE FROM (
+  SELECT DISTINCT {_row_key(compat=True)} AS row_key, connectorid AS CONNECTORID, deviceid AS DEVICEID,
+         strftime(eventtime, '%Y-%m-%d %H:%M:%S.%g') AS EVENTTIME, variableid AS VARIABLEID, value AS VALUE
+  FROM multi_good
+)
+QUALIFY row_number() OVER (PARTITION BY row_key ORDER BY VARIABLEID DESC, VALUE DESC) = 1"""
+        ),
+        "committed_tables_stream": _q(f"SELECT {_table_cols()}, result AS RESULT FROM dedup"),
+        "foreach_writer_stream": b["good_readings"],
         "window_avg_stream": _q(
             """
 SELECT window_start, window_start + INTERVAL '3 minutes' AS window_end, deviceid, variableid, avg_value

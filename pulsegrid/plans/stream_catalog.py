@@ -25,6 +25,7 @@ from pulsegrid.config import (
     DEVICE_COUNT_WATERMARK,
     DEVICE_COUNT_WINDOW,
     IDLE_TIME,
+    RESULT_SUCCESS,
     SESSION_TIMEOUT,
     VARIABLE_COUNT_WATERMARK,
     VARIABLE_COUNT_WINDOW,
@@ -36,7 +37,11 @@ from pulsegrid.operators.decode import decode_events, decode_readings
 from pulsegrid.operators.dedup import drop_duplicate_events
 from pulsegrid.operators.validate import good_records
 from pulsegrid.plans.catalog import _average_fields, _averages_out, _count_out, _sessions_out
+from pulsegrid.plans.pipelines import good_table_rows, ingest_readings
 from pulsegrid.schemas import LINE, MESSAGE
+from pulsegrid.sinks.commits import read_committed
+from pulsegrid.sinks.foreach import read_rows
+from pulsegrid.sinks.keyed import merge_table, read_merged
 from pulsegrid.sinks.misc import csv_file_writer
 from pulsegrid.sinks.tables import BATCH_COLUMNS, batch_directory_writer, latest_by_key, read_batch_table
 from pulsegrid.sources import testbed
@@ -50,6 +55,7 @@ from pulsegrid.streaming.queries import (
     start_dedup_table,
     start_ingest,
     start_malformed,
+    start_row_writer,
     start_sessions,
     start_tables_from_readings,
     start_window_average,
@@ -399,6 +405,53 @@ def run_latest_by_key(spark: SparkSession, sf_dir: str) -> Run:
     return Run(_hex_key(latest), seconds, progress)
 
 
+def run_merged_by_key(spark: SparkSession, sf_dir: str) -> Run:
+    """The same log, merged while it comes in: one row per key after a merge of the first half and one of the rest."""
+    use_utc(spark)
+    root = new_scratch_dir(spark, "merged")
+    log = testbed.multi_value_log(spark, sf_dir).withColumn("slice", F.pmod(F.col("seq"), F.lit(N_FILES)))
+    meta = testbed.device_metadata(spark, sf_dir)
+    seconds, progress = 0.0, []
+    for half in (F.col("slice") < N_FILES // 2, F.col("slice") >= N_FILES // 2):
+        log.filter(half).repartition(N_FILES, "slice").write.partitionBy("slice").mode("append").parquet(f"{root}/input")
+        messages = message_file_stream(spark, f"{root}/input/slice=*", schema=MESSAGE, max_files_per_trigger=1)
+        took, steps = _finish(
+            lambda messages=messages: start_ingest(messages, meta, f"{root}/good", f"{root}/error", f"{root}/chk", watermark="3650 days", compat_key=True, trigger=AVAILABLE_NOW)
+        )
+        merge_table(spark, f"{root}/good", f"{root}/merged")
+        seconds, progress = seconds + took, progress + steps
+    return Run(_hex_key(read_merged(spark, f"{root}/merged").drop(*BATCH_COLUMNS, "bucket")), seconds, progress)
+
+
+def run_committed_tables(spark: SparkSession, sf_dir: str, staged: tuple[str, int] | None = None) -> Run:
+    """Entry 1 with good and error rows of each batch under one commit; both tables together."""
+    use_utc(spark)
+    root = new_scratch_dir(spark, "committed")
+    staged = staged or stage_messages(spark, sf_dir, root)
+    seconds, progress = _finish(
+        lambda: start_ingest(
+            staged_stream(spark, staged), testbed.device_metadata(spark, sf_dir), f"{root}/good", f"{root}/error",
+            f"{root}/chk", commits=f"{root}/commits", trigger=AVAILABLE_NOW,
+        )
+    )
+    good, error = (read_committed(spark, f"{root}/commits", name, f"{root}/{name}") for name in ("good", "error"))
+    both = good.withColumn("RESULT", F.lit(RESULT_SUCCESS)).unionByName(error)
+    return Run(_hex_key(both.drop(*BATCH_COLUMNS)), seconds, progress)
+
+
+def run_foreach_writer(spark: SparkSession, sf_dir: str, staged: tuple[str, int] | None = None) -> Run:
+    """Entry 1 into the good table row by row."""
+    use_utc(spark)
+    root = new_scratch_dir(spark, "foreach")
+    staged = staged or stage_messages(spark, sf_dir, root)
+    meta = testbed.device_metadata(spark, sf_dir)
+    seconds, progress = _finish(
+        lambda: start_row_writer(staged_stream(spark, staged), meta, f"{root}/out", f"{root}/chk", trigger=AVAILABLE_NOW)
+    )
+    schema = good_table_rows(ingest_readings(testbed.message_log(spark, sf_dir), meta)).schema
+    return Run(_hex_key(read_rows(spark, f"{root}/out", schema).drop("epoch")), seconds, progress)
+
+
 RUNS: dict[str, Callable[..., Run]] = {
     "ingest_stream_good": run_ingest,
     "ingest_stream_error": run_ingest_error,
@@ -419,6 +472,9 @@ RUNS: dict[str, Callable[..., Run]] = {
     "csv_sink_stream": run_csv_sink,
     "word_count_stream": run_word_count,
     "latest_by_key_table": run_latest_by_key,
+    "merged_by_key_table": run_merged_by_key,
+    "committed_tables_stream": run_committed_tables,
+    "foreach_writer_stream": run_foreach_writer,
 }
 
 

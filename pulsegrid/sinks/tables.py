@@ -32,6 +32,13 @@ def query_id_of(batch: DataFrame) -> str:
     return found
 
 
+def write_sized(df: DataFrame, folder: str, n_rows: int, fmt: str = "parquet") -> None:
+    """Overwrite ``folder`` with ``df`` of ``n_rows`` rows: one file, or files by bytes where there are many."""
+    sized = df.coalesce(1) if n_rows <= ROWS_PER_FILE else df.hint("rebalance")
+    out = sized.write.mode("overwrite").format(fmt)
+    out.option("maxRecordsPerFile", ROWS_PER_FILE).save(folder)
+
+
 def write_batch(
     df: DataFrame, path: str, batch_id: int, query_id: str | None = None, fmt: str = "parquet", n_rows: int | None = None
 ) -> None:
@@ -47,9 +54,7 @@ def write_batch(
     n = df.count() if n_rows is None else n_rows
     if batch_id and not n and not folder_exists(df.sparkSession, target):
         return
-    sized = df.coalesce(1) if n <= ROWS_PER_FILE else df.hint("rebalance")
-    out = sized.write.mode("overwrite").format(fmt)
-    out.option("maxRecordsPerFile", ROWS_PER_FILE).save(target)
+    write_sized(df, target, n, fmt)
 
 
 def batch_directory_writer(path: str, fmt: str = "parquet", only_last: bool = False) -> Callable[[DataFrame, int], None]:

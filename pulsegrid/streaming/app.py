@@ -65,6 +65,8 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--dedup-watermark", default=DEDUP_WATERMARK)
     p.add_argument("--average-watermark", default=AVERAGE_WATERMARK)
     p.add_argument("--available-now", action="store_true")
+    p.add_argument("--commit-log", action="store_true", help="make good and error rows of a batch visible at once")
+    p.add_argument("--session-timeout", default=None, help="end sessions of devices silent for longer, e.g. '2 days'")
     args = p.parse_args(argv)
     if args.kafka and not args.topic:
         p.error("--kafka needs --topic")
@@ -95,7 +97,10 @@ def start_all(spark: SparkSession, args: argparse.Namespace) -> list:
     make_folder(spark, f"{t}/readings")  # a stream can't start on a table that is not there yet
     readings = readings_table_stream(spark, f"{t}/readings")
     queries.append(
-        start_tables_from_readings(readings, f"{t}/good", f"{t}/error", f"{c}/tables", trigger=trigger, name="tables")
+        start_tables_from_readings(
+            readings, f"{t}/good", f"{t}/error", f"{c}/tables", trigger=trigger, name="tables",
+            commits=f"{t}/commits" if args.commit_log else None,
+        )
     )
     if args.window_topic:
         lines = average_line_stream_from_table(readings, window=args.window, watermark=args.average_watermark)
@@ -108,10 +113,14 @@ def start_all(spark: SparkSession, args: argparse.Namespace) -> list:
             )
         )
     if args.session_topic:
-        lines = session_line_stream(msgs)
+        lines = session_line_stream(msgs, timeout=args.session_timeout)
         queries.append(start_lines_to_kafka(lines, args.kafka, args.session_topic, f"{c}/sessions", trigger=trigger))
     else:
-        queries.append(start_sessions(msgs, f"{t}/sessions", f"{c}/sessions", trigger=trigger, name="sessions"))
+        queries.append(
+            start_sessions(
+                msgs, f"{t}/sessions", f"{c}/sessions", trigger=trigger, name="sessions", sliced=True, timeout=args.session_timeout
+            )
+        )
     return queries
 
 

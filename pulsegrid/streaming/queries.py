@@ -14,7 +14,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pulsegrid.config import AVERAGE_WATERMARK, AVERAGE_WINDOW, DEDUP_WATERMARK
 from pulsegrid.operators.decode import decode_events, malformed_messages
-from pulsegrid.plans.pipelines import average_lines, ingest_readings, session_lines, window_averages
+from pulsegrid.operators.validate import good_records
+from pulsegrid.plans.pipelines import average_lines, good_table_rows, ingest_readings, session_lines, window_averages
+from pulsegrid.sinks.commits import committed_routed_writer
+from pulsegrid.sinks.foreach import foreach_writer
 from pulsegrid.sinks.tables import batch_directory_writer, routed_table_writer
 from pulsegrid.streaming.sliced import activity_stream, device_sessions_sliced_stream
 from pulsegrid.streaming.state import device_sessions_stream
@@ -29,6 +32,27 @@ def _start(writer, checkpoint: str, trigger: dict | None, name: str | None) -> S
     return writer.start()
 
 
+def _routed(good_path: str, error_path: str, compat_key: bool, commits: str | None):
+    if commits:
+        return committed_routed_writer(good_path, error_path, commits, compat_key)
+    return routed_table_writer(good_path, error_path, compat_key)
+
+
+def start_row_writer(
+    messages: DataFrame,
+    metadata: DataFrame,
+    path: str,
+    checkpoint: str,
+    watermark: str = DEDUP_WATERMARK,
+    trigger: dict | None = None,
+    **join_opts,
+) -> StreamingQuery:
+    """Entry 1 into one table, row by row: the good rows through
+    :class:`pulsegrid.sinks.foreach.RowWriter`."""
+    ingested = ingest_readings(messages, metadata, watermark=watermark, **join_opts)
+    return foreach_writer(good_table_rows(good_records(ingested)), path, checkpoint, trigger=trigger)
+
+
 def start_ingest(
     messages: DataFrame,
     metadata: DataFrame,
@@ -39,13 +63,14 @@ def start_ingest(
     compat_key: bool = False,
     trigger: dict | None = None,
     name: str | None = None,
+    commits: str | None = None,
     **join_opts,
 ) -> StreamingQuery:
-    """Entry 1: decode, validate, watermark, de-duplicate, routed tables."""
+    """Entry 1: decode, validate, watermark, de-duplicate, routed tables.
+    ``commits``: folder of a commit log that makes both tables of a batch visible at once
+    (:mod:`pulsegrid.sinks.commits`)."""
     ingested = ingest_readings(messages, metadata, watermark=watermark, **join_opts)
-    writer = ingested.writeStream.outputMode("update").foreachBatch(
-        routed_table_writer(good_path, error_path, compat_key)
-    )
+    writer = ingested.writeStream.outputMode("update").foreachBatch(_routed(good_path, error_path, compat_key, commits))
     return _start(writer, checkpoint, trigger, name)
 
 
@@ -123,12 +148,11 @@ def start_tables_from_readings(
     compat_key: bool = False,
     trigger: dict | None = None,
     name: str | None = None,
+    commits: str | None = None,
 ) -> StreamingQuery:
     """Good and error tables from a stream of already de-duplicated, validated
-    readings: no state of its own."""
-    writer = table_stream.writeStream.outputMode("append").foreachBatch(
-        routed_table_writer(good_path, error_path, compat_key)
-    )
+    readings: no state of its own. ``commits`` as in :func:`start_ingest`."""
+    writer = table_stream.writeStream.outputMode("append").foreachBatch(_routed(good_path, error_path, compat_key, commits))
     return _start(writer, checkpoint, trigger, name)
 
 
@@ -185,9 +209,10 @@ def average_line_stream_from_table(
     return average_lines(window_averages(table_stream, window=window, watermark=watermark))
 
 
-def session_line_stream(messages: DataFrame) -> DataFrame:
-    """Entry 3 as Kafka-shaped ``value`` lines ``deviceid,start,end,DEAD``."""
-    return session_lines(device_sessions_stream(decode_events(messages)))
+def session_line_stream(messages: DataFrame, **session_opts) -> DataFrame:
+    """Entry 3 as Kafka-shaped ``value`` lines ``deviceid,start,end,DEAD``, in two levels (options of
+    :func:`device_sessions_sliced_stream`)."""
+    return session_lines(device_sessions_sliced_stream(decode_events(messages), **session_opts))
 
 
 def start_lines_to_kafka(
