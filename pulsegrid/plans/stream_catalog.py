@@ -78,14 +78,15 @@ class Run:
 
 def _finish(*starts: Callable) -> tuple[float, list[dict]]:
     """Start the queries one after another, each when the one before has
-    ended; seconds and the progress of the last."""
-    began, query = time.perf_counter(), None
+    ended; seconds and progress of all of them."""
+    began, progress = time.perf_counter(), []
     for start in starts:
         query = start()
         query.awaitTermination()
         if query.exception() is not None:  # pragma: no cover
             raise RuntimeError(str(query.exception()))
-    return time.perf_counter() - began, list(query.recentProgress)
+        progress += query.recentProgress
+    return time.perf_counter() - began, progress
 
 
 def stage_messages(
