@@ -3,7 +3,9 @@ positions over a whole table, tokens, fixed hash folds."""
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
+from types import ModuleType
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -23,6 +25,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return write_scratch(df, label)[0]
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """``name``, with underscores added until no column is called so (letter case aside)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def read_documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -94,10 +104,28 @@ def trim() -> None:
         pass
 
 
-def lean(work: Callable) -> Callable:
-    """``work`` on a partition's batches, trimmed at its end."""
+def of_worker(name: str, key: tuple, make: Callable):
+    """What this Python worker keeps under ``name`` and ``key``, made at first. Spark runs many tasks in one worker, and functions
+    arrive anew with each task, so what outlives a task stands in a module of its own."""
+    kept = sys.modules.setdefault("_pulsegrid_worker", ModuleType("_pulsegrid_worker")).__dict__
+    if (name, *key) not in kept:
+        kept[(name, *key)] = make()
+    return kept[(name, *key)]
+
+
+def release(but: str | None = None) -> None:
+    """Drop what earlier tasks of other operators keep in this worker."""
+    kept = getattr(sys.modules.get("_pulsegrid_worker"), "__dict__", {})
+    for key in [k for k in kept if isinstance(k, tuple) and k[0] != but]:
+        del kept[key]
+
+
+def lean(work: Callable, keeps: str | None = None) -> Callable:
+    """``work`` on a partition's batches, trimmed at its end. What other
+    operators left in the worker is dropped first, but what is kept under the name ``keeps``."""
 
     def run(batches):
+        release(keeps)
         try:
             yield from work(batches)
         finally:

@@ -21,11 +21,9 @@ from __future__ import annotations
 import os
 import re
 import struct
-import sys
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
-from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.config import new_scratch_dir
-from pulsegrid.llm.common import Vocabulary, bounded_batches, lean, stored
+from pulsegrid.llm.common import Vocabulary, bounded_batches, lean, of_worker, stored
 
 FRAME_IDS = 1 << 18
 LEVEL = 1
@@ -93,14 +91,9 @@ class Encoder:
 
     @classmethod
     def of_worker(cls, path: str, end_id: int, piecewise: bool) -> "Encoder":
-        """The encoder of this Python process. Spark runs many tasks in one
-        worker, and functions arrive anew with each task, so what outlives a task stands in a module of its
-        own: later tasks find the words of earlier ones encoded."""
-        kept = sys.modules.setdefault("_pulsegrid_worker", ModuleType("_pulsegrid_worker")).__dict__
-        key = ("encoder", path, end_id, piecewise)
-        if key not in kept:
-            kept[key] = cls(path, end_id, piecewise)
-        return kept[key]
+        """The encoder of this Python process: later tasks find the words of
+        earlier ones encoded, until a task of another operator needs the memory."""
+        return of_worker("encoder", (path, end_id, piecewise), lambda: cls(path, end_id, piecewise))
 
     def _begin(self) -> None:
         """A new generation."""
@@ -340,7 +333,7 @@ def write_token_files(
         .sortWithinPartitions("doc_id", "tie")
         .select("doc_id", "text")
     )
-    write = lean(lambda batches: _write_part(batches, folder, tokenizer, end_id, piecewise))
+    write = lean(lambda batches: _write_part(batches, folder, tokenizer, end_id, piecewise), keeps="encoder")
     return stored(bounded_batches(dealt).mapInArrow(write, MANIFEST), "token-manifest")
 
 
@@ -380,7 +373,7 @@ def read_token_files(
     wanted = None if doc_ids is None else frozenset(doc_ids)
     schema = READ_SCHEMA + (", ids array<long>" if with_ids else "")
     files = manifest.select("file", "part").repartition(max(1, manifest.count()))
-    return files.mapInArrow(lean(lambda batches: _read_part(batches, folder, wanted, with_ids)), schema)
+    return files.mapInArrow(lean(lambda batches: _read_part(batches, folder, wanted, with_ids), keeps="encoder"), schema)
 
 
 def token_digest(docs: DataFrame, tokenizer: str, end_id: int = 1, folder: str | None = None) -> DataFrame:

@@ -72,6 +72,16 @@ def test_words_are_encoded_once_while_they_are_kept(monkeypatch):
     assert two.older is not None and two.encodings == rare + 10
 
 
+def test_a_worker_keeps_its_encoder_until_another_operator_runs():
+    from pulsegrid.llm.common import lean
+
+    kept = Encoder.of_worker(PATH, 1, True)
+    list(lean(lambda b: b, keeps="encoder")([]))
+    assert Encoder.of_worker(PATH, 1, True) is kept
+    list(lean(lambda b: b)([]))
+    assert Encoder.of_worker(PATH, 1, True) is not kept
+
+
 def test_blocks_and_reset(encoder, monkeypatch):
     monkeypatch.setattr(token_files, "BLOCK_WORDS", 50)
     monkeypatch.setattr(token_files, "KEPT_WORDS", 20)
