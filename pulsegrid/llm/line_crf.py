@@ -13,6 +13,7 @@ learned from: whole if it has no more lines than the sample's line limit, else b
 that many consecutive lines, from a line that a hash of the id picks. The limit is ``DOC_LINES``, or less
 where the sample would pass ``SAMPLE_LINES`` lines in all: then the greatest that does not. The
 lines of a training document bear its label. Scoring is a map over all whole texts: no shuffle.
+A long text is scored in pieces, with a few numbers per line kept, by the same features and marginals.
 """
 
 from __future__ import annotations
@@ -32,9 +33,11 @@ SAMPLE_DOCS = 3_000
 SAMPLE_LINES = 200_000
 DOC_LINES = 2_000  # of one training document
 BLOCK_BYTES = 2_000_000
+LONG_BYTES = 2_000_000  # a longer text is scored by itself, piece by piece
 STEPS = 150
 DECAY = 1e-4
 OWN = 14  # features of a line
+TWICE = 12  # the one that tells whether a line stands more than once in its text
 WIDTH = 3 * OWN + 3
 
 LOWER, UPPER, DIGIT, SPACE, STOP, BANG, PIPE, SIGN, WIDE = range(9)
@@ -65,6 +68,24 @@ def _powers(base: int, n: int) -> np.ndarray:
 def line_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Features of all lines, their lengths, and the number of lines of each
     text. An empty text is one empty line."""
+    own, length, per_text, key = line_table(texts)
+    text = np.repeat(np.arange(len(texts)), per_text)
+    own[:, TWICE] = repeated(text, key) * (length > 0)
+    return own, length, per_text
+
+
+def repeated(text: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Which lines stand more than once in their text, by the hashes of the lines."""
+    by = np.lexsort((key, text))
+    same = (key[by][1:] == key[by][:-1]) & (text[by][1:] == text[by][:-1])
+    twice = np.zeros(len(key), bool)
+    twice[by[1:][same]] = True
+    twice[by[:-1][same]] = True
+    return twice
+
+
+def line_table(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """:func:`line_features` but for whether a line is repeated (0), and the hash of each line."""
     data = b"\n".join(texts) + b"\n"
     buf = np.frombuffer(data, np.uint8)
     ends = np.flatnonzero(buf == 10)
@@ -80,7 +101,6 @@ def line_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarra
         return (sums[ends] - sums[starts]) / total
 
     shares = {k: share(kind == k) for k in range(9)}
-    letters = shares[LOWER] + shares[UPPER] + shares[WIDE]
     # words by a rolling hash: equal words have equal hashes
     inside = kind != SPACE
     edge = np.diff(inside.astype(np.int8), prepend=0)
@@ -98,24 +118,74 @@ def line_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     new = np.ones(len(word), bool)
     new[1:] = (word[order][1:] != word[order][:-1]) | (line[order][1:] != line[order][:-1])
     distinct = np.bincount(line[order], new, n_lines) / np.maximum(words, 1)
-    # lines that stand more than once in their text
-    text = np.repeat(np.arange(len(texts)), per_text)
     key = (sums[ends] - sums[starts]) * _powers(INVERSE, len(buf))[starts]
-    by = np.lexsort((key, text))
-    same = (key[by][1:] == key[by][:-1]) & (text[by][1:] == text[by][:-1])
-    twice = np.zeros(n_lines)
-    twice[by[1:][same]] = 1
-    twice[by[:-1][same]] = 1
+    return _own(shares, words, length, repeats, distinct), length, per_text, key
+
+
+def _own(shares: dict[int, np.ndarray], words, length, repeats, distinct) -> np.ndarray:
+    """The features of lines from shares of character classes, word counts, shares of repeated and of distinct words."""
+    letters = shares[LOWER] + shares[UPPER] + shares[WIDE]
     own = np.stack(
         [
             shares[UPPER] / np.maximum(letters, 1e-9) * (letters > 0), shares[DIGIT], shares[SPACE], shares[STOP], shares[BANG],
             shares[PIPE], shares[SIGN], letters, np.log1p(words) / 5, np.minimum(length / np.maximum(words, 1), 50) / 10,
-            repeats, 1 - distinct, twice * (length > 0), (length == 0).astype(np.float64),
+            repeats, 1 - distinct, np.zeros(len(words)), (length == 0).astype(np.float64),
         ],
         axis=1,
     )
     own[:, 4:7] = np.sqrt(own[:, 4:7])
-    return own, length, per_text
+    return own
+
+
+def long_line(line: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features, length and hash of one line of any length, read in pieces of
+    ``BLOCK_BYTES``: what is kept is 8 bytes per word."""
+    counts, hashes, inside = np.zeros(9, np.int64), [], False
+    total, power, inverse = np.zeros(1, np.uint64), 1, 1  # sum so far; BASE to the offset, and its inverse
+    start = np.zeros(0, np.uint64), np.zeros(0, np.uint64)  # sum and inverse at the start of a word that goes on
+    ahead, back = _powers(BASE, BLOCK_BYTES + 1), _powers(INVERSE, BLOCK_BYTES + 1)
+    for at in range(0, len(line), BLOCK_BYTES):
+        buf = np.frombuffer(line, np.uint8, min(BLOCK_BYTES, len(line) - at), at)
+        n = len(buf)
+        kind = CLASSES[buf]
+        counts += np.bincount(kind, minlength=9)
+        sums = np.concatenate([total, total + np.cumsum((buf.astype(np.uint64) + np.uint64(1)) * (ahead[:n] * np.uint64(power)), dtype=np.uint64)])
+        edge = np.diff((kind != SPACE).astype(np.int8), prepend=np.int8(inside))
+        first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        begin = np.concatenate([start[0], sums[first]]), np.concatenate([start[1], back[first] * np.uint64(inverse)])
+        hashes.append((sums[last] - begin[0][: len(last)]) * begin[1][: len(last)])
+        start = begin[0][len(last) :], begin[1][len(last) :]
+        inside = bool(kind[-1] != SPACE)
+        total = sums[-1:]
+        power, inverse = power * int(ahead[n]) % (1 << 64), inverse * int(back[n]) % (1 << 64)
+    hashes.append((total - start[0]) * start[1])
+    word = np.concatenate(hashes)
+    words = np.array([len(word)], np.float64)
+    length = np.array([len(line)], np.float64)
+    shares = {k: counts[k : k + 1] / np.maximum(length, 1) for k in range(9)}
+    again = np.array([(word[1:] == word[:-1]).sum()]) / np.maximum(words, 1)
+    word.sort()
+    distinct = np.array([(np.diff(word) != 0).sum() + (len(word) > 0)]) / np.maximum(words, 1)
+    return _own(shares, words, length, again, distinct), length, total
+
+
+def line_pieces(text: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """:func:`line_table` of a long text, piece by piece: whole lines of
+    ``BLOCK_BYTES`` together, or one line that is longer."""
+    at = 0
+    while at <= len(text):
+        end = text.rfind(b"\n", at, at + BLOCK_BYTES)
+        if len(text) - at <= BLOCK_BYTES:
+            end = len(text)
+        elif end < 0:
+            end = text.find(b"\n", at)
+            end = len(text) if end < 0 else end
+        if end - at > BLOCK_BYTES:
+            yield long_line(text[at:end])
+        else:
+            own, length, _, key = line_table([text[at:end]])
+            yield own, length, key
+        at = end + 1
 
 
 def with_neighbours(own: np.ndarray, per_text: np.ndarray) -> np.ndarray:
@@ -172,6 +242,92 @@ def forward_backward(unary: np.ndarray, per_text: np.ndarray, moves: np.ndarray)
     return np.clip(good, 0, 1), expected, of
 
 
+def chain_marginals(unary: np.ndarray, moves: np.ndarray) -> np.ndarray:
+    """The marginals of :func:`forward_backward` for one text of many lines, in
+    about three times the square root of their number of steps.
+
+    The lines are cut into equal blocks that advance side by side: one pass gives the product of each block's 2 x 2
+    steps, from which follow the messages at all cuts; two more passes carry them through the blocks.
+    """
+    n = len(unary)
+    size = max(1, int(np.sqrt(n)))
+    blocks = -(-(n - 1) // size)  # of steps from line to line
+    if blocks < 1:
+        return 1 / (1 + np.exp(-unary))
+    to = np.zeros(blocks * size)
+    to[: n - 1] = unary[1:]
+    to = to.reshape(blocks, size)
+    live = (np.arange(blocks * size) < n - 1).reshape(blocks, size)
+
+    def step(t: int) -> np.ndarray:
+        out = np.repeat(moves[None], blocks, 0)
+        out[:, :, 1] += to[:, t, None]
+        out[~live[:, t]] = [[0, -1e30], [-1e30, 0]]  # no step: nothing changes
+        return out
+
+    whole = step(0)
+    for t in range(1, size):
+        whole = _sum_exp(whole[:, :, :, None] + step(t)[:, None], 2)
+    ahead, back = np.zeros((blocks, 2)), np.zeros((blocks, 2))
+    message = np.array([0.0, unary[0]])
+    for b in range(blocks):
+        ahead[b] = message
+        message = _sum_exp(message[:, None] + whole[b], 0)
+        message -= message.max()
+    message = np.zeros(2)
+    for b in range(blocks - 1, -1, -1):
+        back[b] = message
+        message = _sum_exp(whole[b] + message, 1)
+        message -= message.max()
+    odds = np.zeros(blocks * size + 1)  # log odds of label 1: from the left, then from both sides
+    odds[0] = unary[0]
+    inner = odds[1:].reshape(blocks, size)
+    for t in range(size):
+        ahead = _sum_exp(ahead[:, :, None] + step(t), 1)
+        ahead -= ahead.max(axis=1, keepdims=True)
+        inner[:, t] = ahead[:, 1] - ahead[:, 0]
+    for t in range(size - 1, -1, -1):
+        inner[:, t] += back[:, 1] - back[:, 0]
+        back = _sum_exp(step(t) + back[:, None], 2)
+        back -= back.max(axis=1, keepdims=True)
+    odds[0] += back[0, 1] - back[0, 0]
+    return 1 / (1 + np.exp(-np.clip(odds[:n], -700, 700)))
+
+
+def long_quality(text: bytes, w: np.ndarray, moves: np.ndarray) -> float:
+    """:func:`quality` of one long text in bounded memory. The text is gone through twice: for the hashes
+    of its lines (8 bytes a line), then for the features, which leave one number a line."""
+    key = np.concatenate([key for _, _, key in line_pieces(text)])
+    twice = repeated(np.zeros(len(key), np.int8), key)
+    n, at = len(key), 0
+    del key
+    unary, length = np.zeros(n), np.zeros(n)
+    last = np.zeros((0, OWN))  # the line before the piece at hand and, once known, after the one before
+
+    def close(rows: np.ndarray, first: int, count: int, before: int) -> None:
+        """Scores of ``count`` lines of ``rows`` from place ``before`` on: line ``first`` of the text and following."""
+        x = with_neighbours(rows, np.array([len(rows)]))[before : before + count]
+        x[:, -3] = np.arange(first, first + count) == 0
+        x[:, -2] = np.arange(first, first + count) == n - 1
+        unary[first : first + count] = x @ w
+
+    for own, size, _ in line_pieces(text):
+        own[:, TWICE] = twice[at : at + len(own)] * (size > 0)
+        length[at : at + len(own)] = size
+        rows = np.concatenate([last, own])
+        # the last line of a piece waits for the next piece
+        open_at = at - min(len(last), 1)
+        before = len(last) - min(len(last), 1)
+        final = at + len(own) == n
+        count = len(rows) - before - (0 if final else 1)
+        close(rows, open_at, count, before)
+        at += len(own)
+        last = rows[-2:]
+    weight = np.maximum(length, 1)
+    good = chain_marginals(unary, moves)
+    return float((good * weight).sum() / weight.sum())
+
+
 def fit_field(x: np.ndarray, per_text: np.ndarray, labels: np.ndarray, weight: np.ndarray | None = None):
     """Weights and moves of greatest likelihood (Adam, whole sample a step)."""
     y = np.repeat(labels, per_text).astype(np.float64)
@@ -220,8 +376,8 @@ def _blocks(batches) -> Iterator[tuple[list, list[bytes]]]:
     for batch in batches:
         ids, texts, size = [], [], 0
         keys = batch.column(0).to_pylist()
-        for key, text in zip(keys, batch.column(1).cast(pa.large_string()).to_pylist()):
-            data = b"" if text is None else text.encode("utf-8", "replace")
+        for key, text in zip(keys, batch.column(1).cast(pa.large_binary())):
+            data = text.as_py() or b""
             ids.append(key)
             texts.append(data)
             size += len(data)
@@ -282,8 +438,13 @@ class Model:
     def scores(self, texts: list[bytes]) -> np.ndarray:
         if self.w is None:
             return np.full(len(texts), self.curve[0])
-        own, length, per_text = line_features(texts)
-        value = quality(with_neighbours(own, per_text), length, per_text, self.w, self.moves)
+        long = np.array([len(t) > LONG_BYTES for t in texts])
+        value = np.zeros(len(texts))
+        if not long.all():
+            own, length, per_text = line_features([t for t, far in zip(texts, long) if not far])
+            value[~long] = quality(with_neighbours(own, per_text), length, per_text, self.w, self.moves)
+        for k in np.flatnonzero(long).tolist():
+            value[k] = long_quality(texts[k], self.w, self.moves)
         return 1 / (1 + np.exp(-(self.curve[0] + self.curve[1] * log_odds(value))))
 
 
@@ -342,10 +503,10 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> Dat
 
     def run(batches):
         for batch in batches:
-            texts = batch.column(at).cast(pa.large_string()).to_pylist()
+            texts = batch.column(at).cast(pa.large_binary())
             keep, block, size = [], [], 0
             for k, text in enumerate(texts):
-                block.append(b"" if text is None else text.encode("utf-8", "replace"))
+                block.append(text.as_py() or b"")
                 size += len(block[-1])
                 if size >= BLOCK_BYTES or k == len(texts) - 1:
                     keep += (model.scores(block) >= threshold).tolist()

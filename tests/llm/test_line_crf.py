@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import itertools
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -117,3 +118,56 @@ def test_held_out_accuracy(spark):
     good = [r for r in got if labels[r["doc_id"]] == 1]
     assert sum(r["predicted"] == 0 for r in bad) >= 0.8 * len(bad)
     assert sum(r["predicted"] for r in good) >= 0.95 * len(good)
+
+
+def test_marginals_of_a_long_chain():
+    rng = np.random.default_rng(2)
+    moves = rng.normal(size=(2, 2))
+    for n in (1, 2, 3, 4, 5, 16, 17, 50, 1001):
+        unary = rng.normal(size=n) * 3
+        good, _, _ = crf.forward_backward(unary, np.array([n]), moves)
+        assert np.allclose(crf.chain_marginals(unary, moves), good, atol=1e-9), n
+
+
+def odd_texts():
+    rng = np.random.default_rng(8)
+    lines = [" ".join("".join(chr(rng.integers(97, 123)) for _ in range(rng.integers(1, 7))) for _ in range(rng.integers(0, 9))) for _ in range(60)]
+    text = lambda n: "\n".join(lines[k] for k in rng.integers(0, 60, n)).encode()
+    return [text(300), b"\n" * 500, b"x" * 900, b"aa bb aa  aa \t" * 90, b"\n" + text(40) + b"\n\n", "é! É 12 |".encode() * 70 + b"\n", text(1) + b"\n" + b"ab " * 400 + b"\n" + text(30), b" ", b"z"]
+
+
+@pytest.mark.parametrize("piece", [7, 40, 333])
+def test_long_texts_score_as_short_ones(monkeypatch, piece):
+    rng = np.random.default_rng(1)
+    model = crf.Model(rng.normal(size=crf.WIDTH) * 0.3, rng.normal(size=(2, 2)), (0.1, 0.7))
+    want = model.scores(odd_texts())
+    whole = [crf.line_table([t]) for t in odd_texts()]
+    monkeypatch.setattr(crf, "BLOCK_BYTES", piece)
+    monkeypatch.setattr(crf, "LONG_BYTES", 0)
+    for text, (own, length, _, key) in zip(odd_texts(), whole):
+        pieces = [np.concatenate(c) for c in zip(*crf.line_pieces(text))]
+        assert np.allclose(pieces[0], own) and (pieces[1] == length).all()
+        # equal lines have equal hashes whatever piece they stand in
+        assert (crf.repeated(np.zeros(len(key), int), pieces[2]) == crf.repeated(np.zeros(len(key), int), key)).all()
+    assert np.allclose(model.scores(odd_texts()), want, atol=1e-9)
+
+
+def test_memory_of_a_long_text():
+    import subprocess
+    import sys
+
+    code = """
+import resource, numpy as np
+from pulsegrid.llm import line_crf as crf
+rng = np.random.default_rng(1)
+model = crf.Model(rng.normal(size=crf.WIDTH) * 0.3, rng.normal(size=(2, 2)), (0.1, 0.7))
+line = b"some words stand in this line of the text, and it has an end.\\n"
+text = b"".join(line[: 10 + k % 50] + b"\\n" for k in range(600_000))
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+model.scores([text, b"x y " * 5_000_000])
+print(len(text), resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before)
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=str(Path(crf.__file__).parents[2]), check=True)
+    size, grown = map(int, out.stdout.split()[-2:])
+    # 20 MB in short lines and 20 MB in one line: some 10 bytes a byte and a bounded piece
+    assert size > 20_000_000 and grown < 450_000
