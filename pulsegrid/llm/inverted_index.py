@@ -14,7 +14,9 @@ starts that remain are looked up in the next rarest list, and so on. Terms withi
 distance (proximity) are found from the postings of the rarest term as well.
 
 Query items are handled in blocks of at most ``BLOCK_WORDS`` words, each
-sent to the tasks as one bounded value; the index is read once per block.
+sent to the tasks as one bounded value; an item that is longer comes in pieces that overlap by a
+window less one word. Items of one block need only the postings of their own words. For
+several blocks the index of all words is stored once and read once per block.
 """
 
 from __future__ import annotations
@@ -22,14 +24,14 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import bounded_batches, lean, stored, text_bytes
+from pulsegrid.llm.common import bounded_batches, lean, stored, text_bytes, unused
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")  # [^\x00-\x2F\x3A-\x60\x7B-\x7F]+ after A-Z is lowered
 SHARD_WORDS = 400_000
@@ -279,23 +281,31 @@ def _per_shard(index: DataFrame, block: list, prepare, work, schema: str) -> Dat
 # --- items -----------------------------------------------------------------
 
 
-def _item_rows(batches) -> Iterator[pa.RecordBatch]:
+def _item_rows(batches, window: int, most: int) -> Iterator[pa.RecordBatch]:
+    """Items as words; an item of more than ``most`` in pieces that hold each of its windows."""
+    step = max(1, most - window + 1)
     for batch in batches:
         texts = batch.column(1).cast(pa.large_string()).to_pylist()
-        words = [[w.decode("utf-8", "replace") for w in words_of(t)] for t in texts]
-        yield pa.RecordBatch.from_pydict(
-            {"item_id": batch.column(0), "words": pa.array(words, pa.list_(pa.string()))}
-        )
-
-
-def item_blocks(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> Iterator[list]:
-    """Items as word lists, in blocks of at most ``BLOCK_WORDS`` words (one
-    item at least), one block at a time; an empty block if there is no item."""
-    rows = items.select(F.col(id_col).cast("string"), F.col(text_col).cast("string")).mapInArrow(_item_rows, ITEM_SCHEMA)
+        for item_id, text in zip(batch.column(0).to_pylist(), texts):
+            words = [w.decode("utf-8", "replace") for w in words_of(text)]
+            starts = range(0, len(words) - window + 1, step) if len(words) > most else [0]
+            for k in starts:
+                piece = words[k : k + step + window - 1] if len(words) > most else words
+                yield pa.RecordBatch.from_pydict(
+                    {"item_id": pa.array([item_id], pa.string()), "words": pa.array([piece], pa.list_(pa.string()))}
+                )
+
+
+def item_blocks(items: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW) -> Iterator[list]:
+    """Items, or pieces of long ones, as word lists, in blocks of at most ``BLOCK_WORDS`` words, one
+    block at a time; an empty block if there is no item."""
+    most = max(BLOCK_WORDS, window)
+    rows = items.select(F.col(id_col).cast("string"), F.col(text_col).cast("string"))
+    rows = rows.mapInArrow(lambda batches: _item_rows(batches, window, most), ITEM_SCHEMA)
     block, size, any_block = [], 0, False
     for r in stored(rows.filter(F.size("words") > 0), "items").toLocalIterator():
         words = [w.encode("utf-8", "replace") for w in r["words"]]
-        if size and size + len(words) > BLOCK_WORDS:
+        if size and size + len(words) > most:
             yield block
             block, size, any_block = [], 0, True
         block.append(("" if r["item_id"] is None else r["item_id"], words))
@@ -318,20 +328,31 @@ def phrase_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Data
     repeated rows keep a row each; a null item id counts as an empty one, and
     items that share an id count once. Empty tables give empty hits.
     """
-    every, blocks = None, 0
-    for block in item_blocks(items):
-        index = build_index(docs, frozenset(w for _, words in block for w in words))
-        hits = _per_shard(index, block, lambda b: Queries(b, window), _covered, HIT_SCHEMA)
-        every = hits if every is None else every.unionByName(hits)
-        blocks += 1
-    if blocks == 1:
-        return every
-    # rows are numbered by the partitions of the table, alike for all blocks
-    return every.groupBy("row_id", "doc_id", "text_crc32").agg(
-        F.max("n_words").alias("n_words"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("hits")))).alias("hits"),
-    ).select(
+    blocks = item_blocks(items, window=window)
+    first, second = next(blocks), next(blocks, None)
+    prepare = lambda block: Queries(block, window)
+    if second is None:
+        index = build_index(docs, frozenset(w for _, words in first for w in words))
+        return _per_shard(index, first, prepare, _covered, HIT_SCHEMA)
+    # the index, and with it the numbers of the rows, is stored once for all blocks
+    index, found = build_index(docs), None
+    for block in chain([first, second], blocks):
+        hits = _per_shard(index, block, prepare, _covered, HIT_SCHEMA).filter("n_hit > 0")
+        hits = stored(hits.select("row_id", "items", "hits"), "block-hits")
+        found = hits if found is None else found.unionByName(hits)
+    found = stored(
+        found.groupBy("row_id").agg(
+            F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+            F.array_sort(F.array_distinct(F.flatten(F.collect_list("hits")))).alias("hits"),
+        ),
+        "all-hits",
+    )  # lists within one document
+    rows = _per_shard(index, [], prepare, _covered, HIT_SCHEMA).select("row_id", "doc_id", "text_crc32", "n_words")
+    none = F.array().cast("array<string>"), F.array().cast("array<long>")
+    out = rows.join(found, "row_id", "left").select(
+        "row_id", "doc_id", "text_crc32", "n_words", F.coalesce("items", none[0]).alias("items"), F.coalesce("hits", none[1]).alias("hits")
+    )
+    return out.select(
         "row_id", "doc_id", "text_crc32", "n_words", F.size("hits").cast("long").alias("n_hit"),
         F.size("items").cast("long").alias("n_items"), "items", "hits",
     )
@@ -394,8 +415,9 @@ def decontamination_report(docs: DataFrame, items: DataFrame, window: int = WIND
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` without the rows that hold a window of an item. The rows to
-    drop are stored first, so that Spark joins them by their measured size."""
+    drop are stored first, so that Spark joins them by their measured size. ``docs`` may have columns of any name."""
     hits = phrase_hits(docs, items, window).filter("n_hit > 0")
-    gone = stored(hits.select(F.col("doc_id").alias("_id"), F.col("text_crc32").alias("_crc")).distinct(), "contaminated")
+    _id, _crc = unused("_id", docs.columns), unused("_crc", docs.columns)
+    gone = stored(hits.select(F.col("doc_id").alias(_id), F.col("text_crc32").alias(_crc)).distinct(), "contaminated")
     crc = F.crc32(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    return docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (crc == F.col("_crc")), "left_anti")
+    return docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col(_id)) & (crc == F.col(_crc)), "left_anti")

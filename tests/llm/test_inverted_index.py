@@ -6,6 +6,7 @@ import re
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from pulsegrid.llm import inverted_index as ix
 
@@ -73,6 +74,29 @@ def test_equals_brute_force(spark, monkeypatch, block, shard):
     assert sorted((r["doc_id"], r["text"] or "") for r in kept.collect() if r["doc_id"] is not None) == clean
 
 
+def test_many_blocks_of_a_shuffled_table_and_items_longer_than_a_block(spark, monkeypatch):
+    monkeypatch.setattr(ix, "BLOCK_WORDS", 40)
+    rng = random.Random(9)
+    long = [f"w{rng.randrange(60)}" for _ in range(700)]
+    items = [(1, " ".join(long)), (2, "w1 w2 w3"), (3, " ".join(long[300:380])), (4, "q0 q1 q2 q3")]
+    docs = [(i, " ".join(long[a : a + rng.randrange(5, 60)] + ["x"])) for i, a in enumerate(rng.randrange(690) for _ in range(80))]
+    docs += [(90, "q0 q1 q2 q3"), (91, "w1 w2 w3"), (92, "nothing here")]
+    d, t = frames(spark, docs, items)
+    for block in ix.item_blocks(t):
+        assert sum(len(words) for _, words in block) <= 40
+    # rows come in another order each time the table is read
+    shuffled = d.repartition(7).orderBy(F.rand())
+    got = sorted((tuple(r)[:6] for r in ix.decontamination_report(shuffled, t).collect()), key=str)
+    assert got == brute(docs, items)
+
+
+def test_clashing_columns_stay(spark):
+    d, t = frames(spark, [(1, "x1 zz q"), (2, "fine")], [(1, "x1 zz q")])
+    d = d.selectExpr("doc_id", "text", "1 as _id", "2 as _CRC", "3 as n_hit", "4 as row_id", "5 as items")
+    kept = ix.drop_contaminated(d, t)
+    assert kept.columns == d.columns and [r["doc_id"] for r in kept.collect()] == [2]
+
+
 def test_empty_tables(spark):
     d, t = frames(spark, [(1, "a b")], [(1, "a b")])
     assert ix.decontamination_report(d.limit(0), t).count() == 0
