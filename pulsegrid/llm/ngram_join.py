@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.config import drop_folder, write_scratch
-from pulsegrid.llm.common import Vocabulary, bounded_batches, lean, mix64, stored, text_bytes, trim
+from pulsegrid.llm.common import Vocabulary, bounded_batches, lean, mix64, stored, text_bytes, trim, unused
 from pulsegrid.llm.components import connected_components
 from pulsegrid.llm.packed import pack, pack_sorted, range_of, unpack, unpack_sorted
 
@@ -372,6 +372,7 @@ def _hub_pairs(prefixes: DataFrame, percent: int) -> DataFrame:
     hubs = prefixes.groupBy("token").agg(
         F.min(F.struct("pos", "uid", "n")).alias("hub"), F.count(F.lit(1)).alias("rows")
     ).filter("rows > 1").select("token", F.col("hub.uid").alias("h"), F.col("hub.n").alias("hn"), F.col("hub.pos").alias("hp"))
+    hubs = stored(hubs, "join-hubs")  # an aggregate by the key that is joined at once would keep a hot n-gram in one task
     need = f"ceil({percent} * (n + hn) / {100 + percent}D)"
     fits = f"uid <> h and 100 * least(n, hn) >= {percent} * greatest(n, hn) and least(n - pos, hn - hp) >= {need}"
     return prefixes.join(hubs, "token").filter(fits).select(F.col("h").alias("a"), F.col("uid").alias("b"))
@@ -383,7 +384,8 @@ def feasible(prefixes: DataFrame, percent: int) -> DataFrame:
     left of the set."""
     least = prefixes.groupBy("token").agg(F.min("n").alias("ln"), F.count(F.lit(1)).alias("rows")).filter("rows > 1")
     need = f"ceil({percent} * (n + greatest(ln, ceil({percent} * n / 100D))) / {100 + percent}D)"
-    return prefixes.join(least.drop("rows"), "token").filter(f"n - pos >= {need}").drop("ln")
+    least = stored(least.drop("rows"), "join-least")
+    return prefixes.join(least, "token").filter(f"n - pos >= {need}").drop("ln")
 
 
 def _rest_pairs(prefixes: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
@@ -394,6 +396,7 @@ def _rest_pairs(prefixes: DataFrame, roots: DataFrame, percent: int) -> DataFram
         .agg(F.count(F.lit(1)).alias("rows"), F.min("comp").alias("least"), F.max("comp").alias("most"))
         .filter("least <> most").select("token", F.ceil(F.col("rows") / GROUP).cast("int").alias("blocks"))
     )
+    groups = stored(groups, "join-groups")
     rows = placed.join(groups, "token").withColumn("block", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int"))
     # block i meets every block: as the first of (i, j), j >= i, and the second of (j, i), j < i
     meets = F.transform(
@@ -467,7 +470,7 @@ def similar_documents(
         roots = connected_components(links.unionByName(rest))
     named = classes.join(roots, classes["class_uid"] == roots["node"], "left").withColumn("comp", F.coalesce("root", "class_uid"))
     named = stored(named.select("digest", "class_uid", "least_id", "comp"), "join-named")
-    least = named.groupBy("comp").agg(F.min("least_id").alias("component"))
+    least = stored(named.groupBy("comp").agg(F.min("least_id").alias("component")), "join-least-ids")
     named = stored(named.join(least, "comp").select("digest", "class_uid", "comp", "component"), "join-components")
     return every.join(named, "digest", "left").select(
         "uid", "doc_id", "text_crc32", "n_shingles", F.coalesce("class_uid", "uid").alias("class_uid"),
@@ -483,16 +486,18 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     rows = stored(similar_documents(docs, width, percent), "near-duplicates")
     order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "uid")
     best = rows.groupBy("component").agg(F.min(order).alias("best")).select("component", F.col("best.uid").alias("best"))
-    marked = rows.join(best, "component").groupBy(F.col("doc_id").alias("_id"), F.col("text_crc32").alias("_crc")).agg(
+    best = stored(best, "near-duplicate-best")
+    _id, _crc = unused("_id", docs.columns), unused("_crc", docs.columns)
+    marked = rows.join(best, "component").groupBy(F.col("doc_id").alias(_id), F.col("text_crc32").alias(_crc)).agg(
         F.max((F.col("uid") == F.col("best")).cast("int")).alias("stays"), F.count(F.lit(1)).alias("times"),
         F.max((F.col("n_shingles") == 0).cast("int")).alias("wordless"),
     )
     marked = stored(marked.filter("stays = 0 or (times > 1 and wordless = 0)"), "near-duplicate-rows")
-    key = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (
-        F.crc32(F.coalesce(F.col("text").cast("string"), F.lit(""))) == F.col("_crc")
+    key = F.col("doc_id").cast("long").eqNullSafe(F.col(_id)) & (
+        F.crc32(F.coalesce(F.col("text").cast("string"), F.lit(""))) == F.col(_crc)
     )
-    left = docs.join(marked, key, "left_anti")
-    again = marked.filter("stays = 1")  # a row that stays, given several times
+    left = docs.join(marked.select(_id, _crc), key, "left_anti")
+    again = marked.filter("stays = 1").select(_id, _crc)  # a row that stays, given several times
     if again.isEmpty():
         return left
     return left.unionByName(docs.join(again, key, "left_semi").dropDuplicates(["doc_id", "text"]))

@@ -95,3 +95,23 @@ def test_components(spark):
     got = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {k: v for k, v in root.items() if k != 400}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_hot_hubs_and_groups_are_split(spark):
+    """An n-gram in half of all rows, and a component of a third of all documents."""
+    from pyspark.sql import functions as F
+
+    from pulsegrid.llm import ngram_join as nj
+    from pulsegrid.llm.common import stored
+    from test_line_dedup import skewed_plan
+
+    hot = F.when(F.col("id") % 2 == 0, F.lit(7)).otherwise(F.col("id") % 4000).cast("long")
+    prefixes = stored(
+        spark.range(0, 20_000, 1, 10).select(hot.alias("token"), F.col("id").alias("uid"), F.lit(20).alias("n"), F.lit(0).alias("pos")),
+        "test-prefixes",
+    )
+    assert "skew=true" in skewed_plan(spark, lambda: nj._hub_pairs(prefixes, 80))
+    assert "skew=true" in skewed_plan(spark, lambda: nj.feasible(prefixes, 80))
+    links = prefixes.filter("uid % 2 = 0").select(F.lit(0).cast("long").alias("a"), F.col("uid").alias("b"))
+    roots = {(r["node"], r["root"]) for r in nj.connected_components(links).collect()}
+    assert roots == {(k, 0) for k in range(0, 20_000, 2)}

@@ -76,3 +76,15 @@ def test_stages_keep_columns_and_take_odd_rows(spark):
             assert kept == sorted([(1, rows[0][1]), (None, rows[4][1]), (2, None), (2, ""), (2, "")], key=str)
         if name == "decontamination":
             assert out.count() == len(rows)
+
+
+def test_stages_take_columns_of_any_name(spark):
+    names = ["_id", "_crc", "best", "component", "uid", "stays", "Row_ID", "items", "hits", "score", "_part", "_source", "copies", "rate"]
+    rows = [(1, "The same text of quite a few words, given here.", "en", "a", 1)] * 2 + [(2, "Quite another text of many words, and one more.", "en", "b", 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.selectExpr("*", *(f"{k} as `{n}`" for k, n in enumerate(names)))
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF)
+        assert sorted({r["doc_id"] for r in out.collect()}) == [1, 2], name
+        if name != "token_files":
+            assert out.columns == docs.columns, name
