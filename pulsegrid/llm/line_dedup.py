@@ -8,8 +8,8 @@ text is put together from the stretches between them. All steps are DataFrame fu
 
 Occurrences are counted and their first place is found by a partial
 aggregate, so a window that stands in a third of all rows costs one row per
-task; later occurrences are found by a join with the repeated windows only,
-whose hot keys adaptive execution splits.
+task. Later occurrences are found by a join with the repeated windows only, which are
+stored first: both sides are then plain shuffles, of which adaptive execution splits a hot window.
 """
 
 from __future__ import annotations
@@ -45,9 +45,10 @@ def repeated_stretches(docs: DataFrame) -> DataFrame:
         "line-windows",
     )
     place = F.struct("doc_id", "tie", "i")
-    repeated = (
+    repeated = stored(
         found.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
-        .filter("n > 1").select("a", "b", "first")
+        .filter("n > 1").select("a", "b", "first"),
+        "line-repeats",
     )
     later = found.join(repeated, ["a", "b"]).filter(~place.eqNullSafe(F.col("first"))).select("doc_id", "tie", "i")
     by_doc = Window.partitionBy("doc_id", "tie").orderBy("i")

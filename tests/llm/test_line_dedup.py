@@ -46,3 +46,36 @@ def test_sql_and_empty(spark):
     con.sql(f"create view documents as select * from '{sf}/documents.parquet'")
     assert got == sorted(con.sql(catalog.LINE_DEDUP_SQL).fetchall())
     assert dedup_lines(spark.createDataFrame([(1, "a", 1, 2, "f", 3)], SCHEMA).limit(0)).count() == 0
+
+
+def skewed_plan(spark, build):
+    """The final plan of a query run with one small partition size, nothing broadcast."""
+    confs = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.files.maxPartitionBytes": "64k", "spark.sql.files.openCostInBytes": "1k",
+    }
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        df = build()
+        df.collect()
+        return df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in confs:
+            spark.conf.unset(k)
+
+
+def test_a_hot_window_is_split(spark):
+    """One window in half of the rows: its join partition is cut by adaptive execution."""
+    from pyspark.sql import functions as F
+
+    from pulsegrid.llm.line_dedup import repeated_stretches
+
+    docs = spark.range(0, 12_000, 1, 12).select(
+        F.col("id").alias("doc_id"), F.col("id").alias("tie"),
+        F.when(F.col("id") % 2 == 0, F.array(F.lit("a"), F.lit("b"), F.lit("c")))
+        .otherwise(F.array(*(F.concat(F.lit(x), (F.col("id") % 3000).cast("string")) for x in "xyz"))).alias("lines"),
+    )
+    assert "skew=true" in skewed_plan(spark, lambda: repeated_stretches(docs))
