@@ -3,9 +3,10 @@
 A state function gets all rows that a device has in a trigger in one group, so one busy
 device is one task. Here a device's events of a trigger are dealt to tasks by (device,
 time slice) first. Each slice becomes one summary row; only summaries meet in the
-state function of their device, in the order of their slices. What a slice settles
+state function of their device, in the order of their slices. The state function takes a slot of
+devices at a time (:mod:`pulsegrid.streaming.state`). What a slice settles
 by itself (sessions that open and close within it) passes the state operator in ``LANES`` other
-groups per device, which keep no state.
+groups, which keep no state.
 
 * :func:`device_sessions_sliced_stream`: the sessions of :mod:`pulsegrid.streaming.state`,
   and optionally a session timeout by event time.
@@ -30,6 +31,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pulsegrid.config import DEDUP_WATERMARK, STATUS_DEAD, STATUS_TIMEOUT, micros
 from pulsegrid.operators.session_core import NULL, summarize
 from pulsegrid.operators.sessions import coded_events
+from pulsegrid.streaming.state import DEVICES, SLOTS, device_keys, key_columns, read_state, slot_of, write_state
 
 LANES = 64
 SLICE = "1 second"
@@ -46,9 +48,9 @@ PIECES = T.StructType(
     + _longs("first", "last", "head", "first_dead", "tail")
 )
 SESSIONS = T.StructType([*_KEY, *_longs("start", "end"), T.StructField("silent", T.BooleanType())])
-SESSION_STATE = T.StructType(_longs("open_since", "last_seen"))
+SESSION_STATE = T.StructType([*DEVICES, *(T.StructField(n, T.ArrayType(T.LongType())) for n in ("open_since", "last_seen"))])
 ACTIVITY = T.StructType([*_KEY, *_longs("last_active", "active_since")])
-ACTIVITY_STATE = T.StructType(_longs("last_active", "active_since"))
+ACTIVITY_STATE = T.StructType([*DEVICES, *(T.StructField(n, T.ArrayType(T.LongType())) for n in ("last_active", "active_since"))])
 
 
 # --- level 1: slices ---------------------------------------------------------------
@@ -159,11 +161,19 @@ def fold_pieces(
     return sessions, start, seen
 
 
-def _session_frame(key: tuple, sessions: list[tuple[int, int, bool]]) -> pd.DataFrame:
-    n = len(sessions)
+def _by_device(frames: Iterator[pd.DataFrame], columns: list[str]) -> dict[tuple, list[tuple]]:
+    """A slot's rows, sorted, by device."""
+    found: dict[tuple, list[tuple]] = {}
+    for p in frames:
+        for device, row in zip(device_keys(p), zip(*(p[c].tolist() for c in columns))):
+            found.setdefault(device, []).append(row)
+    return {device: sorted(rows) for device, rows in found.items()}
+
+
+def _session_frame(owners: list[tuple], sessions: list[tuple[int, int, bool]]) -> pd.DataFrame:
     return pd.DataFrame(
         {
-            "connectorid": pd.array([key[0]] * n, dtype="Int32"), "deviceid": pd.array([key[1]] * n, dtype="Int32"),
+            **key_columns(owners),
             "start": np.array([s[0] for s in sessions], np.int64), "end": np.array([s[1] for s in sessions], np.int64),
             "silent": np.array([s[2] for s in sessions], bool),
         }
@@ -174,29 +184,32 @@ def _session_update(timeout: int | None) -> Callable:
     columns = ["first", "last", "has_dead", "head", "first_dead", "tail"]
 
     def update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if key[2]:  # a lane of settled sessions
+        if key[0] >= SLOTS:  # a lane of settled sessions
             for p in frames:
-                yield _session_frame(key, [(a, b, False) for a, b in zip(p["head"].tolist(), p["first_dead"].tolist())])
+                yield _session_frame(device_keys(p), [(a, b, False) for a, b in zip(p["head"].tolist(), p["first_dead"].tolist())])
             return
-        opened, seen = state.get if state.exists else (int(NULL), int(NULL))
-        if state.hasTimedOut:
-            sessions, opened = [(opened, seen + timeout, True)], int(NULL)
-        else:
-            pieces = sorted(row for p in frames for row in zip(*(p[c].tolist() for c in columns)))
-            if not pieces:
-                return
-            sessions, opened, seen = fold_pieces(opened, seen, pieces, timeout)
-            if opened != NULL and timeout is not None and (seen + timeout) // 1000 < state.getCurrentWatermarkMs():
-                sessions.append((opened, seen + timeout, True))
-                opened = int(NULL)
-        if opened != NULL:
-            state.update((int(opened), int(seen)))
-            if timeout is not None:
-                state.setTimeoutTimestamp((int(seen) + timeout) // 1000)
-        elif state.exists:
-            state.remove()
+        pieces = _by_device(frames, columns)
+        if not pieces and not state.hasTimedOut:
+            return
+        kept, owners, sessions = read_state(state), [], []
+        for device, own in pieces.items():
+            closed, opened, seen = fold_pieces(*kept.pop(device, (int(NULL), int(NULL))), own, timeout)
+            owners += [device] * len(closed)
+            sessions += closed
+            if opened != NULL:
+                kept[device] = (int(opened), int(seen))
+        if timeout is not None:
+            passed = state.getCurrentWatermarkMs()
+            for device, (opened, seen) in list(kept.items()):
+                if (seen + timeout) // 1000 < passed:
+                    owners.append(device)
+                    sessions.append((opened, seen + timeout, True))
+                    del kept[device]
+        write_state(state, kept)
+        if kept and timeout is not None:
+            state.setTimeoutTimestamp((min(seen for _, seen in kept.values()) + timeout) // 1000)
         if sessions:
-            yield _session_frame(key, sessions)
+            yield _session_frame(owners, sessions)
 
     return update
 
@@ -225,7 +238,8 @@ def device_sessions_sliced_stream(
         if limit < micros(slice_width):
             raise ValueError("a session timeout must be no shorter than a slice")
         pieces = pieces.withColumn("seen", F.timestamp_micros("last")).withWatermark("seen", watermark)
-    out = pieces.groupBy("connectorid", "deviceid", "lane").applyInPandasWithState(
+    slot = F.when(F.col("lane") == 0, slot_of("connectorid", "deviceid")).otherwise(F.lit(SLOTS - 1) + F.col("lane"))
+    out = pieces.withColumn("slot", slot.cast("int")).groupBy("slot").applyInPandasWithState(
         _session_update(limit), SESSIONS, SESSION_STATE, "Update",
         GroupStateTimeout.NoTimeout if limit is None else GroupStateTimeout.EventTimeTimeout,
     )
@@ -252,25 +266,27 @@ def fold_activity(last: int, since: int, spans: list[tuple[int, int]], idle: int
 
 def _activity_update(idle: int) -> Callable:
     def update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        spans = sorted(row for p in frames for row in zip(p["first"].tolist(), p["last"].tolist()))
-        if not spans:
+        spans = _by_device(frames, ["first", "last"])
+        if not spans and not state.hasTimedOut:
             return
-        before = state.get if state.exists else (int(NULL), int(NULL))
-        last, since = fold_activity(*before, spans, idle)
-        gone = (last + idle) // 1000
-        if gone >= state.getCurrentWatermarkMs():
-            state.update((int(last), int(since)))
-            state.setTimeoutTimestamp(gone)
-        elif state.exists:
-            state.remove()
-        if (last, since) != tuple(before):
+        kept, changed = read_state(state), {}
+        for device, own in spans.items():
+            before = kept.get(device, (int(NULL), int(NULL)))
+            last, since = fold_activity(*before, own, idle)
+            kept[device] = (int(last), int(since))
+            if kept[device] != before:
+                changed[device] = kept[device]
+        passed = state.getCurrentWatermarkMs()
+        kept = {device: times for device, times in kept.items() if (times[0] + idle) // 1000 >= passed}
+        write_state(state, kept)
+        if kept:
+            state.setTimeoutTimestamp((min(last for last, _ in kept.values()) + idle) // 1000)
+        if changed:
             yield pd.DataFrame(
                 {
-                    "connectorid": pd.array([key[0]], dtype="Int32"), "deviceid": pd.array([key[1]], dtype="Int32"),
-                    "last_active": np.array([last], np.int64), "active_since": np.array([since], np.int64),
+                    **key_columns(list(changed)),
+                    "last_active": np.array([last for last, _ in changed.values()], np.int64),
+                    "active_since": np.array([since for _, since in changed.values()], np.int64),
                 }
             )
 
@@ -292,7 +308,7 @@ def activity_stream(
     )
     spans = sliced(rows, width, lambda batches: _spans(batches, width))
     spans = spans.withColumn("seen", F.timestamp_micros("last")).withWatermark("seen", watermark)
-    out = spans.groupBy("connectorid", "deviceid").applyInPandasWithState(
+    out = spans.withColumn("slot", slot_of("connectorid", "deviceid")).groupBy("slot").applyInPandasWithState(
         _activity_update(limit), ACTIVITY, ACTIVITY_STATE, "Update", GroupStateTimeout.EventTimeTimeout
     )
     return out.select(
