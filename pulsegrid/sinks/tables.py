@@ -21,6 +21,7 @@ from pulsegrid.operators.validate import error_records, good_records, is_good
 from pulsegrid.plans.pipelines import error_table_rows, good_table_rows
 
 ROWS_PER_FILE = 2_000_000
+ONE_FILE_ROWS = 200_000  # what one task writes alone
 BATCH_COLUMNS = ("query_id", "batch_id")
 
 
@@ -34,7 +35,7 @@ def query_id_of(batch: DataFrame) -> str:
 
 def write_sized(df: DataFrame, folder: str, n_rows: int, fmt: str = "parquet") -> None:
     """Overwrite ``folder`` with ``df`` of ``n_rows`` rows: one file, or files by bytes where there are many."""
-    sized = df.coalesce(1) if n_rows <= ROWS_PER_FILE else df.hint("rebalance")
+    sized = df.coalesce(1) if n_rows <= ONE_FILE_ROWS else df.hint("rebalance")
     out = sized.write.mode("overwrite").format(fmt)
     out.option("maxRecordsPerFile", ROWS_PER_FILE).save(folder)
 
@@ -45,7 +46,7 @@ def write_batch(
     """Overwrite the folder of one micro-batch with ``df`` (``n_rows``: its
     count, where the caller knows it).
 
-    A batch of at most ``ROWS_PER_FILE`` rows becomes one file; beyond, a
+    A batch of at most ``ONE_FILE_ROWS`` rows becomes one file; beyond, a
     ``rebalance`` hint lets adaptive execution size the files by bytes (else
     every trigger would leave one small file per shuffle partition). An empty batch writes nothing, unless it is the first, which leaves the
     table's schema, or an earlier attempt left rows to replace.
