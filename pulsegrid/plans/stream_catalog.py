@@ -29,6 +29,7 @@ from pulsegrid.config import (
     SESSION_TIMEOUT,
     VARIABLE_COUNT_WATERMARK,
     VARIABLE_COUNT_WINDOW,
+    list_folder,
     new_scratch_dir,
     use_utc,
 )
@@ -61,7 +62,7 @@ from pulsegrid.streaming.queries import (
     start_window_average,
     start_window_average_from_table,
 )
-from pulsegrid.streaming.staging import write_time_slices
+from pulsegrid.streaming.staging import ROWS_PER_PART, write_numbered_slices, write_time_slices
 
 N_FILES = 4  # time slices staged per streaming query (one micro-batch each)
 AVAILABLE_NOW = {"availableNow": True}
@@ -114,6 +115,10 @@ def staged_stream(spark: SparkSession, staged: tuple[str, int]) -> DataFrame:
     return message_file_stream(spark, f"{path}/slice=*", schema=MESSAGE, max_files_per_trigger=per_slice)
 
 
+def files_per_slice(log: DataFrame) -> int:
+    return max(1, -(-log.count() // (ROWS_PER_PART * N_FILES)))
+
+
 def _table(spark: SparkSession, path: str) -> DataFrame:
     return read_batch_table(spark, path).drop(*BATCH_COLUMNS)
 
@@ -383,8 +388,12 @@ def run_word_count(spark: SparkSession, sf_dir: str) -> Run:
     docs = read_table(spark, sf_dir, "documents").select(
         F.pmod(F.col("doc_id"), F.lit(N_FILES)).alias("slice"), F.col("text").alias("value")
     )
-    docs.repartition(N_FILES, "slice").write.partitionBy("slice").mode("overwrite").parquet(f"{root}/input")
-    lines = message_file_stream(spark, f"{root}/input/slice=*", schema=LINE, max_files_per_trigger=1)
+    # as many parts as the table's bytes ask for: no task holds a whole slice, and the counts of all batches do not
+    # depend on which file a batch takes
+    parts = max(1, docs.rdd.getNumPartitions())
+    docs.repartition(parts).write.partitionBy("slice").mode("overwrite").parquet(f"{root}/input")
+    files = sum(len(list_folder(spark, f"{root}/input/{s}")) for s in list_folder(spark, f"{root}/input"))
+    lines = message_file_stream(spark, f"{root}/input/slice=*", schema=LINE, max_files_per_trigger=max(1, -(-files // N_FILES)))
     seconds, progress = _finish(lambda: _update_query(word_count(lines), root, mode="complete", only_last=True))
     return Run(_table(spark, f"{root}/out"), seconds, progress)
 
@@ -394,9 +403,10 @@ def run_latest_by_key(spark: SparkSession, sf_dir: str) -> Run:
     keys, two variables per message, the greatest variable id wins."""
     use_utc(spark)
     root = new_scratch_dir(spark, "latest")
-    log = testbed.multi_value_log(spark, sf_dir).withColumn("slice", F.pmod(F.col("seq"), F.lit(N_FILES)))
-    log.repartition(N_FILES, "slice").write.partitionBy("slice").mode("overwrite").parquet(f"{root}/input")
-    messages = message_file_stream(spark, f"{root}/input/slice=*", schema=MESSAGE, max_files_per_trigger=1)
+    log = testbed.multi_value_log(spark, sf_dir).withColumn("slice", F.coalesce(F.pmod(F.col("seq"), F.lit(N_FILES)), F.lit(0)))
+    files = files_per_slice(log)
+    write_numbered_slices(log, "slice", f"{root}/input", range(N_FILES), files)
+    messages = message_file_stream(spark, f"{root}/input/slice=*", schema=MESSAGE, max_files_per_trigger=files)
     meta = testbed.device_metadata(spark, sf_dir)
     # batch order must not matter here: no watermark, so state is kept for the short run
     seconds, progress = _finish(
@@ -412,10 +422,10 @@ def run_merged_by_key(spark: SparkSession, sf_dir: str) -> Run:
     root = new_scratch_dir(spark, "merged")
     log = testbed.multi_value_log(spark, sf_dir).withColumn("slice", F.pmod(F.col("seq"), F.lit(N_FILES)))
     meta = testbed.device_metadata(spark, sf_dir)
-    seconds, progress = 0.0, []
-    for half in (F.col("slice") < N_FILES // 2, F.col("slice") >= N_FILES // 2):
-        log.filter(half).repartition(N_FILES, "slice").write.partitionBy("slice").mode("append").parquet(f"{root}/input")
-        messages = message_file_stream(spark, f"{root}/input/slice=*", schema=MESSAGE, max_files_per_trigger=1)
+    seconds, progress, files = 0.0, [], files_per_slice(log)
+    for half in (range(N_FILES // 2), range(N_FILES // 2, N_FILES)):
+        write_numbered_slices(log, "slice", f"{root}/input", half, files)
+        messages = message_file_stream(spark, f"{root}/input/slice=*", schema=MESSAGE, max_files_per_trigger=files)
         took, steps = _finish(
             lambda messages=messages: start_ingest(messages, meta, f"{root}/good", f"{root}/error", f"{root}/chk", watermark="3650 days", compat_key=True, trigger=AVAILABLE_NOW)
         )

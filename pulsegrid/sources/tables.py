@@ -18,6 +18,13 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return df.repartition(want)
 
 
+def dealt(df: DataFrame, rows_per_part: int = 50_000) -> DataFrame:
+    """Deal the rows of a table to parts of about so many, where its files give fewer (one row group is one
+    task): what is derived from each row then runs in tasks whose size does not grow with the table."""
+    parts = -(-df.count() // rows_per_part)
+    return df if parts <= df.rdd.getNumPartitions() else df.repartition(parts)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One parquet table of a test-data folder (``{sf_dir}/{name}.parquet``)."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.config import EVENT_NAME, READING_NAME, TABLE_TIME_FORMAT, use_utc
-from pulsegrid.sources.tables import read_table
+from pulsegrid.sources.tables import dealt, read_table
 
 # Every DUPLICATE_EVERY-th event is sent twice as a reading.
 DUPLICATE_EVERY = 3
@@ -152,7 +152,7 @@ def multi_value_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reading messages carrying two values each: the event's own value and the
     ``k`` number of its ``props`` (variable id ``k``)."""
     use_utc(spark)
-    ev = read_table(spark, sf_dir, "events")
+    ev = dealt(read_table(spark, sf_dir, "events"))
     base = ev.select(
         F.col("event_id").alias("seq"),
         F.col("user_id"),
