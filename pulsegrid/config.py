@@ -155,9 +155,10 @@ def use_rocksdb_state(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def write_scratch(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+def write_scratch(df: DataFrame, label: str, file_rows: int = 0) -> tuple[DataFrame, str]:
     """``df`` written once as a table in the shared folder; the table, and its
-    folder to drop when nothing reads it any more.
+    folder to drop when nothing reads it any more. ``file_rows``: what a file holds at
+    most (0: what the session says), so that what one task has written is read by many.
 
     Every consumer then sees the same rows, whatever the plan above: a range
     exchange evaluated twice may cut differently each time. The lineage is cut
@@ -165,7 +166,8 @@ def write_scratch(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     """
     spark = df.sparkSession
     path = new_scratch_dir(spark, label)
-    df.write.mode("overwrite").parquet(path)
+    writer = df.write.mode("overwrite")
+    (writer.option("maxRecordsPerFile", file_rows) if file_rows else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 

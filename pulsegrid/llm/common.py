@@ -18,11 +18,11 @@ BATCH_BYTES = 8 << 20
 WORD_PATTERN = "[^\\x20\\x09-\\x0D]+"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, file_rows: int = 0) -> DataFrame:
     """``df`` written once as a table in the shared folder and read back: the
     lineage is cut, a lost executor rereads files instead of replaying work,
-    and every consumer sees the same rows."""
-    return write_scratch(df, label)[0]
+    and every consumer sees the same rows. ``file_rows``: of a file at most."""
+    return write_scratch(df, label, file_rows)[0]
 
 
 def unused(name: str, columns: list[str]) -> str:

@@ -213,3 +213,111 @@ def test_recall_on_the_tables(spark):
         near = set(ids[np.lexsort((ids, d))[:10]].tolist())
         hit, total = hit + len(near & got[q]), total + 10
     assert hit >= 0.95 * total
+
+
+def shuffled_rows(df):
+    """Rows that the exchanges of a frame have written, and the rows it returns."""
+    returned = df.collect()
+
+    def walk(node):
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return walk(node.plan())
+        own = node.metrics().get("shuffleRecordsWritten")
+        below = node.children()
+        return (own.get().value() if own.isDefined() else 0) + sum(walk(below.apply(i)) for i in range(below.size()))
+
+    return walk(df._jdf.queryExecution().executedPlan()), returned
+
+
+def test_pairs_are_never_rows(spark, monkeypatch):
+    """What is dealt goes with vectors and queries, however many of them meet; before, each pair was a row of the task that ranks."""
+    monkeypatch.setattr(cp, "BLOCK_VECTORS", 500)
+    rng = np.random.default_rng(9)
+    at = rng.standard_normal(16)
+    x = at + 0.01 * rng.standard_normal((2_000, 16))  # nearly all have the same codes
+    known = spark.createDataFrame([(i, i, v.tolist()) for i, v in enumerate(x)], "uid long, vec_id long, vec array<double>")
+    known = known.repartition(3)
+    asked = known.filter("vec_id % 40 = 0")
+    written, found = shuffled_rows(cp._search_codes(known, asked, 10, (1, 2, 8, 40), 2_000, 50))
+    met = sum(r["met"] for r in found)
+    assert met > 0.9 * 50 * 2_000
+    assert 2_000 <= written <= 2_000 + 2_000 + 50 * 5, written  # repartition, vectors, queries for each block
+    want = brute(x, range(0, 2_000, 40))
+    got: dict = {}
+    for r in found:
+        got.setdefault(r["query_id"], []).append((r["score"], r["vec_id"]))
+    assert sum(len({i for _, i in sorted(got[q])[:10]} & want[q]) for q in want) >= 0.95 * 500
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_small_blocks_give_what_large_ones_give(spark, monkeypatch, kind):
+    """Blocks, marks, slices and parts of few rows, several dimensions, hot and repeated rows: exact where all codes are probed."""
+    monkeypatch.setattr(cp, "PLANS", ((1, 2, 3, 10_000),))
+    monkeypatch.setattr(cp, "EVEN_LENGTHS", np.inf)
+    for name, value in (("BLOCK_VECTORS", 9), ("FEW_BLOCKS", 5), ("BLOCK_QUERIES", 3), ("BLOCK_VALUES", 100), ("MARKS", 60), ("SLICE", 16), ("PART", 4_096), ("FILE_ROWS", 50)):
+        monkeypatch.setattr(cp, name, value)
+    rng = np.random.default_rng(10)
+    rows = [(i, f32(rng.standard_normal(5))) for i in range(400)] + [(2_000 + i, f32(rng.standard_normal(3))) for i in range(120)]
+    rows += [(1_000 + i, rows[100][1]) for i in range(30)] + rows[:50] + [(3, rows[200][1]), (100, rows[7][1])]
+    want = {}
+    for q, at in {(i, tuple(v)) for i, v in rows if i % 100 == 0}:
+        for i, v in rows:
+            if i != q and len(v) == len(at):
+                near = want.setdefault(q, {})
+                near[i] = min(near.get(i, np.inf), float(np.linalg.norm(np.asarray(v) - np.asarray(at))))
+    df = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")
+    for few in (0, 10_000):
+        monkeypatch.setattr(cp, "FEW_SHARED", few)
+        got: dict = {}
+        for r in cp.nearest_neighbours(df).orderBy("query_id", "rank").collect():
+            got.setdefault(r["query_id"], []).append((pytest.approx(r["score"], abs=1e-12), r["vec_id"]))
+        assert {q: [(s, i) for s, i in v] for q, v in got.items()} == {q: sorted((s, i) for i, s in near.items())[:10] for q, near in want.items()}
+
+
+@pytest.mark.parametrize("kind, size", [(np.float32, 1), (np.float32, 1e-30), (np.float32, 1e30), (np.float64, 1), (np.float64, 1e-170), (np.float64, 1e160)])
+def test_nearest_of_marked_rows_are_exact(kind, size):
+    rng = np.random.default_rng(11)
+    v = (size * (1 + 1e-6 * rng.standard_normal((300, 24)))).astype(kind)  # lengths far greater than distances
+    ids = np.sort(rng.integers(0, 200, 300))
+    rows = np.flatnonzero(rng.random(300) < 0.8)
+    squares = np.einsum("ij,ij->i", v, v, dtype=np.float64)
+    with np.errstate(all="ignore"):
+        got = cp._closest(v, squares, ids, rows, v[7], 10, np.empty((32, 24), kind))
+        exact: dict = {}
+        for r in rows:
+            d = float(np.sqrt(((v[r].astype(np.float64) - v[7].astype(np.float64)) ** 2).sum()))
+            exact[ids[r]] = min(exact.get(ids[r], np.inf), d)
+    want = sorted((d, i) for i, d in exact.items())[:10]
+    assert list(zip(got[1], got[0])) == want
+
+
+def test_a_rotation_is_its_rounds():
+    rng = np.random.default_rng(12)
+    for dim in (1, 3, 64, 100, 130):
+        x = rng.standard_normal((7, dim))
+        y = np.zeros((7, cp.padded(dim)))
+        y[:, :dim] = x
+        assert np.allclose(cp.rotate(x, 5), cp._rounds(y, 5), atol=1e-12)
+
+
+def test_rows_of_all_axes_come_in_parts():
+    """2,000 queries of 256 values at all 512 axes were 2 GB at once."""
+    pa = pytest.importorskip("pyarrow")
+    rng = np.random.default_rng(13)
+    vectors = pa.array([v.tolist() for v in rng.standard_normal((300, 256))], pa.list_(pa.float64()))
+    batch = pa.record_batch({"vec_id": pa.array(range(300), pa.int64()), "vec": vectors})
+    n = 0
+    for part in cp._hash_rows([batch], range(1), None):
+        assert part.nbytes <= 10 * cp.PART
+        n += part.num_rows
+    assert n == 300 * 512
+
+
+def test_bytes_come_back():
+    pa = pytest.importorskip("pyarrow")
+    x = np.arange(60, dtype=np.uint16).reshape(12, 5)
+    packed = pa.chunked_array([cp._bytes(x[:4]), cp._bytes(x[:0]), cp._bytes(x).slice(4, 3), cp._bytes(x[7:])])
+    assert (cp._rows(packed, np.uint16) == x).all()
